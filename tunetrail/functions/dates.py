@@ -34,7 +34,7 @@ def parse_yyyymmdd(c: Column | str) -> Column:
     text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"),
                        F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
     # try_to_date rejects day 31 of a 30-day month (and Feb 30) instead of rolling over.
-    return F.when(ok, F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def in_range(c: Column | str, start, end) -> Column:

@@ -1,0 +1,33 @@
+"""Join helpers: broadcast only behind a checked size, else a shuffle join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed default: a side of at most this many rows may be broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Return (side, broadcast?) -- broadcast hint only when the row count is proven small.
+
+    The count is one cheap job over an already-reduced table (an aggregate or
+    a distinct key list).  Beyond the bound the side is returned unhinted and
+    the join runs as a shuffle join, where AQE may still convert or split it.
+    """
+    n = small.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(small), True
+    return small, False
+
+
+def semi_join_checked(big: DataFrame, keys: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``big`` LEFT SEMI ``keys``, broadcasting ``keys`` only when proven small."""
+    side, _ = checked_broadcast(keys, max_rows)
+    return big.join(side, on, "left_semi")
+
+
+def anti_join_checked(big: DataFrame, keys: DataFrame, on, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    side, _ = checked_broadcast(keys, max_rows)
+    return big.join(side, on, "left_anti")

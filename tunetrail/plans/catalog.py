@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tunetrail.functions.dates import DRIVER_WINDOWS as W
+from tunetrail.functions.dates import in_range
+from tunetrail.operators import events as evx
+from tunetrail.operators import explore as ex
+from tunetrail.operators import metrics as mt
+from tunetrail.operators import population as pop
+from tunetrail.operators.recsys import evaluate as ev_
+from tunetrail.operators.recsys import interactions as ia
+from tunetrail.operators.recsys import itemcf as cf
+from tunetrail.plans import lines
+from tunetrail.sources import logs
 from tunetrail.operators import features as fx
 from tunetrail.operators import label as lb
 from tunetrail.operators import training as tr
@@ -72,6 +82,298 @@ def q_label_balance(spark, sf_dir):
     return lb.label_balance(lb.churn_label(events(spark, sf_dir), W, ACTIVITY))
 
 
+# ------------------------------------------------------------- exploration
+
+PREVIEW_ORDER = ("date", "uid", "event", "song_id", "device", "play_time", "song_length")
+RANGE_START, RANGE_END = "2024-01-01", "2024-01-05"
+
+
+@query("event_count")
+def q_event_count(spark, sf_dir):
+    return ex.row_count(events(spark, sf_dir))
+
+
+@query("distinct_users")
+def q_distinct_users(spark, sf_dir):
+    return ex.distinct_count(events(spark, sf_dir), "uid")
+
+
+@query("count_by_event")
+def q_count_by_event(spark, sf_dir):
+    return ex.count_by(events(spark, sf_dir), "event")
+
+
+@query("multi_agg_by_event")
+def q_multi_agg(spark, sf_dir):
+    return round_doubles(ex.multi_agg(events(spark, sf_dir), "event", "uid"))
+
+
+@query("range_by_date_event")
+def q_range_by_date_event(spark, sf_dir):
+    ev = events(spark, sf_dir).where(in_range("date", RANGE_START, RANGE_END))
+    return ex.count_by(ev, "date", "event").orderBy("date", "event")
+
+
+@query("daily_count")
+def q_daily_count(spark, sf_dir):
+    return ex.count_by(events(spark, sf_dir), "date")
+
+
+@query("null_report")
+def q_null_report(spark, sf_dir):
+    return ex.null_report(events(spark, sf_dir))
+
+
+@query("summary_stats")
+def q_summary_stats(spark, sf_dir):
+    return round_doubles(ex.summary_stats(pop.plays_per_user(src.play_log(spark, sf_dir)), "n_plays"))
+
+
+@query("preview_ordered")
+def q_preview(spark, sf_dir):
+    return ex.preview(events(spark, sf_dir), PREVIEW_ORDER, 20)
+
+
+# -------------------------------------------------------------- population
+
+@query("plays_per_user")
+def q_plays_per_user(spark, sf_dir):
+    return pop.plays_per_user(src.play_log(spark, sf_dir))
+
+
+@query("plays_percentile")
+def q_plays_percentile(spark, sf_dir):
+    return round_doubles(pop.plays_percentile(pop.plays_per_user(src.play_log(spark, sf_dir))))
+
+
+@query("bots_removed")
+def q_bots_removed(spark, sf_dir):
+    return pop.bots_removed(pop.plays_per_user(src.play_log(spark, sf_dir)))
+
+
+@query("plays_log_histogram")
+def q_histogram(spark, sf_dir):
+    return pop.log_histogram(pop.plays_per_user(src.play_log(spark, sf_dir)))
+
+
+@query("user_hash_sample")
+def q_user_sample(spark, sf_dir):
+    return pop.sampled_users(src.play_log(spark, sf_dir))
+
+
+@query("sampled_events")
+def q_sampled_events(spark, sf_dir):
+    users = pop.sampled_users(src.play_log(spark, sf_dir))
+    return pop.sample_by_users(events(spark, sf_dir), users)
+
+
+# ------------------------------------------------------------------ events
+
+@query("event_log_union")
+def q_event_union(spark, sf_dir):
+    return evx.unify(src.play_log(spark, sf_dir), src.down_log(spark, sf_dir), src.search_log(spark, sf_dir))
+
+
+@query("distinct_user_device")
+def q_distinct_user_device(spark, sf_dir):
+    return fx.distinct_user_device(src.play_log(spark, sf_dir), W)
+
+
+@query("users_multi_device")
+def q_multi_device(spark, sf_dir):
+    return fx.users_multi_device(src.play_log(spark, sf_dir), W)
+
+
+@query("parse_log_lines")
+def q_parse_log_lines(spark, sf_dir):
+    return round_doubles(logs.parse_lines(lines.play_lines(spark, sf_dir), "play"))
+
+
+# ---------------------------------------------------------------- features
+
+def feature_window_events(spark, sf_dir):
+    return events(spark, sf_dir).where(in_range("date", W.feature_start, W.feature_end))
+
+
+@query("freq_single_window")
+def q_freq_single(spark, sf_dir):
+    return fx.frequency_single(feature_window_events(spark, sf_dir), "S", 3, W.snapshot)
+
+
+@query("freq_all_windows")
+def q_freq_all(spark, sf_dir):
+    return feature_window_events(spark, sf_dir).groupBy("uid").agg(*fx.frequency_aggs(W))
+
+
+@query("recency")
+def q_recency(spark, sf_dir):
+    return feature_window_events(spark, sf_dir).groupBy("uid").agg(*fx.recency_aggs(W))
+
+
+@query("recency_sorted_array")
+def q_recency_sorted(spark, sf_dir):
+    out = fx.last_event(events(spark, sf_dir), "P", W)
+    return out.select("uid", F.array_join("events", ",").alias("events"), "last_date", "rec_P")
+
+
+@query("play_time_windows")
+def q_play_time(spark, sf_dir):
+    plays = src.play_log(spark, sf_dir).where(in_range("date", W.feature_start, W.feature_end))
+    out = plays.select("uid").distinct()
+    for n in W.sub_windows:
+        out = out.join(fx.total_play_time(plays, n, W.snapshot), "uid", "left")
+    return round_doubles(out)
+
+
+@query("play_ratio_windows")
+def q_play_ratio(spark, sf_dir):
+    plays = feature_window_events(spark, sf_dir).where(F.col("event") == "P")
+    return plays.groupBy("uid").agg(*fx.play_ratio_aggs(W))
+
+
+@query("device_profile")
+def q_device_profile(spark, sf_dir):
+    return fx.device_profile(src.play_log(spark, sf_dir), W)
+
+
+@query("device_profile_fanout")
+def q_device_fanout(spark, sf_dir):
+    popu = lb.model_population(events(spark, sf_dir), W, ACTIVITY)
+    return fx.device_profile_fanout(popu, src.play_log(spark, sf_dir), W)
+
+
+@query("device_dummies")
+def q_device_dummies(spark, sf_dir):
+    t = tr.device_dummies(tr.training_table(events(spark, sf_dir), W, ACTIVITY))
+    return t.select("uid", "device_type_1", "device_type_2")
+
+
+@query("train_test_split")
+def q_split(spark, sf_dir):
+    return tr.train_test_split(lb.churn_label(events(spark, sf_dir), W, ACTIVITY)).select("uid", "split")
+
+
+# ------------------------------------------------------------- recommender
+
+# Fixed values for the driver's data: plays after 2024-01-24 up to 01-30,
+# users with more than 5 plays, songs with more than 2.
+REC_AFTER, REC_UNTIL, REC_MIN_USER, REC_MIN_SONG = "2024-01-24", "2024-01-30", 5, 2
+
+
+def small_interactions(spark, sf_dir):
+    return ia.interactions(src.play_log_named(spark, sf_dir), F.to_date(F.lit(REC_AFTER)),
+                           F.to_date(F.lit(REC_UNTIL)), REC_MIN_USER, REC_MIN_SONG)
+
+
+@query("interactions")
+def q_interactions(spark, sf_dir):
+    return small_interactions(spark, sf_dir)
+
+
+@query("active_users")
+def q_active_users(spark, sf_dir):
+    w = ia.window_plays(src.play_log_named(spark, sf_dir), F.to_date(F.lit(REC_AFTER)), F.to_date(F.lit(REC_UNTIL)))
+    return ia.active_users(w, REC_MIN_USER)
+
+
+@query("popular_songs")
+def q_popular_songs(spark, sf_dir):
+    w = ia.window_plays(src.play_log_named(spark, sf_dir), F.to_date(F.lit(REC_AFTER)), F.to_date(F.lit(REC_UNTIL)))
+    by_user = w.join(ia.active_users(w, REC_MIN_USER).select("uid"), "uid", "left_semi")
+    return ia.popular_songs(by_user, REC_MIN_SONG)
+
+
+@query("play_counts")
+def q_play_counts(spark, sf_dir):
+    return ia.play_counts(small_interactions(spark, sf_dir))
+
+
+def rated(spark, sf_dir):
+    return ia.ratings(src.purchase_counts(spark, sf_dir))
+
+
+def util_table(spark, sf_dir):
+    return ia.utility(rated(spark, sf_dir))
+
+
+@query("ratings")
+def q_ratings(spark, sf_dir):
+    return rated(spark, sf_dir)
+
+
+@query("utility")
+def q_utility(spark, sf_dir):
+    return util_table(spark, sf_dir)
+
+
+@query("song_names")
+def q_song_names(spark, sf_dir):
+    return ia.song_names(rated(spark, sf_dir))
+
+
+@query("item_similarity")
+def q_item_similarity(spark, sf_dir):
+    return cf.item_similarity(util_table(spark, sf_dir))
+
+
+@query("item_neighbours")
+def q_item_neighbours(spark, sf_dir):
+    return cf.neighbours(cf.item_similarity(util_table(spark, sf_dir)))
+
+
+def predictions(spark, sf_dir):
+    u = util_table(spark, sf_dir)
+    return cf.predict(u, cf.neighbours(cf.item_similarity(u)))
+
+
+@query("predicted_ratings")
+def q_predicted(spark, sf_dir):
+    return predictions(spark, sf_dir)
+
+
+@query("top_n_songs")
+def q_top_n(spark, sf_dir):
+    r = rated(spark, sf_dir)
+    u = ia.utility(r)
+    pred = cf.predict(u, cf.neighbours(cf.item_similarity(u)))
+    return cf.top_n(pred, u, ia.song_names(r))
+
+
+@query("masked_errors")
+def q_masked_errors(spark, sf_dir):
+    u = util_table(spark, sf_dir)
+    return round_doubles(ev_.masked_errors(ev_.observed_with_prediction(u, ev_.item_mean_prediction(u))))
+
+
+@query("user_errors")
+def q_user_errors(spark, sf_dir):
+    u = util_table(spark, sf_dir)
+    return round_doubles(ev_.user_errors(ev_.observed_with_prediction(u, ev_.item_mean_prediction(u))))
+
+
+# ----------------------------------------------------------------- metrics
+
+def scored_table(spark, sf_dir):
+    """A fixed score per user for the metric operators: (freq_S_last_14 mod 11) / 10 in [0, 1]."""
+    t = tr.train_test_split(tr.training_table(events(spark, sf_dir), W, ACTIVITY))
+    return t.select("uid", "label", (F.pmod("freq_S_last_14", F.lit(11)) / 10.0).alias("p"), "split")
+
+
+@query("classification_metrics")
+def q_class_metrics(spark, sf_dir):
+    return round_doubles(mt.classification_report(scored_table(spark, sf_dir)))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    return round_doubles(mt.roc_curve(scored_table(spark, sf_dir)))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf_dir):
+    return round_doubles(mt.roc_auc(scored_table(spark, sf_dir)))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The churn training table (label + all behaviour features), fused form."""
     return q_training_fused(spark, sf_dir)
