@@ -47,26 +47,31 @@ def item_norms(util: DataFrame) -> DataFrame:
 
 
 def _block_gram(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Dense X_I^T X_J for one (user block, item block I, item block J) group."""
+    """Dense X_I^T X_J for one (user block, item block I, item block J) group, upper triangle.
+
+    Emits each unordered item pair once, as (smaller id, larger id): within
+    one block only i <= j is kept; across two blocks the ids are distinct
+    and every pair meets in exactly one (I, J) group.
+    """
     lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+    blk = pdf["blk"].to_numpy()
     users, uidx = np.unique(pdf["uid"].to_numpy(), return_inverse=True)
-    out = []
     blocks = {}
     for b in {lo, hi}:
-        part = pdf[pdf["blk"].to_numpy() == b]
-        items, iidx = np.unique(part["song_id"].to_numpy(), return_inverse=True)
+        mask = blk == b
+        items, iidx = np.unique(pdf["song_id"].to_numpy()[mask], return_inverse=True)
         x = np.zeros((len(users), len(items)))
-        x[uidx[(pdf["blk"].to_numpy() == b)], iidx] = part["rating"].to_numpy()
+        x[uidx[mask], iidx] = pdf["rating"].to_numpy()[mask]
         blocks[b] = (items, x)
     items_lo, x_lo = blocks[lo]
     items_hi, x_hi = blocks[hi]
     g = x_lo.T @ x_hi
     ii, jj = np.nonzero(g)
-    vals = g[ii, jj]
-    out.append(pd.DataFrame({"item_i": items_lo[ii], "item_j": items_hi[jj], "dot": vals}))
-    if lo != hi:
-        out.append(pd.DataFrame({"item_i": items_hi[jj], "item_j": items_lo[ii], "dot": vals}))
-    return pd.concat(out, ignore_index=True)
+    a, b, vals = items_lo[ii], items_hi[jj], g[ii, jj]
+    if lo == hi:
+        keep = a <= b
+        a, b, vals = a[keep], b[keep], vals[keep]
+    return pd.DataFrame({"item_i": np.minimum(a, b), "item_j": np.maximum(a, b), "dot": vals})
 
 
 def _hot_gram(hot: DataFrame, n_users: int, n_items: int,
@@ -81,14 +86,28 @@ def _hot_gram(hot: DataFrame, n_users: int, n_items: int,
     return keyed.groupBy("ub", "lo", "hi").applyInPandas(_block_gram, _PAIR_SCHEMA)
 
 
+def by_user(util: DataFrame) -> DataFrame:
+    """The utility table hash-partitioned by uid: the self join, the per-user
+    counts, the prediction aggregate and the top-n window all reuse it.
+
+    The partition count is explicit (the session's shuffle partitions) so
+    that AQE does not coalesce this small input into a few tasks: the stages
+    that read it expand every row into many (pairs, neighbours).
+    """
+    n = int(util.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return util.select("uid", "song_id", "rating").repartition(n, "uid")
+
+
 def cooccurrence(util: DataFrame, hot_items: int = HOT_ITEMS) -> DataFrame:
-    """Sparse Gram matrix (item_i, item_j, dot) over co-rated item pairs, both orders, self included."""
-    per_user = util.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = util.join(per_user, "uid")
-    light = tagged.where(F.col("_n") <= hot_items).select("uid", "song_id", "rating")
+    """Sparse Gram matrix (item_i <= item_j, dot) over co-rated item pairs, diagonal included."""
+    bu = by_user(util)
+    per_user = bu.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
+    tagged = bu.join(per_user, "uid")
+    light = tagged.where(F.col("_n") <= hot_items)
     a = light.select("uid", F.col("song_id").alias("item_i"), F.col("rating").alias("r_i"))
-    b = light.select("uid", F.col("song_id").alias("item_j"), F.col("rating").alias("r_j"))
-    pairs = a.join(b, "uid").select("item_i", "item_j", (F.col("r_i") * F.col("r_j")).alias("dot"))
+    b = light.select(F.col("uid").alias("uid_b"), F.col("song_id").alias("item_j"), F.col("rating").alias("r_j"))
+    pairs = (a.join(b, (F.col("uid") == F.col("uid_b")) & (F.col("item_i") <= F.col("item_j")))
+              .select("item_i", "item_j", (F.col("r_i") * F.col("r_j")).alias("dot")))
 
     hot = tagged.where(F.col("_n") > hot_items).select("uid", "song_id", "rating")
     stats = hot.agg(F.count_distinct("uid").alias("u"), F.count_distinct("song_id").alias("i")).first()
@@ -98,14 +117,18 @@ def cooccurrence(util: DataFrame, hot_items: int = HOT_ITEMS) -> DataFrame:
 
 
 def item_similarity(util: DataFrame, hot_items: int = HOT_ITEMS) -> DataFrame:
-    """Cosine similarity of every co-rated item pair (both orders, self pair = 1)."""
+    """Cosine similarity of every co-rated item pair, both orders (self pair = 1)."""
     norms, _ = checked_broadcast(item_norms(util))
     gram = cooccurrence(util, hot_items)
     ni = norms.select(F.col("song_id").alias("item_i"), F.col("n2").alias("n2_i"))
     nj = norms.select(F.col("song_id").alias("item_j"), F.col("n2").alias("n2_j"))
-    return (gram.join(ni, "item_i").join(nj, "item_j")
-                .select("item_i", "item_j",
-                        (F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))).alias("sim")))
+    sim = F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))
+    upper = gram.join(ni, "item_i").join(nj, "item_j").select("item_i", "item_j", sim.alias("sim"))
+    fwd = F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b"), F.col("sim").alias("s"))
+    rev = F.struct(F.col("item_j").alias("a"), F.col("item_i").alias("b"), F.col("sim").alias("s"))
+    both = F.when(F.col("item_i") < F.col("item_j"), F.array(fwd, rev)).otherwise(F.array(fwd))
+    return (upper.select(F.explode(both).alias("e"))
+                 .select(F.col("e.a").alias("item_i"), F.col("e.b").alias("item_j"), F.col("e.s").alias("sim")))
 
 
 def neighbours(sim: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
@@ -120,10 +143,15 @@ def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6) -> DataFr
     over the neighbours of each item that the user rated; 0/0 -> 0 (X31).
 
     (user, item) pairs where no neighbour was rated carry no row: their
-    prediction is 0 and they are never recommended.
+    prediction is 0 and they are never recommended.  The neighbour table has
+    at most (items x k) rows; when that count is checked to be small it is
+    broadcast and the ratings stay partitioned by uid, so the aggregate per
+    (uid, item) needs no exchange.  Beyond the bound it is a shuffle join on
+    the rated item.
     """
-    rated = util.select("uid", F.col("song_id").alias("item_j"), "rating")
-    agg = (neigh.select("item_i", "item_j", "sim").join(rated, "item_j")
+    nb, _ = checked_broadcast(neigh.select("item_i", "item_j", "sim"))
+    rated = by_user(util)
+    agg = (rated.join(nb, rated.song_id == nb.item_j)
                 .groupBy("uid", F.col("item_i").alias("song_id"))
                 .agg(F.sum(F.col("rating") * F.col("sim")).alias("num"), F.sum("sim").alias("den")))
     pred = F.coalesce(F.try_divide("num", "den"), F.lit(0.0))
@@ -134,7 +162,7 @@ def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6) -> DataFr
 
 def top_n(pred: DataFrame, util: DataFrame, names: DataFrame | None = None, n: int = TOP_N) -> DataFrame:
     """The n best unrated songs per user (ties to the larger song id), with a name."""
-    unrated = pred.join(util.select("uid", "song_id"), ["uid", "song_id"], "left_anti")
+    unrated = pred.join(by_user(util).select("uid", "song_id"), ["uid", "song_id"], "left_anti")
     w = Window.partitionBy("uid").orderBy(F.desc("pred"), F.desc("song_id"))
     out = unrated.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     if names is not None:

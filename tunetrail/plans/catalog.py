@@ -24,6 +24,7 @@ from tunetrail.operators.recsys import evaluate as ev_
 from tunetrail.operators.recsys import interactions as ia
 from tunetrail.operators.recsys import itemcf as cf
 from tunetrail.plans import lines
+from tunetrail.session import cut_lineage
 from tunetrail.sources import logs
 from tunetrail.operators import features as fx
 from tunetrail.operators import label as lb
@@ -293,7 +294,15 @@ def rated(spark, sf_dir):
 
 
 def util_table(spark, sf_dir):
-    return ia.utility(rated(spark, sf_dir))
+    """The utility table, materialised once (reliable checkpoint in the shared
+    folder): similarity, size checks, prediction and top-n all read it."""
+    return cut_lineage(ia.utility(rated(spark, sf_dir)))
+
+
+def neighbour_table(util):
+    """Top-75 neighbours, materialised: at most items x 75 rows, read by the
+    size check, the prediction join and nothing else recomputes them."""
+    return cut_lineage(cf.neighbours(cf.item_similarity(util)))
 
 
 @query("ratings")
@@ -323,7 +332,7 @@ def q_item_neighbours(spark, sf_dir):
 
 def predictions(spark, sf_dir):
     u = util_table(spark, sf_dir)
-    return cf.predict(u, cf.neighbours(cf.item_similarity(u)))
+    return cf.predict(u, neighbour_table(u))
 
 
 @query("predicted_ratings")
@@ -334,8 +343,8 @@ def q_predicted(spark, sf_dir):
 @query("top_n_songs")
 def q_top_n(spark, sf_dir):
     r = rated(spark, sf_dir)
-    u = ia.utility(r)
-    pred = cf.predict(u, cf.neighbours(cf.item_similarity(u)))
+    u = cut_lineage(ia.utility(r))
+    pred = cf.predict(u, neighbour_table(u))
     return cf.top_n(pred, u, ia.song_names(r))
 
 
