@@ -84,7 +84,7 @@ def device_dummies(table: DataFrame) -> DataFrame:
 def model_feature_names(table: DataFrame) -> list[str]:
     """Every column but uid, label and device_type, plus the two dummies."""
     with_d = device_dummies(table)
-    return [c for c in with_d.columns if c not in ("uid", "label", "device_type")]
+    return [c for c in with_d.columns if c not in ("uid", "label", "device_type", "split")]
 
 
 # Share of users held out, and the salt of the split draw.

@@ -19,6 +19,7 @@ from tunetrail.functions.dates import in_range
 from tunetrail.operators import events as evx
 from tunetrail.operators import explore as ex
 from tunetrail.operators import metrics as mt
+from tunetrail.operators import models as md
 from tunetrail.operators import population as pop
 from tunetrail.operators.recsys import evaluate as ev_
 from tunetrail.operators.recsys import interactions as ia
@@ -383,6 +384,59 @@ def q_roc_auc(spark, sf_dir):
     return round_doubles(mt.roc_auc(scored_table(spark, sf_dir)))
 
 
+# ------------------------------------------------------------------ models
+# Rows-only checks (no SQL oracle): the fitted models are Spark ML's.
+
+def model_data(spark, sf_dir):
+    t = tr.train_test_split(tr.training_table(events(spark, sf_dir), W, ACTIVITY))
+    return md.prepare(t), md.feature_names(t)
+
+
+@query("logistic_scores")
+def q_logistic(spark, sf_dir):
+    data, _ = model_data(spark, sf_dir)
+    n_train = data.where(F.col("split") == "train").count()
+    return md.fit_and_score(md.logistic(n_train), data)[1]
+
+
+@query("forest_scores")
+def q_forest(spark, sf_dir):
+    data, _ = model_data(spark, sf_dir)
+    return md.fit_and_score(md.forest(), data)[1]
+
+
+@query("forest_importances")
+def q_forest_importances(spark, sf_dir):
+    data, names = model_data(spark, sf_dir)
+    model, _ = md.fit_and_score(md.forest(), data)
+    return md.importances(model, names)
+
+
+@query("gbt_scores")
+def q_gbt(spark, sf_dir):
+    data, _ = model_data(spark, sf_dir)
+    return md.fit_and_score(md.gbt(), data)[1]
+
+
+@query("mlp_scores")
+def q_mlp(spark, sf_dir):
+    data, names = model_data(spark, sf_dir)
+    return md.fit_and_score(md.mlp(len(names)), data)[1]
+
+
+@query("grid_search")
+def q_grid_search(spark, sf_dir):
+    data, _ = model_data(spark, sf_dir)
+    return md.grid_search(data)[1]
+
+
+@query("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """The reference's per-model report: AUC, accuracy, precision, recall, F1 for train and test."""
+    data, _ = model_data(spark, sf_dir)
+    return round_doubles(mt.classification_report(md.fit_and_score(md.forest(), data)[1]))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The churn training table (label + all behaviour features), fused form."""
     return q_training_fused(spark, sf_dir)
