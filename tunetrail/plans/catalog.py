@@ -22,6 +22,7 @@ from tunetrail.operators import metrics as mt
 from tunetrail.operators import models as md
 from tunetrail.operators import population as pop
 from tunetrail.operators.recsys import evaluate as ev_
+from tunetrail.operators.recsys import factors as fa
 from tunetrail.operators.recsys import interactions as ia
 from tunetrail.operators.recsys import itemcf as cf
 from tunetrail.plans import lines
@@ -437,6 +438,82 @@ def q_model_metrics(spark, sf_dir):
     return round_doubles(mt.classification_report(md.fit_and_score(md.forest(), data)[1]))
 
 
+# --------------------------------------------------------- factor models
+# Rows-only checks.  A fit is shared by the queries of one session and data
+# folder (its factor tables are checkpointed files, stable for the session).
+
+NMF_ITERS = 20
+_FITS: dict = {}
+
+
+def _fit(spark, sf_dir, kind):
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _FITS:
+        u = util_table(spark, sf_dir)
+        f = fa.nmf(u, fa.RANK, NMF_ITERS) if kind == "nmf" else fa.svd(u, fa.RANK)
+        _FITS[key] = (u, f)
+    return _FITS[key]
+
+
+def _factor_table(f):
+    return (f.users.select(F.lit("user").alias("side"), F.col("uid").alias("id"), "f")
+            .unionByName(f.items.select(F.lit("item").alias("side"), F.col("song_id").alias("id"), "f")))
+
+
+def _fit_report(spark, u, f, extra: dict):
+    errs = ev_.masked_errors(fa.reconstruct_observed(u, f))
+    return round_doubles(errs.select(*[F.lit(v).alias(k) for k, v in extra.items()], "*"))
+
+
+@query("nmf_factors")
+def q_nmf_factors(spark, sf_dir):
+    return _factor_table(_fit(spark, sf_dir, "nmf")[1])
+
+
+@query("nmf_error")
+def q_nmf_error(spark, sf_dir):
+    u, f = _fit(spark, sf_dir, "nmf")
+    return _fit_report(spark, u, f, {"iterations": NMF_ITERS, "reconstruction_err": float(f.errors[-1])})
+
+
+@query("nmf_top_n")
+def q_nmf_top_n(spark, sf_dir):
+    u, f = _fit(spark, sf_dir, "nmf")
+    return fa.factor_top_n(u, f)
+
+
+@query("svd_factors")
+def q_svd_factors(spark, sf_dir):
+    return _factor_table(_fit(spark, sf_dir, "svd")[1])
+
+
+@query("svd_error")
+def q_svd_error(spark, sf_dir):
+    u, f = _fit(spark, sf_dir, "svd")
+    return _fit_report(spark, u, f, {"rank": len(f.errors), "top_singular_value": float(f.errors[0])})
+
+
+@query("svd_user_errors")
+def q_svd_user_errors(spark, sf_dir):
+    u, f = _fit(spark, sf_dir, "svd")
+    return round_doubles(ev_.user_errors(fa.reconstruct_observed(u, f)))
+
+
+@query("svd_top_n")
+def q_svd_top_n(spark, sf_dir):
+    u, f = _fit(spark, sf_dir, "svd")
+    return fa.factor_top_n(u, f)
+
+
+@query("svd_roundtrip")
+def q_svd_roundtrip(spark, sf_dir):
+    """U.V equals (M V^T).V on every observed cell (difference sum ~ 0)."""
+    u, f = _fit(spark, sf_dir, "svd")
+    a = fa.reconstruct_observed(u, f)
+    b = fa.reconstruct_observed(u, fa.project_users(u, f))
+    return ev_.difference_sum(a, b)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The churn training table (label + all behaviour features), fused form."""
     return q_training_fused(spark, sf_dir)
