@@ -30,11 +30,9 @@ def parse_yyyymmdd(c: Column | str) -> Column:
     year = F.substring(s, 1, 4).try_cast("int")
     month = F.substring(s, 5, 2).try_cast("int")
     day = F.substring(s, 7, 2).try_cast("int")
-    ok = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
-    text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"),
-                       F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
-    # try_to_date rejects day 31 of a 30-day month (and Feb 30) instead of rolling over.
-    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
+    # try_to_date rejects month 13, day 31 of a 30-day month, Feb 30, year 0
+    # and negative parts (formatted with a sign) instead of rolling over.
+    return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
 
 
 def in_range(c: Column | str, start, end) -> Column:

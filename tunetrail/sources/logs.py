@@ -81,17 +81,21 @@ def parse_lines(lines: DataFrame, kind: str, line_col: str = "line",
         line = F.regexp_replace(line, "�", "")
     if date_text is not None:
         line = F.concat(line, F.lit(" \t "), date_text)
-    parts = F.split(line, "\t", -1)
-    raw = {f: F.get(parts, i) for i, f in enumerate(fields)}
+    # Staged projections: split once, strip once, then type -- each later
+    # expression refers to a column, not to a copy of the whole line logic.
+    staged = lines.select(F.split(line, "\t", -1).alias("_f"))
+    staged = staged.select(*[strip_blanks(F.get(F.col("_f"), i)).alias(f"_{f}")
+                             for i, f in enumerate(fields) if f in OUTPUT[kind]])
     cols = {}
     for f in OUTPUT[kind]:
+        raw = F.col(f"_{f}")
         if f == "date":
-            cols[f] = parse_yyyymmdd(raw[f])
+            cols[f] = parse_yyyymmdd(raw)
         elif f in _TYPED:
-            cols[f] = _TYPED[f](raw[f])
+            cols[f] = _TYPED[f](raw)
         else:
-            cols[f] = strip_blanks(raw[f])
-    out = lines.select(*[c.alias(f) for f, c in cols.items()])
+            cols[f] = raw
+    out = staged.select(*[c.alias(f) for f, c in cols.items()])
     return out.where(F.col("uid").isNotNull() & F.col("date").isNotNull())
 
 
