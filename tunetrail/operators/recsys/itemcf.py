@@ -90,11 +90,13 @@ def by_user(util: DataFrame) -> DataFrame:
     """The utility table hash-partitioned by uid: the self join, the per-user
     counts, the prediction aggregate and the top-n window all reuse it.
 
-    The partition count is explicit (the session's shuffle partitions) so
-    that AQE does not coalesce this small input into a few tasks: the stages
-    that read it expand every row into many (pairs, neighbours).
+    The partition count is explicit -- the larger of the shuffle partitions
+    and 8 tasks per core -- so that AQE does not coalesce this small input
+    into a few tasks: the stages that read it expand every row into many
+    (co-rated pairs, neighbour contributions) and aggregate them per task.
     """
-    n = int(util.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = util.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
     return util.select("uid", "song_id", "rating").repartition(n, "uid")
 
 
@@ -138,31 +140,59 @@ def neighbours(sim: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
                .where(F.col("rank") <= k))
 
 
+def _scored(util: DataFrame, neigh: DataFrame) -> DataFrame:
+    """Per (uid, item): sum(r * sim), sum(sim) over the item's neighbours the user
+    rated, and whether the user rated the item itself.
+
+    The neighbour table (at most items x k rows) gets one marker row (i, i,
+    sim 0) per item, so the "already rated" test (J8) falls out of the same
+    aggregate instead of an anti join that would reshuffle by (uid, item).
+    When the extended table's row count is checked to be small it is
+    broadcast: ratings stay partitioned by uid and neither the aggregate nor
+    the later top-n window needs an exchange.  Beyond the bound it is a
+    shuffle join on the rated item.
+    """
+    nb = neigh.select("item_i", "item_j", "sim", F.lit(0).alias("mark"))
+    marks = neigh.select("item_i").distinct().select("item_i", F.col("item_i").alias("item_j"),
+                                                      F.lit(0.0).alias("sim"), F.lit(1).alias("mark"))
+    side, _ = checked_broadcast(nb.unionByName(marks))
+    rated = by_user(util)
+    return (rated.join(side, rated.song_id == side.item_j)
+                 .groupBy("uid", F.col("item_i").alias("song_id"))
+                 .agg(F.sum(F.col("rating") * F.col("sim")).alias("num"), F.sum("sim").alias("den"),
+                      F.max("mark").alias("rated")))
+
+
+def _pred(digits: int | None) -> F.Column:
+    pred = F.coalesce(F.try_divide("num", "den"), F.lit(0.0))
+    return F.round(pred, digits) if digits is not None else pred
+
+
 def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6) -> DataFrame:
     """G5/J10/A21 for all users at once: similarity-weighted mean of the user's ratings
     over the neighbours of each item that the user rated; 0/0 -> 0 (X31).
 
     (user, item) pairs where no neighbour was rated carry no row: their
-    prediction is 0 and they are never recommended.  The neighbour table has
-    at most (items x k) rows; when that count is checked to be small it is
-    broadcast and the ratings stay partitioned by uid, so the aggregate per
-    (uid, item) needs no exchange.  Beyond the bound it is a shuffle join on
-    the rated item.
+    prediction is 0 and they are never recommended.
     """
-    nb, _ = checked_broadcast(neigh.select("item_i", "item_j", "sim"))
-    rated = by_user(util)
-    agg = (rated.join(nb, rated.song_id == nb.item_j)
-                .groupBy("uid", F.col("item_i").alias("song_id"))
-                .agg(F.sum(F.col("rating") * F.col("sim")).alias("num"), F.sum("sim").alias("den")))
-    pred = F.coalesce(F.try_divide("num", "den"), F.lit(0.0))
-    if digits is not None:
-        pred = F.round(pred, digits)
-    return agg.select("uid", "song_id", pred.alias("pred"))
+    return _scored(util, neigh).where(F.col("den") > 0).select("uid", "song_id", _pred(digits).alias("pred"))
 
 
-def top_n(pred: DataFrame, util: DataFrame, names: DataFrame | None = None, n: int = TOP_N) -> DataFrame:
+def recommend(util: DataFrame, neigh: DataFrame, names: DataFrame | None = None, n: int = TOP_N,
+              digits: int | None = 6) -> DataFrame:
     """The n best unrated songs per user (ties to the larger song id), with a name."""
-    unrated = pred.join(by_user(util).select("uid", "song_id"), ["uid", "song_id"], "left_anti")
+    cand = (_scored(util, neigh).where((F.col("den") > 0) & (F.col("rated") == 0))
+            .select("uid", "song_id", _pred(digits).alias("pred")))
+    w = Window.partitionBy("uid").orderBy(F.desc("pred"), F.desc("song_id"))
+    out = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    if names is not None:
+        out = out.join(names, "song_id", "left")
+    return out
+
+
+def top_n(pred: DataFrame, util: DataFrame, names: DataFrame | None = None, n: int = TOP_N) -> DataFrame:
+    """O4/J8 for any prediction table: anti join with the rated pairs, then top n per user."""
+    unrated = pred.join(util.select("uid", "song_id"), ["uid", "song_id"], "left_anti")
     w = Window.partitionBy("uid").orderBy(F.desc("pred"), F.desc("song_id"))
     out = unrated.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     if names is not None:

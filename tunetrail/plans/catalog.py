@@ -349,8 +349,7 @@ def q_predicted(spark, sf_dir):
 def q_top_n(spark, sf_dir):
     r = rated(spark, sf_dir)
     u = cut_lineage(ia.utility(r))
-    pred = cf.predict(u, neighbour_table(u))
-    return cf.top_n(pred, u, ia.song_names(r))
+    return cf.recommend(u, neighbour_table(u), ia.song_names(r))
 
 
 @query("masked_errors")
