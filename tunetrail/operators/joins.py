@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tunetrail.session import cut_lineage
+
 # Fixed default: a side of at most this many rows may be broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -12,10 +14,13 @@ BROADCAST_MAX_ROWS = 2_000_000
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Return (side, broadcast?) -- broadcast hint only when the row count is proven small.
 
-    The count is one cheap job over an already-reduced table (an aggregate or
-    a distinct key list).  Beyond the bound the side is returned unhinted and
-    the join runs as a shuffle join, where AQE may still convert or split it.
+    The side (an aggregate or a key list) is first written to the shared
+    checkpoint folder, so its upstream runs once: the count reads the
+    written table, and so does the join.  Beyond the bound the side is
+    returned unhinted and the join runs as a shuffle join, where AQE may
+    still split skewed partitions.
     """
+    small = cut_lineage(small)
     n = small.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(small), True

@@ -32,12 +32,12 @@ def plays_percentile(per_user: DataFrame, q: float = BOT_PERCENTILE) -> DataFram
 def bots_removed(per_user: DataFrame, q: float = BOT_PERCENTILE) -> DataFrame:
     """users strictly below the percentile (null uid dropped).
 
-    The one-row threshold is joined as a scalar (a cross join with a single
-    row is a broadcast nested-loop of size 1), so nothing reaches the driver.
+    The threshold is a scalar subquery: Spark evaluates the one-row
+    aggregate once and filters with its value, nothing passes through the
+    driver and no join is planned.
     """
     thr = plays_percentile(per_user, q)
-    return (per_user.where(F.col("uid").isNotNull()).crossJoin(F.broadcast(thr))
-                    .where(F.col("n_plays") < F.col("threshold")).drop("threshold"))
+    return per_user.where(F.col("uid").isNotNull() & (F.col("n_plays") < thr.scalar()))
 
 
 def log_histogram(per_user: DataFrame, width: float = 0.2, top: float = 4.8) -> DataFrame:

@@ -320,6 +320,15 @@ def q_utility(spark, sf_dir):
     return util_table(spark, sf_dir)
 
 
+@query("utility_extent")
+def q_utility_extent(spark, sf_dir):
+    """Extent of the rating matrix -- largest ids, distinct users and songs, cells."""
+    u = util_table(spark, sf_dir)
+    return u.agg(F.max("uid").alias("max_uid"), F.max("song_id").alias("max_song_id"),
+                 F.count_distinct("uid").alias("n_users"), F.count_distinct("song_id").alias("n_songs"),
+                 F.count(F.lit(1)).alias("n_cells"))
+
+
 @query("song_names")
 def q_song_names(spark, sf_dir):
     return ia.song_names(rated(spark, sf_dir))

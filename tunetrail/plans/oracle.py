@@ -242,6 +242,9 @@ names AS (SELECT song_id, min(song_name) AS song_name FROM rated GROUP BY song_i
 register("ratings", f"WITH {RATED} SELECT * FROM rated")
 register("utility", f"WITH {RATED} SELECT * FROM util")
 register("song_names", f"WITH {RATED} SELECT * FROM names")
+register("utility_extent", f"""WITH {RATED}
+SELECT max(uid) AS max_uid, max(song_id) AS max_song_id, CAST(count(DISTINCT uid) AS BIGINT) AS n_users,
+       CAST(count(DISTINCT song_id) AS BIGINT) AS n_songs, CAST(count(*) AS BIGINT) AS n_cells FROM util""")
 register("item_similarity", f"WITH {RATED} SELECT * FROM sim")
 register("item_neighbours", f"WITH {RATED} SELECT * FROM neigh")
 register("predicted_ratings", f"WITH {RATED} SELECT * FROM pred")
