@@ -149,3 +149,25 @@ def test_metrics_zero_denominator(spark):
     df = spark.createDataFrame([(1, 0, 0.2, "test"), (2, 0, 0.5, "test")], "uid long, label int, p double, split string")
     r = mt.classification_report(df).first()
     assert r.precision == 0.0 and r.recall == 0.0 and r.f1 == 0.0 and r.auc == 0.0 and r.accuracy == 1.0
+
+
+def test_shuffle_fallback_equals_broadcast(spark, monkeypatch):
+    """Beyond the checked bound the joins shuffle instead of broadcasting; results are identical."""
+    from tunetrail.operators import joins
+
+    u = _util(spark)
+    n = cf.neighbours(cf.item_similarity(u), k=5).cache()
+    a = _rows(cf.predict(u, n))
+    ra = _rows(cf.recommend(u, n, n=3))
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(cf, "checked_broadcast", lambda df: joins.checked_broadcast(df, 0))
+    assert _rows(cf.predict(u, n)) == a
+    assert _rows(cf.recommend(u, n, n=3)) == ra
+
+
+def test_to_pandas_small_refuses_large(spark):
+    from tunetrail.operators.explore import to_pandas_small
+
+    assert len(to_pandas_small(spark.range(5), 10)) == 5
+    with pytest.raises(ValueError):
+        to_pandas_small(spark.range(50), 10)

@@ -68,3 +68,11 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def preview(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
     """O3: a limit with an explicit total order (a top-n, planned as TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(n)
+
+
+def to_pandas_small(df: DataFrame, max_rows: int = 100_000):
+    """K4: bring a small result (an aggregate) to the driver, refusing anything larger than ``max_rows``."""
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it with the executors instead")
+    return df.toPandas()

@@ -411,16 +411,27 @@ def q_logistic(spark, sf_dir):
     return md.fit_and_score(md.logistic(n_train), data)[1]
 
 
+_FOREST: dict = {}
+
+
+def forest_fit(spark, sf_dir):
+    """One forest fit shared by the queries of a session (scores, importances, report)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FOREST:
+        data, names = model_data(spark, sf_dir)
+        model, scored = md.fit_and_score(md.forest(), data)
+        _FOREST[key] = (model, scored, names)
+    return _FOREST[key]
+
+
 @query("forest_scores")
 def q_forest(spark, sf_dir):
-    data, _ = model_data(spark, sf_dir)
-    return md.fit_and_score(md.forest(), data)[1]
+    return forest_fit(spark, sf_dir)[1]
 
 
 @query("forest_importances")
 def q_forest_importances(spark, sf_dir):
-    data, names = model_data(spark, sf_dir)
-    model, _ = md.fit_and_score(md.forest(), data)
+    model, _, names = forest_fit(spark, sf_dir)
     return md.importances(model, names)
 
 
@@ -445,8 +456,7 @@ def q_grid_search(spark, sf_dir):
 @query("model_metrics")
 def q_model_metrics(spark, sf_dir):
     """The reference's per-model report: AUC, accuracy, precision, recall, F1 for train and test."""
-    data, _ = model_data(spark, sf_dir)
-    return round_doubles(mt.classification_report(md.fit_and_score(md.forest(), data)[1]))
+    return round_doubles(mt.classification_report(forest_fit(spark, sf_dir)[1]))
 
 
 # --------------------------------------------------------- factor models
