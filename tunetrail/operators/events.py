@@ -24,10 +24,13 @@ def unify(play: DataFrame, down: DataFrame, search: DataFrame) -> DataFrame:
     return out.select(*EVENT_COLUMNS)
 
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite",
+                      max_records_per_file: int = 5_000_000) -> None:
     """K1/K2: parquet partitioned by date, so date predicates prune whole folders.
 
-    Rows are clustered by date before the write so each task writes few
-    files per date folder.
+    No shuffle: every task sorts its own rows by date and writes at most one
+    file per date it holds (split at ``max_records_per_file``).  A
+    ``repartition('date')`` would send a whole day to a single task.
     """
-    df.repartition("date").write.mode(mode).partitionBy("date").parquet(path)
+    (df.sortWithinPartitions("date").write.mode(mode)
+       .option("maxRecordsPerFile", max_records_per_file).partitionBy("date").parquet(path))
