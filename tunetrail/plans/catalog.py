@@ -261,13 +261,13 @@ def q_split(spark, sf_dir):
 
 # ------------------------------------------------------------- recommender
 
-# Fixed values for the driver's data: plays after 2024-01-24 up to 01-30,
-# users with more than 5 plays, songs with more than 2.
+# Fixed values for the driver's data: events touching a song after
+# 2024-01-24 up to 01-30, users with more than 5, songs with more than 2.
 REC_AFTER, REC_UNTIL, REC_MIN_USER, REC_MIN_SONG = "2024-01-24", "2024-01-30", 5, 2
 
 
 def small_interactions(spark, sf_dir):
-    return ia.interactions(src.play_log_named(spark, sf_dir), F.to_date(F.lit(REC_AFTER)),
+    return ia.interactions(src.song_touches(spark, sf_dir), F.to_date(F.lit(REC_AFTER)),
                            F.to_date(F.lit(REC_UNTIL)), REC_MIN_USER, REC_MIN_SONG)
 
 
@@ -278,13 +278,13 @@ def q_interactions(spark, sf_dir):
 
 @query("active_users")
 def q_active_users(spark, sf_dir):
-    w = ia.window_plays(src.play_log_named(spark, sf_dir), F.to_date(F.lit(REC_AFTER)), F.to_date(F.lit(REC_UNTIL)))
+    w = ia.window_plays(src.song_touches(spark, sf_dir), F.to_date(F.lit(REC_AFTER)), F.to_date(F.lit(REC_UNTIL)))
     return ia.active_users(w, REC_MIN_USER)
 
 
 @query("popular_songs")
 def q_popular_songs(spark, sf_dir):
-    w = ia.window_plays(src.play_log_named(spark, sf_dir), F.to_date(F.lit(REC_AFTER)), F.to_date(F.lit(REC_UNTIL)))
+    w = ia.window_plays(src.song_touches(spark, sf_dir), F.to_date(F.lit(REC_AFTER)), F.to_date(F.lit(REC_UNTIL)))
     by_user = w.join(ia.active_users(w, REC_MIN_USER).select("uid"), "uid", "left_semi")
     return ia.popular_songs(by_user, REC_MIN_SONG)
 

@@ -206,8 +206,10 @@ SPLIT = "CASE WHEN (('0x' || substr(md5(CAST(uid AS VARCHAR) || 'split'), 1, 8))
 register("train_test_split", f"WITH lbl AS ({label_sql()}) SELECT uid, {SPLIT} AS split FROM lbl")
 
 # ------------------------------------------------------------- recommender
-NAMED = f"""{EV}, named AS (SELECT ev.uid, ev.song_id, part.p_name AS song_name, ev.date FROM ev
-  LEFT JOIN part ON part.p_partkey = ev.song_id WHERE ev.event = 'P'),
+NAMED = f"""touch AS (SELECT user_id AS uid, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS song_id,
+  CAST(ts AS DATE) AS date FROM events),
+named AS (SELECT touch.uid, touch.song_id, part.p_name AS song_name, touch.date FROM touch
+  LEFT JOIN part ON part.p_partkey = touch.song_id),
 win AS (SELECT * FROM named WHERE uid IS NOT NULL AND song_id IS NOT NULL AND song_name IS NOT NULL
         AND date IS NOT NULL AND date > DATE '2024-01-24' AND date <= DATE '2024-01-30'),
 act AS (SELECT uid, CAST(count(*) AS BIGINT) AS plays FROM win GROUP BY uid HAVING count(*) > 5),

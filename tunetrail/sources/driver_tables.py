@@ -83,6 +83,18 @@ def play_log_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return play_log(spark, sf_dir).join(song_names(spark, sf_dir), "song_id", "left")
 
 
+def song_touches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small recommender source: every event with its song k (any type), named from ``part``.
+
+    On the driver's data plays alone are too sparse for the active-user rule
+    (more than 5 plays in 6 days), so each event touching a song counts as a
+    listen, as in SURVEY §7.4.
+    """
+    ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("uid"), _song_key().alias("song_id"),
+                                               F.col("ts").cast("date").alias("date"))
+    return ev.join(song_names(spark, sf_dir), "song_id", "left")
+
+
 def purchase_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rated source: (uid, song_id, song_name, counts) = customer, part, summed quantity.
 
