@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunetrail.functions.exprs import nan_to_zero
 from tunetrail.operators.joins import checked_broadcast
 
 # Neighbourhood size 75, list length 10.
@@ -164,7 +165,7 @@ def _scored(util: DataFrame, neigh: DataFrame) -> DataFrame:
 
 
 def _pred(digits: int | None) -> F.Column:
-    pred = F.coalesce(F.try_divide("num", "den"), F.lit(0.0))
+    pred = nan_to_zero(F.try_divide("num", "den"))  # N5: 0/0 -> 0
     return F.round(pred, digits) if digits is not None else pred
 
 

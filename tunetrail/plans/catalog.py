@@ -18,20 +18,20 @@ from tunetrail.functions.dates import DRIVER_WINDOWS as W
 from tunetrail.functions.dates import in_range
 from tunetrail.operators import events as evx
 from tunetrail.operators import explore as ex
+from tunetrail.operators import features as fx
+from tunetrail.operators import label as lb
 from tunetrail.operators import metrics as mt
 from tunetrail.operators import models as md
 from tunetrail.operators import population as pop
+from tunetrail.operators import training as tr
 from tunetrail.operators.recsys import evaluate as ev_
 from tunetrail.operators.recsys import factors as fa
 from tunetrail.operators.recsys import interactions as ia
 from tunetrail.operators.recsys import itemcf as cf
 from tunetrail.plans import lines
 from tunetrail.session import cut_lineage
-from tunetrail.sources import logs
-from tunetrail.operators import features as fx
-from tunetrail.operators import label as lb
-from tunetrail.operators import training as tr
 from tunetrail.sources import driver_tables as src
+from tunetrail.sources import logs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -540,4 +540,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q_training_fused(spark, sf_dir)
 
 
-__all__ = ["QUERIES", "flagship", "fx"]
+__all__ = ["QUERIES", "flagship"]
