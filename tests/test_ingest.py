@@ -123,3 +123,14 @@ def test_read_archives(spark, tmpdir_path):
     table = logs.read_archives(spark, d, "play")
     good_rows = table.where(F.col("date") == dt.date(2017, 3, 30)).collect()
     assert sorted(r.uid for r in good_rows) == [1, 2, 3, 4, 5]
+
+
+def test_gzip_daily_logs(spark, tmpdir_path):
+    import gzip
+
+    d = os.path.join(tmpdir_path, "gz")
+    os.makedirs(d)
+    with gzip.open(os.path.join(d, "20170405_1_play.log.gz"), "wb") as f:
+        f.write(("\n".join(_play(str(u)) for u in (11, 12)) + "\n").encode())
+    rows = logs.read_text_logs(spark, d, "play").collect()
+    assert sorted(r.uid for r in rows) == [11, 12] and all(r.date == dt.date(2017, 4, 5) for r in rows)

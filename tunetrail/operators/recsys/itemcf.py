@@ -141,7 +141,7 @@ def neighbours(sim: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
                .where(F.col("rank") <= k))
 
 
-def _scored(util: DataFrame, neigh: DataFrame) -> DataFrame:
+def _scored(util: DataFrame, neigh: DataFrame, with_marks: bool = True) -> DataFrame:
     """Per (uid, item): sum(r * sim), sum(sim) over the item's neighbours the user
     rated, and whether the user rated the item itself.
 
@@ -154,9 +154,11 @@ def _scored(util: DataFrame, neigh: DataFrame) -> DataFrame:
     shuffle join on the rated item.
     """
     nb = neigh.select("item_i", "item_j", "sim", F.lit(0).alias("mark"))
-    marks = neigh.select("item_i").distinct().select("item_i", F.col("item_i").alias("item_j"),
-                                                      F.lit(0.0).alias("sim"), F.lit(1).alias("mark"))
-    side, _ = checked_broadcast(nb.unionByName(marks))
+    if with_marks:
+        marks = neigh.select("item_i").distinct().select("item_i", F.col("item_i").alias("item_j"),
+                                                          F.lit(0.0).alias("sim"), F.lit(1).alias("mark"))
+        nb = nb.unionByName(marks)
+    side, _ = checked_broadcast(nb)
     rated = by_user(util)
     return (rated.join(side, rated.song_id == side.item_j)
                  .groupBy("uid", F.col("item_i").alias("song_id"))
@@ -176,7 +178,8 @@ def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6) -> DataFr
     (user, item) pairs where no neighbour was rated carry no row: their
     prediction is 0 and they are never recommended.
     """
-    return _scored(util, neigh).where(F.col("den") > 0).select("uid", "song_id", _pred(digits).alias("pred"))
+    scored = _scored(util, neigh, with_marks=False)
+    return scored.where(F.col("den") > 0).select("uid", "song_id", _pred(digits).alias("pred"))
 
 
 def recommend(util: DataFrame, neigh: DataFrame, names: DataFrame | None = None, n: int = TOP_N,
