@@ -171,3 +171,18 @@ def test_to_pandas_small_refuses_large(spark):
     assert len(to_pandas_small(spark.range(5), 10)) == 5
     with pytest.raises(ValueError):
         to_pandas_small(spark.range(50), 10)
+
+
+def test_auc_matches_spark_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = np.random.default_rng(3)
+    n = 500
+    p = np.round(rng.random(n), 3)
+    y = (rng.random(n) < p).astype(int)
+    df = spark.createDataFrame([(int(i), int(a), float(b), "all") for i, (a, b) in enumerate(zip(y, p))],
+                               "uid long, label int, p double, split string")
+    ours = mt.roc_auc(df).first().auc
+    ev = BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="label", numBins=0)
+    theirs = ev.evaluate(df.withColumn("label", F.col("label").cast("double")))
+    assert math.isclose(ours, theirs, rel_tol=1e-9)
