@@ -2,7 +2,7 @@
 
 import os
 
-from tunetrail.streaming.ingest import daily_counts, ingest, log_stream
+from tunetrail.streaming.ingest import daily_counts, ingest, ingest_events, log_stream
 
 T = "\t"
 
@@ -45,3 +45,19 @@ def test_daily_counts_stream(spark, tmpdir_path):
     got = {str(r.date): r.n for r in spark.sql("SELECT * FROM daily_counts_test").collect()}
     q.stop()
     assert got == {"2017-04-01": 2, "2017-04-02": 1}
+
+
+def test_event_log_stream_union(spark, tmpdir_path):
+    land = {k: os.path.join(tmpdir_path, k) for k in ("play", "down", "search")}
+    for d in land.values():
+        os.makedirs(d)
+    _write(os.path.join(land["play"], "20170401_1_play.log"), [1, 2])
+    with open(os.path.join(land["down"], "20170401_1_down.log"), "wb") as f:
+        f.write(T.join(["3", "ip", "77", "n", "s", "0"]).encode("latin-1") + b"\n")
+    with open(os.path.join(land["search"], "20170402_1_search.log"), "wb") as f:
+        f.write(T.join(["4", "ar", "1491100000", "caf\xe9"]).encode("latin-1") + b"\n")
+    table = os.path.join(tmpdir_path, "events")
+    q = ingest_events(spark, land, table, os.path.join(tmpdir_path, "ckpt_ev"))
+    q.awaitTermination(120)
+    rows = sorted((r.event, r.uid, r.song_id) for r in spark.read.parquet(table).collect())
+    assert rows == [("D", 3, 77), ("P", 1, 5), ("P", 2, 5), ("S", 4, None)]

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tunetrail.operators.events import unify
 from tunetrail.sources.logs import ENCODING, FIRST_DATE, file_date, keep_file, parse_lines
 
 
@@ -48,3 +49,18 @@ def ingest(spark: SparkSession, landing_dir: str, kind: str, table_dir: str, che
 def daily_counts(stream: DataFrame) -> DataFrame:
     """Rows per day of a log stream (K4's daily count), maintained incrementally in complete mode."""
     return stream.groupBy("date").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ingest_events(spark: SparkSession, landing: dict, table_dir: str, checkpoint_dir: str,
+                  first_date: str = FIRST_DATE, available_now: bool = True) -> StreamingQuery:
+    """U2 incrementally: the three kinds' new files, unioned into the unified event log table.
+
+    ``landing`` maps 'play' / 'down' / 'search' to their landing folders.
+    """
+    ev = unify(log_stream(spark, landing["play"], "play", first_date),
+               log_stream(spark, landing["down"], "down", first_date),
+               log_stream(spark, landing["search"], "search", first_date))
+    writer = (ev.writeStream.format("parquet").outputMode("append")
+                .option("checkpointLocation", checkpoint_dir).partitionBy("date"))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start(table_dir)
