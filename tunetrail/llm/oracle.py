@@ -1,3 +1,22 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3 = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce({_ASCII_LOWER.format('text')}, ''), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) item, list_filter(regexp_split_to_array({_ASCII_LOWER.format('text')}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w FROM benchmark WHERE text IS NOT NULL),
+p AS (SELECT DISTINCT item, least(len(w), 13) n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') k
+      FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM p),
+win AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') k FROM d, sizes, unnest(range(1, len(w) - n + 2)) t(i)),
+hit AS (SELECT DISTINCT doc_id, i, n, item FROM win JOIN p USING (n, k)),
+pos AS (SELECT doc_id, count(DISTINCT j) n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hit), unnest(range(i, i + n)) t(j) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item) n_items, array_to_string(list_sort(list(DISTINCT item)), ',') ids FROM hit GROUP BY doc_id)
+SELECT d.doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(ids, '')) items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": OP3,
+}
