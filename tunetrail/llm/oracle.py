@@ -17,6 +17,18 @@ SELECT d.doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0)
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+OP10 = r"""
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) ls FROM documents),
+l AS (SELECT doc_id, source, i pos, ls[i] raw, trim(regexp_replace(ls[i], '[\t\r]+', ' ', 'g')) line FROM d, unnest(range(1, len(ls) + 1)) t(i)),
+wide AS (SELECT line, min(row(doc_id, pos)) AS first FROM l WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 5),
+m AS (SELECT doc_id, pos, raw, wide.line IS NOT NULL AND row(doc_id, pos) <> first AS gone FROM l LEFT JOIN wide USING (line))
+SELECT doc_id, count(*) n_lines, count(*) FILTER (gone) n_removed,
+       length(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '')) n_chars_clean,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '')) clean_sha256
+FROM m GROUP BY doc_id
+"""
+
 SQL: dict[str, str] = {
     "op3_benchmark_decontamination": OP3,
+    "op10_line_dedup": OP10,
 }

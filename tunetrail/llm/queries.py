@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, neardup, packing
+from tunetrail.llm import decontaminate, linededup, neardup, packing
 from tunetrail.llm.common import table
 
 
@@ -30,8 +31,14 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = linededup.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars_clean"), F.sha2(F.col("text").cast("binary"), 256).alias("clean_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
