@@ -1,20 +1,59 @@
-"""Corpus pipeline: documents through the training-data operators, stage by stage."""
+"""Corpus pipeline: documents through the training-data operators, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns that they got.  Rows with null or empty texts pass the
+filters; rows that repeat an id and text are one document and stay or go
+together; other columns of ``docs`` are kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tunetrail.llm import decontaminate, linededup, neardup, packing, queries, toxicity
+from tunetrail.llm.common import checkpointed, stored, table
+
+#: Documents with this toxicity score or more are rejected.
+TOXIC = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the toxicity model rejects.  It learns from the labels that its query learns from."""
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), ~queries.toxicity_held_out())
+    return scored.where(F.col("score") < TOXIC).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of many sites, each but at its first place; every document stays, n_chars follows its text."""
+    clean = linededup.remove_boilerplate(docs)
+    return clean.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the least id.  Rows without an id stay."""
+    gone = checkpointed(neardup.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
 
-from tunetrail.llm import packing, queries
-from tunetrail.llm.common import table
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold too much of the benchmark."""
+    row = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    found = decontaminate.find_contamination(row, table(spark, sf_dir, "benchmark"), id_col="_id", text_col="_text", keep=("_row",))
+    return found.where("not contaminated").select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents, packed into sequences."""
     return packing.pack_documents(docs, packing.vocabulary(queries.tokenizer_path()))
 
 
 STAGES = [
-    ("best_fit_packing", best_fit_packing),
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_boilerplate_lines),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("best_fit_packing", pack),
 ]
 
 #: SQL expresses neither the trained stage nor the packing; tests hold the stages against brute force.
@@ -22,8 +61,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, one after the other."""
+    """The stages applied to ``documents``, one after the other; what each keeps is written once."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stored(docs)
     return docs

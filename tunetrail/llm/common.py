@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.session import cut_lineage
+from tunetrail.session import cut_lineage, shared_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder, and read again."""
+    path = shared_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def exclusive(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Only the named columns, so that other columns of the caller's table can't clash with ours."""
     return df.select(*[F.col(f"`{n}`") for n in names])

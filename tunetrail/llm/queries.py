@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, linededup, neardup, packing
-from tunetrail.llm.common import table
+from tunetrail.llm import decontaminate, linededup, neardup, packing, toxicity
+from tunetrail.llm.common import crc_bucket, table
 
 
 def tokenizer_path() -> str:
@@ -31,6 +31,16 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def toxicity_held_out() -> Column:
+    return F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = toxicity_held_out()
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("row.doc_id", "score").select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = linededup.remove_boilerplate(table(spark, sf_dir, "documents"))
     return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars_clean"), F.sha2(F.col("text").cast("binary"), 256).alias("clean_sha256"))
@@ -40,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
