@@ -31,8 +31,8 @@ from tunetrail.llm.components import connected_components
 
 SHINGLE, SIMILARITY = 4, 80
 HASHES, MATCHES = 32, 13
-#: New pivots of a list in each later round, about.
-PIVOTS = 8
+#: New pivots of a list in each later round, about: at least so many, and as many as make so many pairs.
+PIVOTS, LIST_PAIRS = 8, 16_384
 #: Slots of the filter that tells which documents' full sets are needed: 8 MB, whatever the corpus size.
 FILTER_SLOTS = 1 << 26
 
@@ -142,15 +142,26 @@ def _star_pairs(postings: DataFrame) -> DataFrame:
 
 
 def _open_lists(postings: DataFrame, used: DataFrame, roots: DataFrame) -> DataFrame:
-    """(j, v, node, label, major, minor, first) of the lists that still hold classes of more than one component, without used pivots."""
+    """(j, v, node, label, major, turns, first) of the lists that still hold classes of more than one component, without
+    used pivots: the largest component, in how many turns the others' classes become pivots, and the least of these."""
     left = postings.join(used, ["j", "v", "node"], "left_anti").join(roots.withColumnRenamed("root", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     size = left.groupBy("j", "v", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
     lists = (size.groupBy("j", "v").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("labels"))
-             .where("labels > 1").select("j", "v", F.col("top.label").alias("major"), (F.col("all") - F.col("top.n")).alias("minor")))
-    first = (size.join(lists, ["j", "v"]).where("label != major").groupBy("j", "v").agg(F.min("least").alias("first")))
+             .where("labels > 1").withColumn("minor", F.col("all") - F.col("top.n"))
+             .select("j", "v", F.col("top.label").alias("major"), F.greatest(F.lit(1), F.ceil(F.col("minor") / F.greatest(F.lit(PIVOTS), F.lit(LIST_PAIRS) / F.col("all"))).cast("long")).alias("turns")))
+    first = size.join(lists, ["j", "v"]).where("label != major").groupBy("j", "v").agg(F.min("least").alias("first"))
     return left.join(lists.join(first, ["j", "v"]), ["j", "v"])
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after the components in ``roots`` are joined by new links; only their roots are linked anew."""
+    of = roots.toDF("a", "root_a")
+    ends = links.join(of, "a", "left").join(roots.toDF("b", "root_b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    merged = connected_components(ends)
+    moved = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return checkpointed(moved.union(merged.join(roots, "node", "left_anti")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, hashes: int = HASHES, matches: int = MATCHES,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (least id reachable by links), kept (id = component_id).
@@ -163,35 +174,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     nodes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig")))
     postings = checkpointed(_postings(nodes, matches))
     sigs = nodes.select("node", "sig", "n_shingles")
-    other = sigs.toDF("pivot", "pivot_sig", "pivot_n")
+    others = sigs.toDF("pivot", "pivot_sig", "pivot_n")
     agree = F.aggregate(F.zip_with("sig", "pivot_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    sets = checkpointed(_full_sets(docs, postings.select("node").distinct().join(nodes.select("node", "doc"), "node"), shingle, id_col, text_col))
+    common = F.size(F.array_intersect("shingles", "pivot_shingles"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs (node, pivot) that agree in enough coordinates and are linked by their full sets."""
-        close = checkpointed(pairs.join(sigs, "node").join(other, "pivot").where(agree >= matches).select("node", "pivot", "n_shingles", "pivot_n"))
-        ids = close.select("node").union(close.select("pivot")).distinct().join(nodes.select("node", "doc"), "node")
-        sets = checkpointed(_full_sets(docs, ids, shingle, id_col, text_col))
-        common = F.size(F.array_intersect("shingles", "pivot_shingles"))
-        return (close.join(sets, "node").join(sets.toDF("pivot", "pivot_shingles"), "pivot")
-                .where(100 * common >= similarity * (F.col("n_shingles") + F.col("pivot_n") - common)).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        """(a, b) of the pairs (node, pivot) that agree in enough coordinates and are linked by their full sets."""
+        close = pairs.join(sigs, "node").join(others, "pivot").where(agree >= matches).select("node", "pivot", "n_shingles", "pivot_n")
+        return checkpointed(close.join(sets, "node").join(sets.toDF("pivot", "pivot_shingles"), "pivot")
+                            .where(100 * common >= similarity * (F.col("n_shingles") + F.col("pivot_n") - common)).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
 
     star = checkpointed(_star_pairs(postings))
     used = star.select("j", "v", F.col("pivot").alias("node")).distinct()
-    links = checkpointed(confirmed(star.select("node", "pivot").distinct()))
-    roots = connected_components(links)
+    roots = connected_components(confirmed(star.select("node", "pivot").distinct()))
     step = 0
     while True:
         step += 1
         lists = checkpointed(_open_lists(postings, used, roots))
         if lists.isEmpty():
             break
-        turn = F.pmod(F.xxhash64("node", "j", "v", F.lit(step)), F.greatest(F.lit(1), F.ceil(F.col("minor") / PIVOTS).cast("long"))) == 0
+        turn = F.pmod(F.xxhash64("node", "j", "v", F.lit(step)), "turns") == 0
         pivots = checkpointed(lists.where((F.col("label") != F.col("major")) & (turn | (F.col("node") == F.col("first")))).select("j", "v", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
         pairs = (lists.join(pivots, ["j", "v"]).where((F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("pivot")))
                  .select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct())
-        links = checkpointed(links.union(confirmed(pairs)))
         used = checkpointed(used.union(pivots.select("j", "v", F.col("pivot").alias("node"))))
-        roots = connected_components(links)
+        roots = _joined(roots, confirmed(pairs))
 
     named = nodes.select("node", "doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
