@@ -22,6 +22,8 @@ MIN_SITES = 5
 LG_K = 12
 #: Estimates within this share of the threshold are counted exactly: over six standard errors.
 BAND = 0.1
+#: Parts that the places of a line on one site are dealt into.
+SALT = 32
 
 
 def _key(line: Column) -> Column:
@@ -49,7 +51,9 @@ def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     low, high = min_sites * (1 - band), min_sites * (1 + band)
     wide = checkpointed(spread.select("key", F.hll_sketch_estimate("sketch").alias("sites"), "first").where(F.col("sites") >= low))
     near = wide.where(F.col("sites") <= high)
-    counted = keyed.join(near.select("key"), "key", "left_semi").groupBy("key", "site").agg(F.lit(1).alias("one")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    salt = F.pmod(F.hash("at"), F.lit(SALT)).alias("salt")  # a line's many places are dealt over several tasks
+    dealt = keyed.join(near.select("key"), "key", "left_semi").select("key", "site", salt).repartition("key", "site", "salt").distinct()
+    counted = dealt.select("key", "site").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     return (wide.join(counted, "key", "left").withColumn("exact", F.col("n").isNotNull())
             .select("key", F.coalesce("n", "sites").alias("sites"), "exact", "first").where(F.col("sites") >= min_sites))
 
