@@ -17,6 +17,33 @@ SELECT d.doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0)
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
+_SPANS = """
+{kind}_a AS (SELECT doc_id, source, lang, regexp_split_to_array(text, {p}) s, regexp_extract_all(text, {p}, 0) m, regexp_extract_all(text, {p}, {g}) v
+             FROM documents WHERE regexp_matches(text, {p})),
+{kind} AS (SELECT doc_id, source, lang, '{kind}' kind, {k} k, v[i] val,
+                  list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS a, length(m[i]) n
+           FROM {kind}_a, unnest(range(1, len(m) + 1)) t(i) WHERE {ok})"""
+_VALUE = r"""'((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'"""
+
+OP1 = "WITH" + ",".join([
+    _SPANS.format(kind="assign", k=1, p=_VALUE, g=2, ok="length(v[i]) >= 6"),
+    _SPANS.format(kind="access", k=2, p="'AKIA[A-Z0-9]+'", g=0, ok="length(m[i]) >= 20"),
+    _SPANS.format(kind="hex", k=3, p="'[0-9a-f]+'", g=0, ok="length(m[i]) >= 24"),
+    _SPANS.format(kind="token", k=4, p="'[A-Za-z0-9+/_-]+'", g=0, ok="length(m[i]) >= 24 AND regexp_matches(m[i], '[0-9]') AND regexp_matches(m[i], '[A-Z]') AND regexp_matches(m[i], '[a-z]')"),
+]) + """,
+found AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex UNION ALL SELECT * FROM token),
+owned AS (SELECT val, count(DISTINCT source) >= 3 example FROM found GROUP BY val),
+judged AS (SELECT f.*, example, NOT example AND len(list_distinct(string_split(val, ''))) >= 8 live FROM found f JOIN owned USING (val)),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') n_assign, count(*) FILTER (kind = 'access') n_access, count(*) FILTER (kind = 'hex') n_hex,
+               count(*) FILTER (kind = 'token') n_token, count(*) FILTER (live) n_live, count(*) FILTER (example) n_example,
+               string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, k) FILTER (kind <> 'token') base,
+               string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, k) spans
+        FROM judged WHERE kind <> 'token' OR live GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex, sha256(coalesce(base, '')) base_sha256,
+       coalesce(spans, '') spans, coalesce(n_token, 0) n_token, coalesce(n_live, 0) n_live, coalesce(n_example, 0) n_example
+FROM documents d LEFT JOIN per USING (doc_id)
+"""
+
 OP10 = r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) ls FROM documents),
 l AS (SELECT doc_id, source, i pos, ls[i] raw, trim(regexp_replace(ls[i], '[\t\r]+', ' ', 'g')) line FROM d, unnest(range(1, len(ls) + 1)) t(i)),
@@ -29,6 +56,7 @@ FROM m GROUP BY doc_id
 """
 
 SQL: dict[str, str] = {
+    "op1_secret_scans": OP1,
     "op3_benchmark_decontamination": OP3,
     "op10_line_dedup": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, linededup, neardup, packing, toxicity
+from tunetrail.llm import decontaminate, linededup, neardup, packing, secrets, toxicity
 from tunetrail.llm.common import crc_bucket, table
 
 
@@ -18,6 +18,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source stands for an owner, its documents of one language for a repository."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+    base = secrets.span_digest(F.col("base"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base.cast("binary"), 256).alias("base_sha256"), secrets.span_digest(F.col("spans")).alias("spans"), "n_token", "n_live", "n_example")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), packing.vocabulary(tokenizer_path()))
 
@@ -47,6 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": op1_secret_scans,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
