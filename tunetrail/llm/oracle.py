@@ -1,5 +1,9 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from __future__ import annotations
+
+from tunetrail.llm.licenses import COPYRIGHT, KNOWN, SPELLINGS
+
 _ASCII_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP3 = rf"""
@@ -44,6 +48,36 @@ SELECT d.doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access,
 FROM documents d LEFT JOIN per USING (doc_id)
 """
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _op5() -> str:
+    plain = f"regexp_replace(lower(regexp_replace(coalesce(text, ''), {_quoted('(?im)' + COPYRIGHT)}, '', 'g')), '[^\\p{{L}}\\p{{N}}\\n]+', '  ', 'g')"
+    worded = f"' ' || replace({plain}, chr(10), ' ' || chr(10) || ' ') || ' '"
+
+    def finished(x: str) -> str:
+        out = f"(' ' || trim(regexp_replace(replace({x}, chr(10), ''), ' {{3,}}', '  ', 'g')) || ' ')"
+        for said, meant in SPELLINGS:
+            out = f"replace({out}, {_quoted(' ' + said.replace(' ', '  ') + ' ')}, {_quoted(' ' + meant.replace(' ', '  ') + ' ')})"
+        return f"replace(trim({out}), '  ', ' ')"
+
+    known = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, _, t in KNOWN)
+    return f"""
+WITH k AS (SELECT sha256({finished('w')}) digest, min(id) id FROM (SELECT id, {worded} w FROM (VALUES {known}) v(id, text)) GROUP BY 1),
+d AS (SELECT doc_id, {worded} w FROM documents),
+u AS (SELECT doc_id, 'text' unit, w FROM d UNION ALL SELECT doc_id, 'line', unnest(string_split(w, chr(10))) FROM d
+      UNION ALL SELECT doc_id, 'paragraph', unnest(regexp_split_to_array(w, '\\n[ ]*\\n')) FROM d),
+c AS (SELECT doc_id, unit, {finished('w')} canon FROM u),
+m AS (SELECT doc_id, unit, sha256(canon) digest, CASE WHEN canon <> '' THEN id END id FROM c LEFT JOIN k ON sha256(canon) = k.digest WHERE unit = 'text' OR canon <> '')
+SELECT doc_id, max(digest) FILTER (unit = 'text') canon_sha256, max(id) FILTER (unit = 'text') license_id, count(id) FILTER (unit = 'line') n_lines,
+       count(id) FILTER (unit = 'paragraph') n_paragraphs, coalesce(array_to_string(list_sort(list(DISTINCT id) FILTER (id IS NOT NULL)), ','), '') licenses
+FROM m GROUP BY doc_id
+"""
+
+
+OP5 = _op5()
+
 OP10 = r"""
 WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) ls FROM documents),
 l AS (SELECT doc_id, source, i pos, ls[i] raw, trim(regexp_replace(ls[i], '[\t\r]+', ' ', 'g')) line FROM d, unnest(range(1, len(ls) + 1)) t(i)),
@@ -58,5 +92,6 @@ FROM m GROUP BY doc_id
 SQL: dict[str, str] = {
     "op1_secret_scans": OP1,
     "op3_benchmark_decontamination": OP3,
+    "op5_license_scans": OP5,
     "op10_line_dedup": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, linededup, neardup, packing, secrets, toxicity
+from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, secrets, toxicity
 from tunetrail.llm.common import crc_bucket, table
 
 
@@ -34,6 +34,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_license_scans": op5_license_scans,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
