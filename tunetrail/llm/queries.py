@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, secrets, toxicity
+from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, quality, secrets, toxicity
 from tunetrail.llm.common import crc_bucket, table
 
 
@@ -42,13 +42,20 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_bucket(F.col("doc_id"), 3) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("row.doc_id", "score").select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def toxicity_held_out() -> Column:
     return F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = toxicity_held_out()
-    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), ~held_out)
     return scored.select("row.doc_id", "score").select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -63,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op5_license_scans": op5_license_scans,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
