@@ -48,6 +48,15 @@ SELECT d.doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access,
 FROM documents d LEFT JOIN per USING (doc_id)
 """
 
+OP4 = """
+WITH v AS (SELECT vec_id, embedding, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) q FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id query_id, b.vec_id, list_dot_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -92,6 +101,7 @@ FROM m GROUP BY doc_id
 SQL: dict[str, str] = {
     "op1_secret_scans": OP1,
     "op3_benchmark_decontamination": OP3,
+    "op4_exact_top_k": OP4,
     "op5_license_scans": OP5,
     "op10_line_dedup": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, quality, secrets, toxicity
+from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, quality, secrets, topk, toxicity
 from tunetrail.llm.common import crc_bucket, table
 
 
@@ -34,6 +34,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integers(table(spark, sf_dir, "embeddings"))
+    found = topk.top_k(vectors.where(F.col("id") % topk.QUERY_EVERY == 0), vectors)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_license_scans": op5_license_scans,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
