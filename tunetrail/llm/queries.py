@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, quality, secrets, topk, toxicity
+from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, pii, quality, secrets, topk, toxicity
 from tunetrail.llm.common import crc_bucket, table
 
 
@@ -55,6 +55,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("row.doc_id", "score").select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan_pii(table(spark, sf_dir, "documents"))
+    base = pii.span_digest(F.col("base"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii.span_digest(F.col("spans")).alias("spans"), "n_other")
+
+
 def toxicity_held_out() -> Column:
     return F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scans": op5_license_scans,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
