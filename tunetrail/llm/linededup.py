@@ -46,7 +46,7 @@ def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K,
     ``sites`` is the sketch's estimate, or the exact count where that was near the threshold; ``first`` is the line's
     least (doc, body, pos).  A null site is one site of its own.
     """
-    keyed = lines.select(_key(F.col("line")).alias("key"), F.coalesce(F.concat(F.lit("="), "site"), F.lit("")).alias("site"), F.struct("doc", "body", "pos").alias("at"))
+    keyed = lines.select(_key(F.col("line")).alias("key"), F.coalesce(F.concat(F.lit("="), "site"), F.lit("-")).alias("site"), F.struct("doc", "body", "pos").alias("at"))
     spread = keyed.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"), F.min("at").alias("first"))
     low, high = min_sites * (1 - band), min_sites * (1 + band)
     wide = checkpointed(spread.select("key", F.hll_sketch_estimate("sketch").alias("sites"), "first").where(F.col("sites") >= low))

@@ -56,7 +56,7 @@ GAZETTEER = {
     "name": (r"(?i)\x20(?:john|mary|james|anna|peter|paul|maria|josé|carlos|hans|klaus|marie|pierre|jean|luis|david|michael|thomas|sarah|laura|smith|müller|garcía|dupont|brown|miller)\b", r"(?i)\x20(?:president|minister|king|queen|doctor|god)\b"),
 }
 LABELERS = ("strict", "gazetteer", "context", "against", "borders")
-STRICT = {"email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}$", "ip": r"^(?:(?:0|[1-9][0-9]{0,2})(?:\.|$)){4}$", "card": r"^[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{3,4}$|^[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}$",
+STRICT = {"email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)++[A-Za-z]{2,24}$", "ip": r"^(?:(?:0|[1-9][0-9]{0,2})(?:\.|$)){4}$", "card": r"^[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{3,4}$|^[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{5}$",
           "phone": r"^\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}$", "tel": r"^\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}$|^([0-9]{3})([ .-])[0-9]{3}\2[0-9]{4}$", "ssn": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
           "iban": r"^[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{4}){3,7}[A-Z0-9]{0,3}$|^[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?$", "name": r"^\p{Lu}[\p{L}]*\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?$"}
 #: Rounds of expectation-maximisation, and of the classifier's Newton steps.
