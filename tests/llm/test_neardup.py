@@ -72,9 +72,10 @@ def test_equals_brute_force(spark):
     assert found(neardup.near_duplicates(docs)) == brute(rows)
 
 
-def test_rounds_with_few_pivots(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "PIVOTS", 1)
-    monkeypatch.setattr(neardup, "LIST_PAIRS", 64)
+def test_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "FEW", 3)
+    monkeypatch.setattr(neardup, "MANY", 5)
+    monkeypatch.setattr(neardup, "SHORT", 4)
     docs = spark.createDataFrame([(i, t) for i, t in copies()[:50]], "doc_id long, text string")
     assert found(neardup.near_duplicates(docs)) == brute(copies()[:50])
 

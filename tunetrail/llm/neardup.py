@@ -7,13 +7,15 @@
    coordinates are posted, rarest first; values that only one class has take up places first and need no list.  What
    many documents share, such as a common passage, has the longest lists and is skipped.
 3. In each list the classes are compared with a pivot, the class whose values are the most common (the original of a
-   group of copies).  Pairs that agree in ``matches`` coordinates are confirmed on their full sets.
-4. Confirmed links give components.  A list whose classes are then all in one component is done; else the classes
-   outside its largest component become pivots in turn, until every pair of a list is either compared or in one
-   component.  So no link between components is lost, and a group of n copies costs about n comparisons.
-
-Misses: a pair of similarity ``s`` is compared unless it agrees in fewer than ``matches`` of ``hashes`` coordinates;
-for 32 and 13 at s = 0.8 that is one pair in two million, and far fewer above.
+   group of copies).  Pairs whose sketches agree in ``close`` bytes are confirmed on their full sets.
+4. Confirmed links give components.  A list whose classes are then all in one component is done.  In any other, the
+   classes outside its largest component are compared with all of the list that aren't in their component, by
+   sketches, in blocks of bounded size inside tasks; pairs whose sketches agree go on to their full sets.
+   So no link between components is lost, and a group of n linked copies costs n comparisons of sets, not n * n.
+
+Misses: a pair of similarity s is compared unless it agrees in fewer than ``matches`` of ``hashes`` coordinates, or its
+sketches in fewer than ``close`` of SKETCH bytes; for s = 0.8 that is one pair in five million and one in fifty
+million, and far fewer above.
 """
 
 from __future__ import annotations
@@ -31,13 +33,17 @@ from tunetrail.llm.components import connected_components
 
 SHINGLE, SIMILARITY = 4, 80
 HASHES, MATCHES = 32, 13
-#: New pivots of a list in each later round, about: at least so many, and as many as make so many pairs.
-PIVOTS, LIST_PAIRS = 8, 16_384
+#: Bytes of a sketch, each of a further MinHash coordinate, and how many must agree.
+SKETCH, CLOSE = 192, 121
+#: Classes of one list in a block: those outside its largest component, and those that they are compared with.
+FEW, MANY = 512, 2048
+#: Lists of so many classes at most share blocks.
+SHORT = 64
 #: Slots of the filter that tells which documents' full sets are needed: 8 MB, whatever the corpus size.
 FILTER_SLOTS = 1 << 26
 
 _UPPER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_MIX = np.random.default_rng(20240607).integers(1, 1 << 63, size=(2, 256), dtype=np.uint64) | np.uint64(1)
+_MIX = np.random.default_rng(20240607).integers(1, 1 << 63, size=(2, 512), dtype=np.uint64) | np.uint64(1)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -69,6 +75,15 @@ def signature(shingles: np.ndarray, hashes: int = HASHES) -> list[int]:
     return out.view(np.int64).tolist()
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """The last bytes of SKETCH further MinHash coordinates."""
+    out = np.empty(SKETCH, dtype=np.uint8)
+    for j in range(SKETCH):
+        v = (shingles ^ _MIX[0, -1 - j]) * _MIX[1, -1 - j]
+        out[j] = int((v ^ (v >> np.uint64(29))).min()) * 0x9E3779B97F4A7C15 >> 40 & 255
+    return out.tobytes()
+
+
 def _node(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
@@ -93,7 +108,7 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE, hashes: int = HASHES, id
 
 
 def _full_sets(docs: DataFrame, needed: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of at least the nodes in ``needed`` (node, doc).  A bitmap of the hashed ids, of fixed size,
+    """(node, shingles, sketch) of the nodes in ``needed`` (node, doc).  A bitmap of the hashed ids, of fixed size,
     spares most other documents; the texts aren't shuffled."""
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_SLOTS))
     bits = needed.select(slot("doc").alias("s")).groupBy(F.expr("bitmap_bucket_number(s)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s))").alias("bits"))
@@ -109,7 +124,7 @@ def _full_sets(docs: DataFrame, needed: DataFrame, shingle: int, id_col: str, te
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = np.unpackbits(packed).astype(bool)
-        schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+        schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64())), ("sketch", pa.binary())])
         for batch in it:
             batch = batch.filter(pa.array(flags[batch.column(0).to_numpy()]))
 
@@ -117,11 +132,11 @@ def _full_sets(docs: DataFrame, needed: DataFrame, shingle: int, id_col: str, te
                 for text in batch.column(1):
                     s = shingle_set(text.as_py(), shingle)
                     if len(s):
-                        yield _node(s), s.view(np.int64)
+                        yield _node(s), s.view(np.int64), sketch(s)
 
             yield from batches(rows(), schema, 200)
 
-    found = src.mapInArrow(run, "node binary, shingles array<long>")
+    found = src.mapInArrow(run, "node binary, shingles array<long>, sketch binary")
     return found.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -141,16 +156,68 @@ def _star_pairs(postings: DataFrame) -> DataFrame:
     return postings.join(pivot, ["j", "v"]).where(F.col("node") != F.col("pivot")).select("j", "v", "node", "pivot")
 
 
-def _open_lists(postings: DataFrame, used: DataFrame, roots: DataFrame) -> DataFrame:
-    """(j, v, node, label, major, turns, first) of the lists that still hold classes of more than one component, without
-    used pivots: the largest component, in how many turns the others' classes become pivots, and the least of these."""
-    left = postings.join(used, ["j", "v", "node"], "left_anti").join(roots.withColumnRenamed("root", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    size = left.groupBy("j", "v", "label").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("least"))
+def _open_lists(postings: DataFrame, pivots: DataFrame, roots: DataFrame) -> DataFrame:
+    """(j, v, node, label, major, minor, all) of the lists that, without their pivots, hold classes of more than one
+    component: the largest of these, and how many classes are outside of it and in the list."""
+    left = postings.join(pivots, ["j", "v", "node"], "left_anti").join(roots.withColumnRenamed("root", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    size = left.groupBy("j", "v", "label").agg(F.count(F.lit(1)).alias("n"))
     lists = (size.groupBy("j", "v").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("labels"))
-             .where("labels > 1").withColumn("minor", F.col("all") - F.col("top.n"))
-             .select("j", "v", F.col("top.label").alias("major"), F.greatest(F.lit(1), F.ceil(F.col("minor") / F.greatest(F.lit(PIVOTS), F.lit(LIST_PAIRS) / F.col("all"))).cast("long")).alias("turns")))
-    first = size.join(lists, ["j", "v"]).where("label != major").groupBy("j", "v").agg(F.min("least").alias("first"))
-    return left.join(lists.join(first, ["j", "v"]), ["j", "v"])
+             .where("labels > 1").select("j", "v", F.col("top.label").alias("major"), (F.col("all") - F.col("top.n")).alias("minor"), "all"))
+    return left.join(lists, ["j", "v"]).select("j", "v", "node", "label", "major", "minor", "all")
+
+
+def _agreeing(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return (sketches == one).sum(axis=1)
+
+
+def _bytes_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
+
+
+def _close_pairs(pairs: DataFrame, sketches: DataFrame, close: int) -> DataFrame:
+    """The pairs (node, pivot) whose sketches agree."""
+    both = pairs.join(sketches, "node").join(sketches.toDF("pivot", "pivot_sketch"), "pivot").select("node", "pivot", "sketch", "pivot_sketch")
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            keep = _agreeing(_bytes_matrix(batch.column(2)), _bytes_matrix(batch.column(3))) >= close
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return both.mapInArrow(run, "node binary, pivot binary")
+
+
+def _listed_pairs(lists: DataFrame, sketches: DataFrame, close: int) -> DataFrame:
+    """(node, pivot) of the classes in open lists that are in different components and whose sketches agree; one of them is outside the list's largest component."""
+    rows = lists.join(sketches, "node")
+    few, many = (F.greatest(F.lit(1), F.ceil(F.col(n) / size)).cast("int") for n, size in (("minor", FEW), ("all", MANY)))
+    part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    shared = max(64, lists.select("j", "v").where(F.col("all") <= SHORT).distinct().count() // 128)
+    group = F.when(F.col("all") <= SHORT, F.pmod(F.xxhash64("j", "v"), F.lit(shared))).otherwise(F.xxhash64("j", "v"))
+    rows = rows.select("j", "v", "node", "label", "major", "sketch", group.alias("g"), few.alias("few"), many.alias("many"))
+    left = rows.where("label != major").withColumn("a", part(F.col("few"))).withColumn("b", every(F.col("many")))
+    right = rows.withColumn("b", part(F.col("many"))).withColumn("a", every(F.col("few")))
+    names = ["g", "a", "b", "j", "v", "node", "label", "sketch"]
+
+    def compare(minor: pa.Table, others: pa.Table) -> pa.Table:
+        found: tuple[list, list] = ([], [])
+        if minor.num_rows and others.num_rows:
+            nodes, labels, sk = others.column("r_node").to_pylist(), np.array(others.column("r_label").to_pylist(), dtype=object), _bytes_matrix(others.column("r_sketch"))
+            at: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(others.column("r_j").to_pylist(), others.column("r_v").to_pylist())):
+                at.setdefault(key, []).append(i)
+            places = {key: np.array(i) for key, i in at.items()}
+            for j, v, node, label, one in zip(minor.column("j").to_pylist(), minor.column("v").to_pylist(), minor.column("node").to_pylist(), minor.column("label").to_pylist(), _bytes_matrix(minor.column("sketch"))):
+                k = places.get((j, v))
+                if k is not None:
+                    k = k[labels[k] != label]
+                    for i in k[_agreeing(sk[k], one) >= close]:
+                        found[0].append(max(node, nodes[i]))
+                        found[1].append(min(node, nodes[i]))
+        return pa.table({"node": pa.array(found[0], pa.binary()), "pivot": pa.array(found[1], pa.binary())})
+
+    left, right = left.select(names), right.select(names).toDF(*[f"r_{n}" for n in names])
+    return left.groupBy("g", "a", "b").cogroup(right.groupBy("r_g", "r_a", "r_b")).applyInArrow(compare, "node binary, pivot binary").distinct()
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -162,7 +229,7 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     return checkpointed(moved.union(merged.join(roots, "node", "left_anti")))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, hashes: int = HASHES, matches: int = MATCHES,
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, hashes: int = HASHES, matches: int = MATCHES, close: int = CLOSE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, n_shingles, component_id (least id reachable by links), kept (id = component_id).
 
@@ -173,33 +240,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     rows = checkpointed(signatures(docs, shingle, hashes, id_col, text_col).withColumnRenamed(id_col, "doc"))
     nodes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig")))
     postings = checkpointed(_postings(nodes, matches))
-    sigs = nodes.select("node", "sig", "n_shingles")
-    others = sigs.toDF("pivot", "pivot_sig", "pivot_n")
-    agree = F.aggregate(F.zip_with("sig", "pivot_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     sets = checkpointed(_full_sets(docs, postings.select("node").distinct().join(nodes.select("node", "doc"), "node"), shingle, id_col, text_col))
+    sketches, shingles = sets.select("node", "sketch"), sets.select("node", "shingles")
     common = F.size(F.array_intersect("shingles", "pivot_shingles"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """(a, b) of the pairs (node, pivot) that agree in enough coordinates and are linked by their full sets."""
-        close = pairs.join(sigs, "node").join(others, "pivot").where(agree >= matches).select("node", "pivot", "n_shingles", "pivot_n")
-        return checkpointed(close.join(sets, "node").join(sets.toDF("pivot", "pivot_shingles"), "pivot")
-                            .where(100 * common >= similarity * (F.col("n_shingles") + F.col("pivot_n") - common)).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        """(a, b) of the pairs (node, pivot) that are linked by their full sets."""
+        both = pairs.join(shingles, "node").join(shingles.toDF("pivot", "pivot_shingles"), "pivot")
+        return checkpointed(both.where(100 * common >= similarity * (F.size("shingles") + F.size("pivot_shingles") - common)).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
 
     star = checkpointed(_star_pairs(postings))
-    used = star.select("j", "v", F.col("pivot").alias("node")).distinct()
-    roots = connected_components(confirmed(star.select("node", "pivot").distinct()))
-    step = 0
-    while True:
-        step += 1
-        lists = checkpointed(_open_lists(postings, used, roots))
-        if lists.isEmpty():
-            break
-        turn = F.pmod(F.xxhash64("node", "j", "v", F.lit(step)), "turns") == 0
-        pivots = checkpointed(lists.where((F.col("label") != F.col("major")) & (turn | (F.col("node") == F.col("first")))).select("j", "v", F.col("node").alias("pivot"), F.col("label").alias("pivot_label")))
-        pairs = (lists.join(pivots, ["j", "v"]).where((F.col("label") != F.col("pivot_label")) & (F.col("node") != F.col("pivot")))
-                 .select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct())
-        used = checkpointed(used.union(pivots.select("j", "v", F.col("pivot").alias("node"))))
-        roots = _joined(roots, confirmed(pairs))
+    roots = connected_components(confirmed(_close_pairs(star.select("node", "pivot").distinct(), sketches, close)))
+    lists = checkpointed(_open_lists(postings, star.select("j", "v", F.col("pivot").alias("node")).distinct(), roots))
+    roots = _joined(roots, confirmed(_listed_pairs(lists, sketches, close)))
 
     named = nodes.select("node", "doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
