@@ -45,13 +45,13 @@ class Chunk:
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
         self.lists = np.argsort(self.x, axis=0, kind="stable")  # a column for each dimension, least value first
-        self.exact = np.abs(self.x).max(initial=0.0)
+        self.largest = float(np.abs(self.x).max(initial=0))
 
     def top(self, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
         """(query id, id, score) of each query's k best in this chunk, ties to smaller ids; a query isn't its own candidate."""
         n, dims = self.x.shape
         # doubles are exact below 2**53; beyond, 64-bit integers
-        kind = np.float64 if self.exact * np.abs(q).max(initial=0.0) * max(1, dims) < 2**53 else np.int64
+        kind = np.float64 if self.largest * float(np.abs(q).max(initial=0)) * max(1, dims) < 2**53 else np.int64
         x, q = self.x.astype(kind), q.astype(kind)
         scores = np.zeros((len(q), n), dtype=kind)
         met = np.zeros(n, dtype=bool)
