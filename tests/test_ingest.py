@@ -5,6 +5,7 @@ import io
 import os
 import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tunetrail.operators.events import unify, write_partitioned
@@ -115,14 +116,55 @@ def test_read_archives(spark, tmpdir_path):
     _tar_gz(os.path.join(d, "20170331_1_play.log.tar.gz"), "x.log", good * 200, cut=200)  # cut short
     _tar_gz(os.path.join(d, "20170330_1_play.log (1).tar.gz"), "dup.log", good)        # duplicate
     _tar_gz(os.path.join(d, "20170301_1_play.log.tar.gz"), "old.log", good)            # too early
-    lines = logs.read_archive_lines(spark, d, "play")
+    lines = logs.read_archive_lines(spark, d, "play", allow_partial=True)
     report = {r.file_name: r for r in logs.archive_report(lines).collect()}
     assert set(report) == {"20170330_1_play.log.tar.gz", "20170331_1_play.log.tar.gz"}
-    assert report["20170331_1_play.log.tar.gz"].truncated is True
-    assert report["20170330_1_play.log.tar.gz"].lines == 5
-    table = logs.read_archives(spark, d, "play")
-    good_rows = table.where(F.col("date") == dt.date(2017, 3, 30)).collect()
+    assert report["20170331_1_play.log.tar.gz"].damaged is True
+    assert report["20170330_1_play.log.tar.gz"].lines == 5 and report["20170330_1_play.log.tar.gz"].damaged is False
+    good_rows = logs.archive_rows(lines, "play").where(F.col("date") == dt.date(2017, 3, 30)).collect()
     assert sorted(r.uid for r in good_rows) == [1, 2, 3, 4, 5]
+    days = {r.date: r for r in logs.archive_coverage(logs.archive_report(lines)).collect()}
+    assert (days[dt.date(2017, 3, 30)].archives, days[dt.date(2017, 3, 30)].damaged, days[dt.date(2017, 3, 30)].lines) == (1, 0, 5)
+    assert days[dt.date(2017, 3, 31)].damaged == 1
+    with pytest.raises(Exception, match="damaged archive 20170331_1_play"):
+        logs.read_archives(spark, d, "play").collect()  # by default nothing is lost in silence
+
+
+@pytest.mark.parametrize("kind", ["play", "down", "search"])
+def test_flipped_bytes_are_found(spark, tmpdir_path, kind):
+    import random
+
+    r = random.Random(3)
+    text = "".join(f"{i}\tar\t{r.random()}\tx\n" for i in range(3000)).encode()
+    path = os.path.join(tmpdir_path, f"20170401_1_{kind}.log.tar.gz")
+    _tar_gz(path, "x.log", text)
+    assert logs.archive_report(logs.read_archive_lines(spark, tmpdir_path, kind)).first().lines == 3000
+    data = bytearray(open(path, "rb").read())
+    data[len(data) // 2] ^= 0x55
+    open(path, "wb").write(bytes(data))
+    with pytest.raises(Exception, match="damaged archive"):
+        logs.read_archives(spark, tmpdir_path, kind).collect()
+    assert logs.archive_report(logs.read_archive_lines(spark, tmpdir_path, kind, allow_partial=True)).first().damaged
+
+
+def test_separators_inside_lines_stay(spark, tmpdir_path):
+    rows = {"play": _play("1", name="a\x01b\ufffdc"), "down": T.join(["1", "ar", "7", "a\x01b", "s\x01", "0"]), "search": T.join(["1\u00a0", "ar", "9", "q\x01r"])}
+    for kind, line in rows.items():
+        d = os.path.join(tmpdir_path, kind)
+        os.makedirs(d)
+        with open(os.path.join(d, f"20170402_1_{kind}.log"), "wb") as f:
+            f.write(line.encode("utf-8" if kind == "play" else "latin-1") + b"\n")
+        got = logs.read_text_logs(spark, d, kind).collect()
+        assert len(got) == 1 and got[0].uid == 1 and got[0].date == dt.date(2017, 4, 2)
+        if kind == "play":
+            assert got[0].song_name == "a\x01b\ufffdc"  # a replacement character of the file itself stays
+
+
+def test_unicode_blanks_are_stripped(spark):
+    from tunetrail.functions.exprs import strip_blanks
+
+    df = spark.createDataFrame([("\u3000 \u00a0x y\u3000\t",)], "s string")
+    assert df.select(strip_blanks("s")).first()[0] == "x y"
 
 
 def test_gzip_daily_logs(spark, tmpdir_path):

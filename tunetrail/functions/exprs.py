@@ -19,8 +19,8 @@ def _c(c: Column | str) -> Column:
 
 
 def strip_blanks(c: Column | str) -> Column:
-    """Strip leading/trailing whitespace (blanks, tabs, CR/LF) like str.strip()."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Strip leading/trailing white space of any kind (U+00A0 and U+3000 too), like str.strip()."""
+    return F.regexp_replace(_c(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def to_bigint(c: Column | str) -> Column:

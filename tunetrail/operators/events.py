@@ -28,9 +28,9 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite",
                       max_records_per_file: int = 5_000_000) -> None:
     """K1/K2: parquet partitioned by date, so date predicates prune whole folders.
 
-    No shuffle: every task sorts its own rows by date and writes at most one
-    file per date it holds (split at ``max_records_per_file``).  A
-    ``repartition('date')`` would send a whole day to a single task.
+    A rebalance on date brings the rows of a day together, in as many parts
+    as its size needs (AQE splits the large ones), so there are few files and
+    no day is one task.  ``max_records_per_file`` bounds a file.
     """
-    (df.sortWithinPartitions("date").write.mode(mode)
+    (df.hint("rebalance", "date").sortWithinPartitions("date").write.mode(mode)
        .option("maxRecordsPerFile", max_records_per_file).partitionBy("date").parquet(path))

@@ -1,13 +1,15 @@
 """SparkSession construction and shared-folder helpers.
 
 Cluster jobs read ``spark.checkpoint.dir`` from the session (the shared folder
-the cluster names).  Only when it is unset -- local tests -- do we point it at
-a fresh scratch folder of our own.
+the cluster names).  Only a local master without that setting gets a fresh
+scratch folder; a cluster without it is an error, since a folder of the
+driver's machine is not seen by the executors.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files go when nothing refers to their table any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -43,15 +47,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """The shared checkpoint folder; a scratch one only for a local master that names none."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tunetrail-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+            current = tempfile.mkdtemp(prefix="tunetrail-ckpt-")
         sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    return sc.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ date does not parse.  :func:`parse_lines` keeps exactly that positional
 rule, whatever the reader:
 
 * :func:`read_text_logs` -- plain or gzip text files (splittable when plain),
-  decoded as UTF-8 (bad bytes dropped) or Latin-1;
+  read as bytes and decoded as UTF-8 (bad bytes dropped) or Latin-1;
 * :func:`read_archives` -- ``tar.gz`` shards: ``binaryFile`` rows expanded
   by ``mapInPandas`` (tar is no Spark codec), one task per archive, lines
   streamed out in bounded batches.
@@ -17,8 +17,10 @@ rule, whatever the reader:
 
 from __future__ import annotations
 
+import gzip
 import io
 import tarfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -49,6 +51,9 @@ FIRST_DATE = "20170330"
 # such as "... (1).tar.gz" do not match and are excluded.
 FILE_NAME_RE = r"^([0-9]{8})_[0-9]+_(play|down|search)\.log(\.tar\.gz|\.gz)?$"
 
+# Stands for a U+FFFD of the file while undecodable bytes are dropped.
+_REPLACEMENT = "\ue000fffd\ue000"
+
 _TYPED = {"uid": to_bigint, "song_id": to_bigint, "play_time": to_double, "song_length": to_double}
 
 
@@ -66,6 +71,15 @@ def keep_file(file_name: Column, kind: str, first_date: str = FIRST_DATE) -> Col
     return (file_kind(file_name) == kind) & (file_date(file_name) >= F.lit(first_date))
 
 
+def decoded(raw: Column, kind: str) -> Column:
+    """Text of a line read as raw bytes, in the kind's encoding; bytes that aren't UTF-8 are dropped, a U+FFFD of the file stays."""
+    if ENCODING[kind] == "latin-1":
+        return F.decode(raw.cast("binary"), "ISO-8859-1")
+    marked = F.replace(raw, F.lit("\ufffd"), F.lit(_REPLACEMENT))
+    valid = F.replace(F.replace(F.make_valid_utf8(marked), F.lit("\ufffd"), F.lit("")), F.lit(_REPLACEMENT), F.lit("\ufffd"))
+    return F.when(F.is_valid_utf8(raw), raw).otherwise(valid)
+
+
 def parse_lines(lines: DataFrame, kind: str, line_col: str = "line",
                 date_text: Column | None = None) -> DataFrame:
     """Positional parse + cleaning of raw lines into the typed cleaned table.
@@ -77,8 +91,6 @@ def parse_lines(lines: DataFrame, kind: str, line_col: str = "line",
     """
     fields = FIELDS[kind]
     line = F.col(line_col)
-    if kind == "play":  # undecodable bytes were replaced by U+FFFD; drop them
-        line = F.regexp_replace(line, "�", "")
     if date_text is not None:
         line = F.concat(line, F.lit(" \t "), date_text)
     # Staged projections: split once, strip once, then type -- each later
@@ -104,87 +116,93 @@ def read_text_logs(spark: SparkSession, paths: str | Sequence[str], kind: str,
     """One multi-path scan of text (or .gz) logs of one kind.
 
     File pruning (S2) is a predicate on ``_metadata.file_name`` so skipped
-    files are never opened.  Latin-1 files go through the CSV reader (its
-    ``encoding`` option) with a separator that cannot occur inside a line.
+    files are never opened.  Lines are read as bytes and decoded in the plan,
+    so no character can part a line.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if ENCODING[kind] == "utf-8":
-        df = spark.read.text(paths).withColumnRenamed("value", "line")
-    else:
-        df = (spark.read.option("encoding", "ISO-8859-1").option("sep", "\u0001")
-                   .option("quote", "").option("escape", "").option("header", "false")
-                   .schema("line string").csv(paths))
-    df = df.withColumn("_file", F.col("_metadata.file_name"))
+    df = spark.read.text(paths).select(decoded(F.col("value"), kind).alias("line"), F.col("_metadata.file_name").alias("_file"))
     if date_from_file_name:
         df = df.where(keep_file(F.col("_file"), kind, first_date))
         return parse_lines(df, kind, date_text=file_date(F.col("_file")))
     return parse_lines(df, kind)
 
 
-def _untar_batches(kind: str, batch_lines: int):
+ARCHIVE_SCHEMA = "file_name string, line string, file_lines long, damaged boolean"
+
+
+def _untar_batches(kind: str, batch_lines: int, allow_partial: bool):
     encoding = ENCODING[kind]
     errors = "ignore" if encoding == "utf-8" else "strict"
 
+    def frame(name: str, lines: list) -> pd.DataFrame:
+        return pd.DataFrame({"file_name": [name] * len(lines), "line": lines, "file_lines": None, "damaged": None})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                name = str(path).rsplit("/", 1)[-1]
-                buf: list[str] = []
+                name, n, damaged, buf = str(path).rsplit("/", 1)[-1], 0, False, []
                 try:
-                    with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as tar:
-                        for member in tar:
-                            if not member.isfile():
-                                continue
-                            fh = tar.extractfile(member)
-                            for raw in fh:
-                                buf.append(raw.rstrip(b"\r\n").decode(encoding, errors=errors))
-                                if len(buf) >= batch_lines:
-                                    yield pd.DataFrame({"file_name": name, "line": buf, "truncated": False})
-                                    buf = []
-                except (tarfile.ReadError, EOFError, OSError):
-                    # An archive cut short yields what decoded and is flagged.
-                    yield pd.DataFrame({"file_name": [name] + [name] * len(buf),
-                                        "line": [None] + buf, "truncated": [True] + [False] * len(buf)})
-                    buf = []
+                    with gzip.GzipFile(fileobj=io.BytesIO(content)) as gz:
+                        with tarfile.open(fileobj=gz, mode="r|") as tar:
+                            for member in tar:
+                                if not member.isfile():
+                                    continue
+                                for raw in tar.extractfile(member):
+                                    buf.append(raw.rstrip(b"\r\n").decode(encoding, errors=errors))
+                                    n += 1
+                                    if len(buf) >= batch_lines:
+                                        yield frame(name, buf)
+                                        buf = []
+                        while gz.read(1 << 20):  # to the end, where the checksum is
+                            pass
+                except (tarfile.TarError, EOFError, OSError, zlib.error) as e:
+                    if not allow_partial:
+                        raise ValueError(f"damaged archive {name} after {n} lines: {e}") from e
+                    damaged = True
                 if buf:
-                    yield pd.DataFrame({"file_name": name, "line": buf, "truncated": False})
+                    yield frame(name, buf)
+                yield pd.DataFrame({"file_name": [name], "line": [None], "file_lines": [n], "damaged": [damaged]})
     return run
 
 
 def read_archive_lines(spark: SparkSession, path: str, kind: str, first_date: str = FIRST_DATE,
-                       batch_lines: int = 50_000, partitions: int | None = None) -> DataFrame:
-    """(file_name, line, truncated) from ``tar.gz`` shards of one kind.
-
-    Files are chosen by name before any content is read (a path-only
-    listing), then each archive is one task; lines leave the Python worker
-    in batches of ``batch_lines`` and are redistributed round-robin so that
-    downstream stages do not inherit one-task-per-archive parallelism.
+                       batch_lines: int = 50_000, partitions: int | None = None, allow_partial: bool = False) -> DataFrame:
+    """Lines of the ``tar.gz`` shards of one kind, and one row for each archive with its number of lines.
+
+    Files are chosen by a predicate on ``_metadata.file_name``, so others are
+    never opened and no list of paths passes the driver.  Each archive is one
+    task; lines leave the Python worker in batches of ``batch_lines`` and are
+    dealt out anew, so later stages don't inherit one task for each archive.
+    A damaged archive (cut short, flipped bytes: the checksum is always read)
+    fails the job.  With ``allow_partial`` what decoded before the damage is
+    returned, and the archive's row, in the same pass, has ``damaged`` true.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.tar.gz")
-                    .option("recursiveFileLookup", "true").load(path)
-                    .select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
-                    .where(keep_file(F.col("name"), kind, first_date)))
-    # File names are metadata (one row per archive), not data.
-    files = [r.path for r in listing.select("path").collect()]
-    if not files:
-        return spark.createDataFrame([], "file_name string, line string, truncated boolean")
-    raw = spark.read.format("binaryFile").load(files).select("path", "content")
-    out = raw.mapInPandas(_untar_batches(kind, batch_lines),
-                          "file_name string, line string, truncated boolean")
-    n = partitions or spark.sparkContext.defaultParallelism
-    return out.repartition(n)
+    raw = (spark.read.format("binaryFile").option("pathGlobFilter", f"*_{kind}.log.tar.gz").option("recursiveFileLookup", "true").load(path)
+                .where(keep_file(F.col("_metadata.file_name"), kind, first_date)).select("path", "content"))
+    out = raw.mapInPandas(_untar_batches(kind, batch_lines, allow_partial), ARCHIVE_SCHEMA)
+    return out.repartition(partitions or spark.sparkContext.defaultParallelism)
+
+
+def archive_rows(lines: DataFrame, kind: str) -> DataFrame:
+    """Cleaned typed table from :func:`read_archive_lines` (date from the archive name, X35)."""
+    return parse_lines(lines.where(F.col("file_lines").isNull()), kind, date_text=file_date(F.col("file_name")))
 
 
 def read_archives(spark: SparkSession, path: str, kind: str, first_date: str = FIRST_DATE) -> DataFrame:
-    """S1 + parse: cleaned typed table straight from the archives (date from the archive name, X35)."""
-    lines = read_archive_lines(spark, path, kind, first_date).where(~F.col("truncated"))
-    return parse_lines(lines, kind, date_text=file_date(F.col("file_name")))
+    """S1 + parse: cleaned typed table straight from the archives.  A damaged archive is an error; to go on
+    without it, use ``read_archive_lines(..., allow_partial=True)`` with its ``archive_report``."""
+    return archive_rows(read_archive_lines(spark, path, kind, first_date), kind)
 
 
 def archive_report(lines: DataFrame) -> DataFrame:
-    """Lines per archive and whether it was cut short."""
-    return lines.groupBy("file_name").agg(F.count("line").alias("lines"),
-                                          F.max(F.col("truncated").cast("int")).cast("boolean").alias("truncated"))
+    """Lines of each archive and whether it was damaged, from the rows of the reading pass."""
+    return lines.where(F.col("file_lines").isNotNull()).select("file_name", F.col("file_lines").alias("lines"), "damaged")
+
+
+def archive_coverage(report: DataFrame) -> DataFrame:
+    """Archives, damaged archives and lines of each day."""
+    day = parse_yyyymmdd(file_date(F.col("file_name"))).alias("date")
+    return report.groupBy(day).agg(F.count(F.lit(1)).alias("archives"), F.count_if("damaged").alias("damaged"), F.sum("lines").alias("lines"))
 
 
 def read_clean_csv(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:

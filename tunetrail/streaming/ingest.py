@@ -16,23 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tunetrail.operators.events import unify
-from tunetrail.sources.logs import ENCODING, FIRST_DATE, file_date, keep_file, parse_lines
+from tunetrail.sources.logs import FIRST_DATE, decoded, file_date, keep_file, parse_lines
 
 
 def log_stream(spark: SparkSession, landing_dir: str, kind: str, first_date: str = FIRST_DATE,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of cleaned rows of one log kind from a landing folder."""
-    if ENCODING[kind] == "utf-8":
-        reader = spark.readStream.format("text")
-    else:
-        reader = (spark.readStream.format("csv").schema("line string").option("encoding", "ISO-8859-1")
-                  .option("sep", "\u0001").option("quote", "").option("escape", "").option("header", "false"))
+    reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.load(landing_dir)
-    if "value" in raw.columns:
-        raw = raw.withColumnRenamed("value", "line")
-    raw = raw.withColumn("_file", F.col("_metadata.file_name")).where(keep_file(F.col("_file"), kind, first_date))
+    raw = reader.load(landing_dir).select(decoded(F.col("value"), kind).alias("line"), F.col("_metadata.file_name").alias("_file"))
+    raw = raw.where(keep_file(F.col("_file"), kind, first_date))
     return parse_lines(raw, kind, date_text=file_date(F.col("_file")))
 
 
