@@ -156,8 +156,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column | None = Non
     before, to fit.
     """
     known = known_labels(labels, label_col, F.lit(True) if learn is None else learn, max_fit_rows, "fit", id_col)
-    held = labelled(docs, known, id_col).select(F.col(f"`{text_col}`").alias("_body"), "label")
-    model = Quality.fit(text_features(held, STATISTICS, statistics, "_body", (F.col("label"),)))
+    model = Quality.fit(text_features(labelled(docs, known, id_col, text_col), STATISTICS, statistics, "_body", (F.col("label"),)))
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("_text"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

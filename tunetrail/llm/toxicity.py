@@ -98,8 +98,8 @@ def features(text: bytes | None, lexicon: Lexicon) -> list[float]:
 def learn_stems(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, id_col: str = "doc_id", text_col: str = "text", max_rows: int = LEXICON_ROWS) -> list[str]:
     """The stems that mark toxic texts, from at most about ``max_rows`` labelled rows; STEMS of them at most."""
     upper, lower = ("".join(map(chr, range(a, a + 26))) for a in (65, 97))
-    words = F.array_distinct(F.split(F.translate(F.col(f"`{text_col}`"), upper, lower), "[\\x00-\\x60\\x7B-\\x7F]+"))
-    each = labelled(docs, known_labels(labels, label_col, learn, max_rows, "lexicon", id_col), id_col).select("label", F.explode(words).alias("word"))
+    words = F.array_distinct(F.split(F.translate("_body", upper, lower), "[\\x00-\\x60\\x7B-\\x7F]+"))
+    each = labelled(docs, known_labels(labels, label_col, learn, max_rows, "lexicon", id_col), id_col, text_col).select("label", F.explode(words).alias("word"))
     counts = checkpointed(each.groupBy("word").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean")))
     total = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     if not total[0] or not total[1]:
@@ -135,9 +135,10 @@ def known_labels(labels: DataFrame, label_col: str, learn: Column, max_rows: int
     return known if n <= max_rows else known.where(F.pmod(F.xxhash64(F.lit(salt), "_id"), F.lit(n)) < max_rows)
 
 
-def labelled(docs: DataFrame, known: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that have a label; ``known`` has a bounded number of rows and is broadcast, so texts aren't shuffled."""
-    return docs.join(F.broadcast(known), F.col(f"`{id_col}`") == F.col("_id"))
+def labelled(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_body, label) of the documents that have a label; ``known`` has a bounded number of rows and is broadcast, so texts aren't shuffled."""
+    texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_body"))
+    return texts.join(F.broadcast(known), "_id").select("_body", "label")
 
 
 class Toxicity:
@@ -178,7 +179,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column | None = No
     learn = F.lit(True) if learn is None else learn
     lexicon = Lexicon(learn_stems(docs, labels, label_col, learn, id_col, text_col))
     known = known_labels(labels, label_col, learn, max_fit_rows, "fit", id_col)
-    held = labelled(docs, known, id_col).select(F.col(f"`{text_col}`").alias("_body"), "label")
-    model = Toxicity.fit(text_features(held, FEATURES, lambda text: features(text, lexicon), "_body", (F.col("label"),)))
+    model = Toxicity.fit(text_features(labelled(docs, known, id_col, text_col), FEATURES, lambda text: features(text, lexicon), "_body", (F.col("label"),)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     return model.score(text_features(docs, FEATURES, lambda text: features(text, lexicon), text_col, (row,)))
