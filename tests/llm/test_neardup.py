@@ -76,6 +76,7 @@ def test_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "FEW", 3)
     monkeypatch.setattr(neardup, "MANY", 5)
     monkeypatch.setattr(neardup, "SHORT", 4)
+    monkeypatch.setattr(neardup, "SHARED", 2)
     docs = spark.createDataFrame([(i, t) for i, t in copies()[:50]], "doc_id long, text string")
     assert found(neardup.near_duplicates(docs)) == brute(copies()[:50])
 

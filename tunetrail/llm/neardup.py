@@ -9,9 +9,10 @@
 3. In each list the classes are compared with a pivot, the class whose values are the most common (the original of a
    group of copies).  Pairs whose sketches agree in ``close`` bytes are confirmed on their full sets.
 4. Confirmed links give components.  A list whose classes are then all in one component is done.  In any other, the
-   classes outside its largest component are compared with all of the list that aren't in their component, by
-   sketches, in blocks of bounded size inside tasks; pairs whose sketches agree go on to their full sets.
-   So no link between components is lost, and a group of n linked copies costs n comparisons of sets, not n * n.
+   classes outside its largest component are compared with the rest, in blocks of bounded size inside tasks: by
+   sketches, then on full sets.  Lists with the same largest component are taken together, so classes that share many
+   lists meet once.  A block returns links that join components, not all pairs, so no link between components is lost
+   and no group's pairs are written out.
 
 Misses: a pair of similarity s is compared unless it agrees in fewer than ``matches`` of ``hashes`` coordinates, or its
 sketches in fewer than ``close`` of SKETCH bytes; for s = 0.8 that is one pair in five million and one in fifty
@@ -35,10 +36,10 @@ SHINGLE, SIMILARITY = 4, 80
 HASHES, MATCHES = 32, 13
 #: Bytes of a sketch, each of a further MinHash coordinate, and how many must agree.
 SKETCH, CLOSE = 192, 121
-#: Classes of one list in a block: those outside its largest component, and those that they are compared with.
-FEW, MANY = 512, 2048
-#: Lists of so many classes at most share blocks.
-SHORT = 64
+#: Classes in a block: those outside the largest component, and those that they are compared with.
+FEW, MANY = 2048, 8192
+#: Open lists with so many classes together at most share blocks, about so many classes a block.
+SHORT, SHARED = 64, 4096
 #: Slots of the filter that tells which documents' full sets are needed: 8 MB, whatever the corpus size.
 FILTER_SLOTS = 1 << 26
 
@@ -157,13 +158,13 @@ def _star_pairs(postings: DataFrame) -> DataFrame:
 
 
 def _open_lists(postings: DataFrame, pivots: DataFrame, roots: DataFrame) -> DataFrame:
-    """(j, v, node, label, major, minor, all) of the lists that, without their pivots, hold classes of more than one
-    component: the largest of these, and how many classes are outside of it and in the list."""
+    """(major, node, label) of the lists that, without their pivots, hold classes of more than one component: each list
+    stands under its largest component, and a class once under each of these."""
     left = postings.join(pivots, ["j", "v", "node"], "left_anti").join(roots.withColumnRenamed("root", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
     size = left.groupBy("j", "v", "label").agg(F.count(F.lit(1)).alias("n"))
-    lists = (size.groupBy("j", "v").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("labels"))
-             .where("labels > 1").select("j", "v", F.col("top.label").alias("major"), (F.col("all") - F.col("top.n")).alias("minor"), "all"))
-    return left.join(lists, ["j", "v"]).select("j", "v", "node", "label", "major", "minor", "all")
+    lists = (size.groupBy("j", "v").agg(F.max(F.struct("n", "label"))["label"].alias("major"), F.count(F.lit(1)).alias("labels"))
+             .where("labels > 1").select("j", "v", "major"))
+    return left.join(lists, ["j", "v"]).select("major", "node", "label").distinct()
 
 
 def _agreeing(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -186,38 +187,61 @@ def _close_pairs(pairs: DataFrame, sketches: DataFrame, close: int) -> DataFrame
     return both.mapInArrow(run, "node binary, pivot binary")
 
 
-def _listed_pairs(lists: DataFrame, sketches: DataFrame, close: int) -> DataFrame:
-    """(node, pivot) of the classes in open lists that are in different components and whose sketches agree; one of them is outside the list's largest component."""
-    rows = lists.join(sketches, "node")
-    few, many = (F.greatest(F.lit(1), F.ceil(F.col(n) / size)).cast("int") for n, size in (("minor", FEW), ("all", MANY)))
+def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int) -> DataFrame:
+    """(a, b): links between components of the open lists, enough to join all that any of their links joins."""
+    size = lists.groupBy("major").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("label") != F.col("major")).alias("minor"))
+    rows = lists.join(size, "major").join(sets, "node")
+    few, many = (F.greatest(F.lit(1), F.ceil(F.col(n) / of)).cast("int") for n, of in (("minor", FEW), ("all", MANY)))
     part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    shared = max(64, lists.select("j", "v").where(F.col("all") <= SHORT).distinct().count() // 128)
-    group = F.when(F.col("all") <= SHORT, F.pmod(F.xxhash64("j", "v"), F.lit(shared))).otherwise(F.xxhash64("j", "v"))
-    rows = rows.select("j", "v", "node", "label", "major", "sketch", group.alias("g"), few.alias("few"), many.alias("many"))
-    left = rows.where("label != major").withColumn("a", part(F.col("few"))).withColumn("b", every(F.col("many")))
-    right = rows.withColumn("b", part(F.col("many"))).withColumn("a", every(F.col("few")))
-    names = ["g", "a", "b", "j", "v", "node", "label", "sketch"]
+    shared = max(1, (size.where(F.col("all") <= SHORT).agg(F.sum("all")).first()[0] or 0) // SHARED)
+    group = F.when(F.col("all") <= SHORT, F.pmod(F.xxhash64("major"), F.lit(shared))).otherwise(F.xxhash64("major"))
+    rows = rows.select("major", "node", "label", "sketch", "shingles", group.alias("g"), few.alias("few"), many.alias("many"))
+    names = ["g", "a", "b", "major", "node", "label", "sketch", "shingles"]
+    left = rows.where("label != major").withColumn("a", part(F.col("few"))).withColumn("b", every(F.col("many"))).select(names)
+    right = rows.withColumn("b", part(F.col("many"))).withColumn("a", every(F.col("few"))).select(names).toDF(*[f"r_{n}" for n in names])
 
     def compare(minor: pa.Table, others: pa.Table) -> pa.Table:
         found: tuple[list, list] = ([], [])
         if minor.num_rows and others.num_rows:
-            nodes, labels, sk = others.column("r_node").to_pylist(), np.array(others.column("r_label").to_pylist(), dtype=object), _bytes_matrix(others.column("r_sketch"))
-            at: dict[tuple, list[int]] = {}
-            for i, key in enumerate(zip(others.column("r_j").to_pylist(), others.column("r_v").to_pylist())):
+            nodes, sketches, sets = others.column("r_node").to_pylist(), _bytes_matrix(others.column("r_sketch")), others.column("r_shingles").combine_chunks()
+            own = minor.column("shingles").combine_chunks()
+            at: dict[bytes, list[int]] = {}
+            up: dict[bytes, bytes] = {}
+
+            def top(x: bytes) -> bytes:
+                while up.setdefault(x, x) != x:
+                    x = up[x] = up[up[x]]
+                return x
+
+            labels = others.column("r_label").to_pylist()
+            for i, key in enumerate(others.column("r_major").to_pylist()):
                 at.setdefault(key, []).append(i)
             places = {key: np.array(i) for key, i in at.items()}
-            for j, v, node, label, one in zip(minor.column("j").to_pylist(), minor.column("v").to_pylist(), minor.column("node").to_pylist(), minor.column("label").to_pylist(), _bytes_matrix(minor.column("sketch"))):
-                k = places.get((j, v))
-                if k is not None:
-                    k = k[labels[k] != label]
-                    for i in k[_agreeing(sk[k], one) >= close]:
-                        found[0].append(max(node, nodes[i]))
-                        found[1].append(min(node, nodes[i]))
-        return pa.table({"node": pa.array(found[0], pa.binary()), "pivot": pa.array(found[1], pa.binary())})
-
-    left, right = left.select(names), right.select(names).toDF(*[f"r_{n}" for n in names])
-    return left.groupBy("g", "a", "b").cogroup(right.groupBy("r_g", "r_a", "r_b")).applyInArrow(compare, "node binary, pivot binary").distinct()
+            for m, (major, node, label, one) in enumerate(zip(minor.column("major").to_pylist(), minor.column("node").to_pylist(), minor.column("label").to_pylist(), _bytes_matrix(minor.column("sketch")))):
+                k = places.get(major)
+                if k is None:
+                    continue
+                agree, mine = _agreeing(sketches[k], one), None
+                k = k[agree >= close][np.argsort(-agree[agree >= close], kind="stable")]  # the likeliest first
+                for i in k:
+                    x, y = top(label), top(labels[i])
+                    if x == y:
+                        continue
+                    mine = _values(own, m) if mine is None else mine
+                    theirs = _values(sets, i)
+                    common = len(np.intersect1d(mine, theirs, assume_unique=True))
+                    if 100 * common >= similarity * (len(mine) + len(theirs) - common):
+                        up[x] = y
+                        found[0].append(node)
+                        found[1].append(nodes[i])
+        return pa.table({"a": pa.array(found[0], pa.binary()), "b": pa.array(found[1], pa.binary())})
+
+    return left.groupBy("g", "a", "b").cogroup(right.groupBy("r_g", "r_a", "r_b")).applyInArrow(compare, "a binary, b binary")
+
+
+def _values(lists: pa.ListArray, i: int) -> np.ndarray:
+    return lists.values[lists.offsets[int(i)].as_py():lists.offsets[int(i) + 1].as_py()].to_numpy()
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -252,7 +276,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     star = checkpointed(_star_pairs(postings))
     roots = connected_components(confirmed(_close_pairs(star.select("node", "pivot").distinct(), sketches, close)))
     lists = checkpointed(_open_lists(postings, star.select("j", "v", F.col("pivot").alias("node")).distinct(), roots))
-    roots = _joined(roots, confirmed(_listed_pairs(lists, sketches, close)))
+    roots = _joined(roots, checkpointed(_listed_links(lists, sets, close, similarity)))
 
     named = nodes.select("node", "doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
