@@ -49,16 +49,6 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def text_bytes(column: pa.Array) -> list[bytes | None]:
-    """UTF-8 bytes of a string column, without decoding."""
-    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
-
-
 def crc_bucket(id_column: Column, n: int) -> Column:
     """crc32 of the id written as text, mod n; null for a null id."""
     return F.crc32(id_column.cast("string").cast("binary")) % F.lit(n)
-
-
-def joined_spans(spans: Column) -> Column:
-    """'kind:start:end' of an array of structs (start, kind_order, end, kind, ...), comma-joined in that order."""
-    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunetrail.llm.common import batches, checkpointed, exclusive
+from tunetrail.llm.common import batches, checkpointed
 from tunetrail.llm.components import connected_components
 
 SHINGLE, SIMILARITY = 4, 80

@@ -16,7 +16,6 @@ hash buckets, so that a length which many pieces share is no single task.
 
 from __future__ import annotations
 
-import base64
 import json
 import zlib
 from collections.abc import Callable, Iterator
