@@ -95,19 +95,38 @@ def test_similarity_matches_brute_force(spark):
     assert all(math.isclose(x, 1.0) for x in diag)
 
 
-def test_hot_user_block_path_equals_self_join(spark):
+def test_chunks_give_the_same_products(spark):
     u = _util(spark)
-    light = _rows(cf.cooccurrence(u, hot_items=10 ** 9))
-    # every user above 3 items goes through the blocked dense product
-    hot = cf.cooccurrence(u, hot_items=3)
-    # blocks small enough that users and items are split into several blocks
-    orig = (cf.BLOCK_USERS, cf.BLOCK_ITEMS)
-    cf.BLOCK_USERS, cf.BLOCK_ITEMS = 7, 16
-    try:
-        hot_small_blocks = _rows(cf.cooccurrence(u, hot_items=3))
-    finally:
-        cf.BLOCK_USERS, cf.BLOCK_ITEMS = orig
-    assert light == _rows(hot) == hot_small_blocks
+    whole = _rows(cf.cooccurrence(u, chunk_items=10 ** 9))
+    assert whole == _rows(cf.cooccurrence(u, chunk_items=3)) == _rows(cf.cooccurrence(u, chunk_items=50))
+
+
+def test_one_user_is_no_task(spark):
+    """A user with 20,000 ratings among users with 40: no (user, chunk, chunk) key and no partition stands out."""
+    hot = spark.range(20_000).select(F.lit(0).cast("long").alias("uid"), F.col("id").alias("song_id"), F.lit(1.0).alias("rating"))
+    rest = spark.range(40 * 300).select((F.col("id") % 300 + 1).alias("uid"), F.col("id").alias("song_id"), F.lit(1.0).alias("rating"))
+    rows = cf.chunk_pairs(hot.union(rest), 256)
+    assert rows.groupBy("uid", "lo", "hi").count().agg(F.max("count")).first()[0] < 3 * 256
+    sizes = [r["count"] for r in rows.repartition(16, "uid", "lo", "hi").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1.5 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    u = _util(spark)
+    u.count()
+    tracker, seen = spark.sparkContext.statusTracker(), "plan-only"
+    spark.sparkContext.setJobGroup(seen, seen)
+    cf.recommend(u, cf.neighbours(cf.item_similarity(u)))
+    assert not tracker.getJobIdsForGroup(seen)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_chosen_users_get_the_same_list(spark):
+    u = _util(spark)
+    n = cf.neighbours(cf.item_similarity(u), k=5).cache()
+    every = [r for r in _rows(cf.recommend(u, n, n=3))]
+    chosen = _rows(cf.recommend(u, n, n=3, users=u.select("uid").where("uid % 3 = 0")))
+    assert chosen and set(chosen) <= set(every)
 
 
 def test_neighbours_topk_and_prediction_bounds(spark):
@@ -131,7 +150,7 @@ def test_auc_matches_pairwise_brute_force(spark):
     split = np.where(rng.random(n) < 0.3, "test", "train")
     df = spark.createDataFrame([(int(i), int(a), float(b), str(c)) for i, (a, b, c) in enumerate(zip(y, p, split))],
                                "uid long, label int, p double, split string")
-    got = {r.split: r.auc for r in mt.roc_auc(df, buckets=8).collect()}
+    got = {r.split: r.auc for r in mt.roc_auc(df, parts=8).collect()}
     for s in ("train", "test"):
         ys, ps = y[split == s], p[split == s]
         pos, neg = ps[ys == 1], ps[ys == 0]
@@ -151,18 +170,23 @@ def test_metrics_zero_denominator(spark):
     assert r.precision == 0.0 and r.recall == 0.0 and r.f1 == 0.0 and r.auc == 0.0 and r.accuracy == 1.0
 
 
-def test_shuffle_fallback_equals_broadcast(spark, monkeypatch):
-    """Beyond the checked bound the joins shuffle instead of broadcasting; results are identical."""
-    from tunetrail.operators import joins
-
+def test_shuffled_joins_equal_broadcast_joins(spark):
     u = _util(spark)
     n = cf.neighbours(cf.item_similarity(u), k=5).cache()
-    a = _rows(cf.predict(u, n))
-    ra = _rows(cf.recommend(u, n, n=3))
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(cf, "checked_broadcast", lambda df: joins.checked_broadcast(df, 0))
-    assert _rows(cf.predict(u, n)) == a
-    assert _rows(cf.recommend(u, n, n=3)) == ra
+    a, ra = _rows(cf.predict(u, n)), _rows(cf.recommend(u, n, n=3))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _rows(cf.predict(u, n)) == a and _rows(cf.recommend(u, n, n=3)) == ra
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_clustered_scores_are_dealt_over_tasks(spark):
+    df = spark.range(4000).select(F.col("id").alias("uid"), (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") / 5e6).alias("p"), F.lit("all").alias("split"))
+    parts = [r["count"] for r in mt.score_groups(df, "split", 8).groupBy("part").count().collect()]
+    assert len(parts) > 4 and max(parts) < 1200
+    assert math.isclose(mt.roc_auc(df, parts=8).first().auc, mt.roc_auc(df, parts=1).first().auc, rel_tol=1e-12)
 
 
 def test_to_pandas_small_refuses_large(spark):

@@ -43,9 +43,30 @@ def null_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                 .select("column_name", (F.col("_rows") - F.col("n_null")).alias("n_non_null"), "n_null"))
 
 
-def column_types(df: DataFrame) -> list[tuple[str, str]]:
-    """A2: declared types (schema only, no job)."""
-    return list(df.dtypes)
+def info(df: DataFrame) -> DataFrame:
+    """A2: for every column its type, non-null and null counts."""
+    kinds = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+    return null_report(df).withColumn("type", kinds[F.col("column_name")]).select("column_name", "type", "n_non_null", "n_null")
+
+
+def value_counts(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows per key, most frequent first, ties by key."""
+    return count_by(df, *keys).orderBy(F.col("n").desc(), *keys)
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """A3 for every numeric column: one row each, exact quantiles, one pass."""
+    cols = numeric_columns(df)
+    aggs = [f.alias(f"{name}_{i}") for i, c in enumerate(cols) for name, f in _summary(F.col(c)).items()]
+    wide = df.agg(*aggs)
+    names = list(_summary(F.lit(0)))
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").alias(n) for n in names]) for i, c in enumerate(cols)])
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _summary(c) -> dict:
+    return {"count": F.count(c), "mean": F.avg(c).cast("double"), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "q25": F.percentile(c, 0.25),
+            "q50": F.percentile(c, 0.5), "q75": F.percentile(c, 0.75), "max": F.max(c).cast("double")}
 
 
 def summary_stats(df: DataFrame, col: str) -> DataFrame:

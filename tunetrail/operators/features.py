@@ -88,15 +88,6 @@ def feature_columns(w: Windows) -> list[str]:
     return cols + ["device_type"]
 
 
-def fused_features(events: DataFrame, w: Windows) -> DataFrame:
-    """All behaviour features for every user seen in the feature window, one aggregate."""
-    ev = events.where(in_range("date", w.feature_start, w.feature_end))
-    return ev.groupBy("uid").agg(*frequency_aggs(w), *recency_aggs(w), *play_time_aggs(w),
-                                 *play_ratio_aggs(w), device_agg(w))
-
-
-# ------------------------------------------------------ reference-shaped form
-
 def frequency_single(events: DataFrame, event: str, window: int, snapshot) -> DataFrame:
     """A11 (method 1): users with at least one ``event`` in the window and their count."""
     return (events.where((F.col("event") == event) & trailing("date", snapshot, window))

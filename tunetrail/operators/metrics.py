@@ -2,10 +2,8 @@
 
 Exact ROC AUC uses the Mann-Whitney form with mid-ranks.  Ranks need a
 prefix count over the score order; instead of one window over every score
-of a split (one task), scores are first reduced to distinct values, then
-cut into ``buckets`` ordered ranges: a window inside each (split, bucket)
-gives the in-bucket prefix and a window over the (few) bucket totals gives
-the offsets.
+of a split (one task), scores are reduced to distinct values and dealt by
+ranges; see :func:`score_groups`.
 """
 
 from __future__ import annotations
@@ -13,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunetrail.session import cut_lineage
+
 # Fixed value: a score above this is the positive class.
 THRESHOLD = 0.5
-BUCKETS = 1024
 
 
 def predicted_class(p: str = "p", threshold: float = THRESHOLD):
@@ -42,30 +41,33 @@ def confusion_metrics(scored: DataFrame, threshold: float = THRESHOLD, by: str =
                       ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
 
 
-def _score_groups(scored: DataFrame, by: str, buckets: int) -> DataFrame:
-    """Distinct scores per split with positive/negative counts and their
-    number of strictly lower-scored rows (neg_below/pos_below)."""
+def score_groups(scored: DataFrame, by: str, parts: int | None = None) -> DataFrame:
+    """Distinct scores per split with positive/negative counts, their range partition and their number of strictly
+    lower-scored rows (neg_below/pos_below).
+
+    The distinct scores are dealt by ranges of (split, score), whatever their distribution, and written with their
+    partition; a window inside each partition gives the prefix, a window over the partitions' totals the offset.
+    """
     g = (scored.groupBy(by, "p").agg(F.count_if(F.col("label") == 1).alias("pos"),
                                       F.count_if(F.col("label") != 1).alias("neg")))
-    # monotone bucket of the score: clamp into [0, 1] first (probabilities).
-    b = F.least(F.greatest(F.floor(F.col("p") * F.lit(buckets)), F.lit(0)), F.lit(buckets - 1))
-    g = g.withColumn("bucket", b.cast("int"))
-    tot = g.groupBy(by, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    wb = Window.partitionBy(by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(by, "bucket", F.coalesce(F.sum("bpos").over(wb), F.lit(0)).alias("opos"),
+    n = parts or int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    g = cut_lineage(g.repartitionByRange(n, by, "p").withColumn("part", F.spark_partition_id()))
+    tot = g.groupBy(by, "part").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
+    wb = Window.partitionBy(by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(by, "part", F.coalesce(F.sum("bpos").over(wb), F.lit(0)).alias("opos"),
                      F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("oneg"))
-    wi = Window.partitionBy(by, "bucket").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.select(by, "p", "pos", "neg", "bucket",
+    wi = Window.partitionBy(by, "part").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.select(by, "p", "pos", "neg", "part",
                  F.coalesce(F.sum("pos").over(wi), F.lit(0)).alias("ipos"),
                  F.coalesce(F.sum("neg").over(wi), F.lit(0)).alias("ineg"))
-    return (g.join(tot, [by, "bucket"])
-             .select(by, "p", "pos", "neg", (F.col("ipos") + F.col("opos")).alias("pos_below"),
+    return (g.join(tot, [by, "part"])
+             .select(by, "p", "pos", "neg", "part", (F.col("ipos") + F.col("opos")).alias("pos_below"),
                      (F.col("ineg") + F.col("oneg")).alias("neg_below")))
 
 
-def roc_auc(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -> DataFrame:
+def roc_auc(scored: DataFrame, by: str = "split", parts: int | None = None) -> DataFrame:
     """AUC = P(score of a positive > score of a negative) + P(tie) / 2."""
-    g = _score_groups(scored, by, buckets)
+    g = score_groups(scored, by, parts)
     return (g.groupBy(by)
              .agg(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)).alias("u"),
                   F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
@@ -73,12 +75,11 @@ def roc_auc(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -> Dat
                                     F.lit(0.0)).alias("auc")))
 
 
-def roc_curve(scored: DataFrame, by: str = "split", buckets: int = BUCKETS) -> DataFrame:
+def roc_curve(scored: DataFrame, by: str = "split", parts: int | None = None) -> DataFrame:
     """One point per distinct score: rates of rows scoring at least that threshold."""
-    g = _score_groups(scored, by, buckets)
-    tot = scored.groupBy(by).agg(F.count_if(F.col("label") == 1).alias("n_pos"),
-                                 F.count_if(F.col("label") != 1).alias("n_neg"))
-    g = g.join(F.broadcast(tot), by)
+    g = score_groups(scored, by, parts)
+    tot = g.groupBy(by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    g = g.join(tot, by)
     tp = F.col("n_pos") - F.col("pos_below")
     fp = F.col("n_neg") - F.col("neg_below")
     return g.select(by, F.col("p").alias("threshold"),

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetrail.functions.exprs import in_hash_sample
-from tunetrail.operators.joins import semi_join_checked
 
 # Bot cut at the 99.9th percentile of plays per user (kept
 # strictly below it), and a 10 % sample of users.
@@ -72,4 +71,4 @@ def sample_by_users(log: DataFrame, users: DataFrame, ratio: float = SAMPLE_RATI
     its row count is checked to be small, else the join shuffles (with AQE
     skew splitting).
     """
-    return semi_join_checked(log.where(in_hash_sample("uid", ratio, salt)), users, "uid")
+    return log.where(in_hash_sample("uid", ratio, salt)).join(users, "uid", "left_semi")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunetrail.functions.exprs import rating_bin
-from tunetrail.operators.joins import semi_join_checked
 
 # The reference's recommender window (after 2017-05-06, up to
 # 2017-05-12), active user (> 5 plays) and popular song (> 30 plays).
@@ -41,8 +40,24 @@ def interactions(plays: DataFrame, after=REC_AFTER, until=REC_UNTIL, min_user_pl
                  min_song_plays: int = MIN_SONG_PLAYS) -> DataFrame:
     """G1: window, active users (J6), then popular songs counted AFTER the user cut."""
     w = window_plays(plays, after, until)
-    by_user = semi_join_checked(w, active_users(w, min_user_plays).select("uid"), "uid")
-    return semi_join_checked(by_user, popular_songs(by_user, min_song_plays).select("song_id"), "song_id")
+    kept = _kept_counts(w, min_user_plays, min_song_plays)
+    return w.join(kept.select("uid", "song_id").distinct(), ["uid", "song_id"], "left_semi").select("uid", "song_id", "song_name", "date")
+
+
+def _kept_counts(w: DataFrame, min_user_plays: int, min_song_plays: int) -> DataFrame:
+    """(uid, song_id, song_name, counts) of the windowed plays that pass both cuts: the log is aggregated first, and the
+    users' and the songs' cuts are made on that small table."""
+    c = play_counts(w)
+    users = c.groupBy("uid").agg(F.sum("counts").alias("n")).where(F.col("n") > min_user_plays)
+    by_user = c.join(users.select("uid"), "uid", "left_semi")
+    songs = by_user.groupBy("song_id").agg(F.sum("counts").alias("n")).where(F.col("n") > min_song_plays)
+    return by_user.join(songs.select("song_id"), "song_id", "left_semi").select("uid", "song_id", "song_name", "counts")
+
+
+def interaction_counts(plays: DataFrame, after=REC_AFTER, until=REC_UNTIL, min_user_plays: int = MIN_USER_PLAYS,
+                       min_song_plays: int = MIN_SONG_PLAYS) -> DataFrame:
+    """G1 + A18 without going back to the log: plays per (uid, song_id, song_name) of the interaction set."""
+    return _kept_counts(window_plays(plays, after, until), min_user_plays, min_song_plays)
 
 
 def play_counts(inter: DataFrame) -> DataFrame:

@@ -2,127 +2,61 @@
 
 Cosine similarity between item columns of the user x item matrix is
 ``dot(i, j) / sqrt(|i|^2 |j|^2)`` where ``dot(i, j) = sum_u r_ui r_uj``.
-The dot products are a sparse Gram matrix, built from two parts:
-
-* users with at most ``hot_items`` rated items: a self join on uid inside
-  the user (each user contributes at most ``hot_items``^2 products, a bounded
-  amount), partially aggregated by (i, j) before the exchange;
-* users above it (the hot groups -- bots, heavy listeners, one user holding
-  a large share of all rows): never expanded pair by pair.  Their ratings
-  are cut into item blocks and user blocks; each (user block, item block I,
-  item block J) task multiplies two dense blocks with BLAS
-  (:func:`_block_gram`), so the work of a hot user is spread over many
-  tasks of bounded size.
-
-Both parts are summed per (i, j).  The neighbourhood is a top-k window whose
-``row_number() <= k`` filter Spark turns into a partial per-task limit
-before the shuffle.
+The dot products are a sparse Gram matrix: a self join of each user's
+ratings.  A user's items are cut by hash into chunks of about CHUNK_ITEMS,
+and the join is on (user, chunk, chunk), so no key holds more than two
+chunks, whatever a user's number of ratings; the products are partially
+aggregated by (i, j) before the exchange.  Nothing runs while the plan is
+built, and how the joins run is left to Spark's size threshold and AQE.
+
+The neighbourhood is a top-k window whose ``row_number() <= k`` filter Spark
+turns into a partial per-task limit before the shuffle.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunetrail.functions.exprs import nan_to_zero
-from tunetrail.operators.joins import checked_broadcast
 
 # Neighbourhood size 75, list length 10.
 NEIGHBOURS = 75
 TOP_N = 10
-# Tunables: users above HOT_ITEMS items go through the blocked product;
-# dense blocks hold at most BLOCK_USERS x BLOCK_ITEMS cells.
-HOT_ITEMS = 1000
-BLOCK_USERS = 512
-BLOCK_ITEMS = 2048
-
-_PAIR_SCHEMA = "item_i bigint, item_j bigint, dot double"
+# Tunable: items of one user in a chunk, about.
+CHUNK_ITEMS = 256
 
 
 def item_norms(util: DataFrame) -> DataFrame:
     return util.groupBy("song_id").agg(F.sum(F.col("rating") * F.col("rating")).alias("n2"))
 
 
-def _block_gram(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Dense X_I^T X_J for one (user block, item block I, item block J) group, upper triangle.
+def chunk_pairs(util: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+    """(uid, lo, hi, c, song_id, rating): each rating once for each pair of chunks of its user that it takes part in.
 
-    Emits each unordered item pair once, as (smaller id, larger id): within
-    one block only i <= j is kept; across two blocks the ids are distinct
-    and every pair meets in exactly one (I, J) group.
-    """
-    lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-    blk = pdf["blk"].to_numpy()
-    users, uidx = np.unique(pdf["uid"].to_numpy(), return_inverse=True)
-    blocks = {}
-    for b in {lo, hi}:
-        mask = blk == b
-        items, iidx = np.unique(pdf["song_id"].to_numpy()[mask], return_inverse=True)
-        x = np.zeros((len(users), len(items)))
-        x[uidx[mask], iidx] = pdf["rating"].to_numpy()[mask]
-        blocks[b] = (items, x)
-    items_lo, x_lo = blocks[lo]
-    items_hi, x_hi = blocks[hi]
-    g = x_lo.T @ x_hi
-    ii, jj = np.nonzero(g)
-    a, b, vals = items_lo[ii], items_hi[jj], g[ii, jj]
-    if lo == hi:
-        keep = a <= b
-        a, b, vals = a[keep], b[keep], vals[keep]
-    return pd.DataFrame({"item_i": np.minimum(a, b), "item_j": np.maximum(a, b), "dot": vals})
-
-
-def _hot_gram(hot: DataFrame, n_users: int, n_items: int,
-              block_users: int = BLOCK_USERS, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    ub = max(1, math.ceil(n_users / block_users))
-    nb = max(1, math.ceil(n_items / block_items))
-    keyed = (hot.withColumn("ub", F.pmod(F.xxhash64("uid"), F.lit(ub)))
-                .withColumn("blk", F.pmod(F.xxhash64("song_id"), F.lit(nb)))
-                .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-                .withColumn("lo", F.least("blk", "k")).withColumn("hi", F.greatest("blk", "k"))
-                .drop("k"))
-    return keyed.groupBy("ub", "lo", "hi").applyInPandas(_block_gram, _PAIR_SCHEMA)
-
-
-def by_user(util: DataFrame) -> DataFrame:
-    """The utility table hash-partitioned by uid: the self join, the per-user
-    counts, the prediction aggregate and the top-n window all reuse it.
-
-    The partition count is explicit -- the larger of the shuffle partitions
-    and 8 tasks per core -- so that AQE does not coalesce this small input
-    into a few tasks: the stages that read it expand every row into many
-    (co-rated pairs, neighbour contributions) and aggregate them per task.
-    """
-    spark = util.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
-    return util.select("uid", "song_id", "rating").repartition(n, "uid")
-
-
-def cooccurrence(util: DataFrame, hot_items: int = HOT_ITEMS) -> DataFrame:
-    """Sparse Gram matrix (item_i <= item_j, dot) over co-rated item pairs, diagonal included."""
-    bu = by_user(util)
-    per_user = bu.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = bu.join(per_user, "uid")
-    light = tagged.where(F.col("_n") <= hot_items)
-    a = light.select("uid", F.col("song_id").alias("item_i"), F.col("rating").alias("r_i"))
-    b = light.select(F.col("uid").alias("uid_b"), F.col("song_id").alias("item_j"), F.col("rating").alias("r_j"))
-    pairs = (a.join(b, (F.col("uid") == F.col("uid_b")) & (F.col("item_i") <= F.col("item_j")))
-              .select("item_i", "item_j", (F.col("r_i") * F.col("r_j")).alias("dot")))
-
-    hot = tagged.where(F.col("_n") > hot_items).select("uid", "song_id", "rating")
-    stats = hot.agg(F.count_distinct("uid").alias("u"), F.count_distinct("song_id").alias("i")).first()
-    if stats and stats["u"]:
-        pairs = pairs.unionByName(_hot_gram(hot, stats["u"], stats["i"]))
-    return pairs.groupBy("item_i", "item_j").agg(F.sum("dot").alias("dot"))
-
-
-def item_similarity(util: DataFrame, hot_items: int = HOT_ITEMS) -> DataFrame:
+    The ratings that meet under one (uid, lo, hi) are at most two chunks."""
+    per_user = util.groupBy("uid").agg(F.ceil(F.count(F.lit(1)) / chunk_items).cast("int").alias("chunks"))
+    return (util.select("uid", "song_id", "rating").join(per_user, "uid")
+                .withColumn("c", F.pmod(F.xxhash64("song_id"), F.col("chunks")).cast("int"))
+                .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+                .select("uid", F.least("c", "k").alias("lo"), F.greatest("c", "k").alias("hi"), "c", "song_id", "rating"))
+
+
+def cooccurrence(util: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+    """Sparse Gram matrix (item_i <= item_j, dot) over co-rated item pairs, diagonal included.
+
+    Under two different chunks only items of different chunks are paired, so each pair of a user meets once."""
+    rows = chunk_pairs(util, chunk_items)
+    a = rows.select("uid", "lo", "hi", F.col("c").alias("c_i"), F.col("song_id").alias("item_i"), F.col("rating").alias("r_i"))
+    b = rows.select("uid", "lo", "hi", F.col("c").alias("c_j"), F.col("song_id").alias("item_j"), F.col("rating").alias("r_j"))
+    pairs = a.join(b, ["uid", "lo", "hi"]).where((F.col("item_i") <= F.col("item_j")) & ((F.col("lo") == F.col("hi")) | (F.col("c_i") != F.col("c_j"))))
+    return pairs.select("item_i", "item_j", (F.col("r_i") * F.col("r_j")).alias("p")).groupBy("item_i", "item_j").agg(F.sum("p").alias("dot"))
+
+
+def item_similarity(util: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     """Cosine similarity of every co-rated item pair, both orders (self pair = 1)."""
-    norms, _ = checked_broadcast(item_norms(util))
-    gram = cooccurrence(util, hot_items)
+    norms = item_norms(util)
+    gram = cooccurrence(util, chunk_items)
     ni = norms.select(F.col("song_id").alias("item_i"), F.col("n2").alias("n2_i"))
     nj = norms.select(F.col("song_id").alias("item_j"), F.col("n2").alias("n2_j"))
     sim = F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))
@@ -141,26 +75,25 @@ def neighbours(sim: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
                .where(F.col("rank") <= k))
 
 
-def _scored(util: DataFrame, neigh: DataFrame, with_marks: bool = True) -> DataFrame:
+def _scored(util: DataFrame, neigh: DataFrame, with_marks: bool = True, users: DataFrame | None = None) -> DataFrame:
     """Per (uid, item): sum(r * sim), sum(sim) over the item's neighbours the user
     rated, and whether the user rated the item itself.
 
     The neighbour table (at most items x k rows) gets one marker row (i, i,
     sim 0) per item, so the "already rated" test (J8) falls out of the same
     aggregate instead of an anti join that would reshuffle by (uid, item).
-    When the extended table's row count is checked to be small it is
-    broadcast: ratings stay partitioned by uid and neither the aggregate nor
-    the later top-n window needs an exchange.  Beyond the bound it is a
-    shuffle join on the rated item.
+    Contributions are summed in the tasks before the exchange by (uid, item),
+    so neither a user nor a song with very many ratings is one task.
     """
     nb = neigh.select("item_i", "item_j", "sim", F.lit(0).alias("mark"))
     if with_marks:
         marks = neigh.select("item_i").distinct().select("item_i", F.col("item_i").alias("item_j"),
                                                           F.lit(0.0).alias("sim"), F.lit(1).alias("mark"))
         nb = nb.unionByName(marks)
-    side, _ = checked_broadcast(nb)
-    rated = by_user(util)
-    return (rated.join(side, rated.song_id == side.item_j)
+    rated = util.select("uid", "song_id", "rating")
+    if users is not None:
+        rated = rated.join(users.select("uid").distinct(), "uid", "left_semi")
+    return (rated.join(nb, rated.song_id == nb.item_j)
                  .groupBy("uid", F.col("item_i").alias("song_id"))
                  .agg(F.sum(F.col("rating") * F.col("sim")).alias("num"), F.sum("sim").alias("den"),
                       F.max("mark").alias("rated")))
@@ -183,9 +116,11 @@ def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6) -> DataFr
 
 
 def recommend(util: DataFrame, neigh: DataFrame, names: DataFrame | None = None, n: int = TOP_N,
-              digits: int | None = 6) -> DataFrame:
-    """The n best unrated songs per user (ties to the larger song id), with a name."""
-    cand = (_scored(util, neigh).where((F.col("den") > 0) & (F.col("rated") == 0))
+              digits: int | None = 6, users: DataFrame | None = None) -> DataFrame:
+    """The n best unrated songs per user (ties to the larger song id), with a name.
+
+    ``users`` (uid) restricts the work to chosen users (J13); all users if None."""
+    cand = (_scored(util, neigh, users=users).where((F.col("den") > 0) & (F.col("rated") == 0))
             .select("uid", "song_id", _pred(digits).alias("pred")))
     w = Window.partitionBy("uid").orderBy(F.desc("pred"), F.desc("song_id"))
     out = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tunetrail.functions.dates import Windows, in_range
 from tunetrail.functions.exprs import EVENT_CODES, PLAY, in_hash_sample
 from tunetrail.operators import features as fx
-from tunetrail.operators.label import churn_label, churn_label_by_join
+from tunetrail.operators.label import churn_label_by_join
 
 
 def _order(w: Windows) -> list[str]:
@@ -50,7 +50,7 @@ def _fill(df: DataFrame, w: Windows, recency_fill: int | None) -> DataFrame:
     return df.na.fill(fill)
 
 
-def join_feature_data(master: DataFrame, *feature_lists: Sequence[DataFrame]) -> DataFrame:
+def left_join_features(master: DataFrame, *feature_lists: Sequence[DataFrame]) -> DataFrame:
     """Fold LEFT JOINs of many per-user feature tables onto ``master``."""
     return reduce(lambda acc, f: acc.join(f, "uid", "left"), [f for fl in feature_lists for f in fl], master)
 
@@ -70,7 +70,7 @@ def training_table_chained(events: DataFrame, w: Windows, activity_events: Seque
     rec = [fx.recency(feat_events, e, w) for e in fx.RECENCY_ORDER]
     tt = [fx.total_play_time(plays, n, w.snapshot) for n in w.sub_windows]
     pp = [fx.play_ratio(plays, n, w.snapshot) for n in w.sub_windows]
-    table = join_feature_data(label, freq, rec, tt, pp)
+    table = left_join_features(label, freq, rec, tt, pp)
     table = table.join(fx.device_profile(plays, w), "uid", "left")
     return _fill(table.select(*_order(w)), w, recency_fill)
 

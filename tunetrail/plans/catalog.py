@@ -28,8 +28,8 @@ from tunetrail.operators.recsys import evaluate as ev_
 from tunetrail.operators.recsys import factors as fa
 from tunetrail.operators.recsys import interactions as ia
 from tunetrail.operators.recsys import itemcf as cf
-from tunetrail.plans import lines
-from tunetrail.session import cut_lineage
+from tunetrail.plans import landing, lines
+from tunetrail.session import cut_lineage, shared_path
 from tunetrail.sources import driver_tables as src
 from tunetrail.sources import logs
 
@@ -127,6 +127,16 @@ def q_null_report(spark, sf_dir):
     return ex.null_report(events(spark, sf_dir))
 
 
+@query("event_info")
+def q_event_info(spark, sf_dir):
+    return ex.info(events(spark, sf_dir))
+
+
+@query("describe_plays")
+def q_describe(spark, sf_dir):
+    return round_doubles(ex.describe(src.play_log(spark, sf_dir)))
+
+
 @query("summary_stats")
 def q_summary_stats(spark, sf_dir):
     return round_doubles(ex.summary_stats(pop.plays_per_user(src.play_log(spark, sf_dir)), "n_plays"))
@@ -224,11 +234,8 @@ def q_recency_sorted(spark, sf_dir):
 
 @query("play_time_windows")
 def q_play_time(spark, sf_dir):
-    plays = src.play_log(spark, sf_dir).where(in_range("date", W.feature_start, W.feature_end))
-    out = plays.select("uid").distinct()
-    for n in W.sub_windows:
-        out = out.join(fx.total_play_time(plays, n, W.snapshot), "uid", "left")
-    return round_doubles(out)
+    plays = feature_window_events(spark, sf_dir).where(F.col("event") == "P")
+    return round_doubles(plays.groupBy("uid").agg(*fx.play_time_aggs(W)))
 
 
 @query("play_ratio_windows")
@@ -291,7 +298,8 @@ def q_popular_songs(spark, sf_dir):
 
 @query("play_counts")
 def q_play_counts(spark, sf_dir):
-    return ia.play_counts(small_interactions(spark, sf_dir))
+    return ia.interaction_counts(src.song_touches(spark, sf_dir), F.to_date(F.lit(REC_AFTER)),
+                                 F.to_date(F.lit(REC_UNTIL)), REC_MIN_USER, REC_MIN_SONG)
 
 
 def rated(spark, sf_dir):
@@ -315,6 +323,22 @@ def q_ratings(spark, sf_dir):
     return rated(spark, sf_dir)
 
 
+@query("song_value_counts")
+def q_song_value_counts(spark, sf_dir):
+    return ex.value_counts(rated(spark, sf_dir), "song_id")
+
+
+@query("rating_value_counts")
+def q_rating_value_counts(spark, sf_dir):
+    return ex.value_counts(rated(spark, sf_dir), "like")
+
+
+@query("utility_pivot")
+def q_utility_pivot(spark, sf_dir):
+    wide = ia.utility_pivot(ia.utility(rated(spark, sf_dir)), [1, 2, 3, 4, 5])
+    return wide.select("uid", *[F.col(f"`{i}`").alias(f"song_{i}") for i in range(1, 6)])
+
+
 @query("utility")
 def q_utility(spark, sf_dir):
     return util_table(spark, sf_dir)
@@ -361,16 +385,25 @@ def q_top_n(spark, sf_dir):
     return cf.recommend(u, neighbour_table(u), ia.song_names(r))
 
 
+@query("top_n_songs_chosen")
+def q_top_n_chosen(spark, sf_dir):
+    """Recommendations for a table of chosen users only."""
+    r = rated(spark, sf_dir)
+    u = cut_lineage(ia.utility(r))
+    chosen = u.select("uid").distinct().where(F.col("uid") % 10 == 0)
+    return cf.recommend(u, neighbour_table(u), ia.song_names(r), users=chosen)
+
+
 @query("masked_errors")
 def q_masked_errors(spark, sf_dir):
     u = util_table(spark, sf_dir)
-    return round_doubles(ev_.masked_errors(ev_.observed_with_prediction(u, ev_.item_mean_prediction(u))))
+    return round_doubles(ev_.masked_errors(ev_.observed_with_item_mean(u)))
 
 
 @query("user_errors")
 def q_user_errors(spark, sf_dir):
     u = util_table(spark, sf_dir)
-    return round_doubles(ev_.user_errors(ev_.observed_with_prediction(u, ev_.item_mean_prediction(u))))
+    return round_doubles(ev_.user_errors(ev_.observed_with_item_mean(u)))
 
 
 # ----------------------------------------------------------------- metrics
@@ -397,7 +430,7 @@ def q_roc_auc(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ models
-# Rows-only checks (no SQL oracle): the fitted models are Spark ML's.
+# Each query fits its own model; SQL checks the scored rows, not the scores.
 
 def model_data(spark, sf_dir):
     t = tr.train_test_split(tr.training_table(events(spark, sf_dir), W, ACTIVITY))
@@ -408,25 +441,23 @@ def model_data(spark, sf_dir):
 def q_logistic(spark, sf_dir):
     data, _ = model_data(spark, sf_dir)
     n_train = data.where(F.col("split") == "train").count()
-    return md.fit_and_score(md.logistic(n_train), data)[1]
+    return score_rows(md.fit_and_score(md.logistic(n_train), data)[1])
 
 
-_FOREST: dict = {}
+def forest_fit(spark, sf_dir):
+    data, names = model_data(spark, sf_dir)
+    model, scored = md.fit_and_score(md.forest(), data)
+    return model, scored, names
 
 
-def forest_fit(spark, sf_dir):
-    """One forest fit shared by the queries of a session (scores, importances, report)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FOREST:
-        data, names = model_data(spark, sf_dir)
-        model, scored = md.fit_and_score(md.forest(), data)
-        _FOREST[key] = (model, scored, names)
-    return _FOREST[key]
+def score_rows(scored: DataFrame) -> DataFrame:
+    """What SQL can state of a fitted model's scores: every row of the table, its label and split, a probability."""
+    return scored.select("uid", "label", "split", F.col("p").between(0.0, 1.0).alias("is_probability"))
 
 
 @query("forest_scores")
 def q_forest(spark, sf_dir):
-    return forest_fit(spark, sf_dir)[1]
+    return score_rows(forest_fit(spark, sf_dir)[1])
 
 
 @query("forest_importances")
@@ -438,19 +469,19 @@ def q_forest_importances(spark, sf_dir):
 @query("gbt_scores")
 def q_gbt(spark, sf_dir):
     data, _ = model_data(spark, sf_dir)
-    return md.fit_and_score(md.gbt(), data)[1]
+    return score_rows(md.fit_and_score(md.gbt(), data)[1])
 
 
 @query("mlp_scores")
 def q_mlp(spark, sf_dir):
     data, names = model_data(spark, sf_dir)
-    return md.fit_and_score(md.mlp(len(names)), data)[1]
+    return score_rows(md.fit_and_score(md.mlp(len(names)), data)[1])
 
 
 @query("grid_search")
 def q_grid_search(spark, sf_dir):
     data, _ = model_data(spark, sf_dir)
-    return md.grid_search(data)[1]
+    return score_rows(md.grid_search(data)[1])
 
 
 @query("model_metrics")
@@ -460,79 +491,127 @@ def q_model_metrics(spark, sf_dir):
 
 
 # --------------------------------------------------------- factor models
-# Rows-only checks.  A fit is shared by the queries of one session and data
-# folder (its factor tables are checkpointed files, stable for the session).
+# The fits (``nmf_error``, ``svd_error``) are rows-only checks.  The steps they
+# are made of, and everything computed from factors, are checked in SQL on
+# factors drawn from md5 of the id.
 
-NMF_ITERS = 20
-_FITS: dict = {}
+DRAWN_RANK = 8
 
 
-def _fit(spark, sf_dir, kind):
-    key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _FITS:
-        u = util_table(spark, sf_dir)
-        f = fa.nmf(u, fa.RANK, NMF_ITERS) if kind == "nmf" else fa.svd(u, fa.RANK)
-        _FITS[key] = (u, f)
-    return _FITS[key]
+def drawn_factors(u: DataFrame, signed: bool) -> fa.Factors:
+    return fa.Factors(fa.md5_factors(u.select("uid").distinct(), "uid", DRAWN_RANK, "u", signed),
+                      fa.md5_factors(u.select("song_id").distinct(), "song_id", DRAWN_RANK, "i", signed), [])
 
 
-def _factor_table(f):
-    return (f.users.select(F.lit("user").alias("side"), F.col("uid").alias("id"), "f")
-            .unionByName(f.items.select(F.lit("item").alias("side"), F.col("song_id").alias("id"), "f")))
-
-
-def _fit_report(spark, u, f, extra: dict):
-    errs = ev_.masked_errors(fa.reconstruct_observed(u, f))
-    return round_doubles(errs.select(*[F.lit(v).alias(k) for k, v in extra.items()], "*"))
+def _long_factors(df: DataFrame, key: str) -> DataFrame:
+    return round_doubles(df.select(F.col(key).alias("id"), F.posexplode("f").alias("k", "value")))
 
 
 @query("nmf_factors")
 def q_nmf_factors(spark, sf_dir):
-    return _factor_table(_fit(spark, sf_dir, "nmf")[1])
+    """One multiplicative update of the item factors from drawn factors."""
+    u = util_table(spark, sf_dir)
+    f = drawn_factors(u, signed=False)
+    return _long_factors(fa.nmf_items_step(u, f.users, f.items, fa.gram(f.users, "f")), "song_id")
 
 
 @query("nmf_error")
 def q_nmf_error(spark, sf_dir):
-    u, f = _fit(spark, sf_dir, "nmf")
-    return _fit_report(spark, u, f, {"iterations": NMF_ITERS, "reconstruction_err": float(f.errors[-1])})
+    """A whole fit: iterations, convergence, first and last error, errors on the observed cells."""
+    u = util_table(spark, sf_dir)
+    f = fa.nmf(u, fa.RANK)
+    errs = ev_.masked_errors(fa.reconstruct_observed(u, f))
+    return round_doubles(errs.select(F.lit(f.iterations).alias("iterations"), F.lit(f.converged).alias("converged"), F.lit(float(f.errors[0])).alias("first_err"),
+                                     F.lit(float(f.errors[-1])).alias("reconstruction_err"), "*"))
 
 
 @query("nmf_top_n")
 def q_nmf_top_n(spark, sf_dir):
-    u, f = _fit(spark, sf_dir, "nmf")
-    return fa.factor_top_n(u, f)
+    u = util_table(spark, sf_dir)
+    return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=False)))
 
 
 @query("svd_factors")
 def q_svd_factors(spark, sf_dir):
-    return _factor_table(_fit(spark, sf_dir, "svd")[1])
+    """One product of the ratings with drawn item factors: the step of the range finder."""
+    u = util_table(spark, sf_dir)
+    return _long_factors(fa.user_product(u, drawn_factors(u, signed=True).items), "uid")
 
 
 @query("svd_error")
 def q_svd_error(spark, sf_dir):
-    u, f = _fit(spark, sf_dir, "svd")
-    return _fit_report(spark, u, f, {"rank": len(f.errors), "top_singular_value": float(f.errors[0])})
+    """A whole fit: rank, largest singular value, errors on the observed cells."""
+    u = util_table(spark, sf_dir)
+    f = fa.svd(u, fa.RANK)
+    errs = ev_.masked_errors(fa.reconstruct_observed(u, f))
+    return round_doubles(errs.select(F.lit(len(f.errors)).alias("rank"), F.lit(float(f.errors[0])).alias("top_singular_value"), "*"))
 
 
 @query("svd_user_errors")
 def q_svd_user_errors(spark, sf_dir):
-    u, f = _fit(spark, sf_dir, "svd")
-    return round_doubles(ev_.user_errors(fa.reconstruct_observed(u, f)))
+    u = util_table(spark, sf_dir)
+    return round_doubles(ev_.user_errors(fa.reconstruct_observed(u, drawn_factors(u, signed=True))))
 
 
 @query("svd_top_n")
 def q_svd_top_n(spark, sf_dir):
-    u, f = _fit(spark, sf_dir, "svd")
-    return fa.factor_top_n(u, f)
+    u = util_table(spark, sf_dir)
+    chosen = u.select("uid").distinct().where(F.col("uid") % 10 == 0)
+    return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=True), users=chosen))
 
 
 @query("svd_roundtrip")
 def q_svd_roundtrip(spark, sf_dir):
-    """U.V equals (M V^T).V on every observed cell (difference sum ~ 0)."""
-    u, f = _fit(spark, sf_dir, "svd")
-    a = fa.reconstruct_observed(u, f)
-    b = fa.reconstruct_observed(u, fa.project_users(u, f))
-    return ev_.difference_sum(a, b)
+    """The factor product against that of users projected again, over the observed cells."""
+    u = util_table(spark, sf_dir)
+    f = drawn_factors(u, signed=True)
+    d = ev_.difference_sum(fa.reconstruct_observed(u, f), fa.reconstruct_observed(u, fa.project_users(u, f)))
+    return round_doubles(d, 4)
+
+
+# --------------------------------------------------------- sources and sinks
+
+def log_round_trip(spark, sf_dir, codec="none"):
+    """The three kinds' daily files, written, read back by name and date, parsed and united."""
+    return evx.unify(*[logs.read_text_logs(spark, landing.land_logs(spark, sf_dir, kind, codec), kind) for kind in ("play", "down", "search")])
+
+
+@query("text_log_roundtrip")
+def q_text_round_trip(spark, sf_dir):
+    return log_round_trip(spark, sf_dir)
+
+
+@query("gzip_log_roundtrip")
+def q_gzip_round_trip(spark, sf_dir):
+    return log_round_trip(spark, sf_dir, "gzip")
+
+
+@query("archive_roundtrip")
+def q_archive_round_trip(spark, sf_dir):
+    """Archives of the play log's days, expanded and parsed."""
+    return round_doubles(logs.archive_rows(logs.expand_archives(landing.archives(spark, sf_dir, "play"), "play"), "play"))
+
+
+@query("event_table_roundtrip")
+def q_event_table(spark, sf_dir):
+    """From raw files to the date-partitioned event table, and back with the date pruned."""
+    path = shared_path(spark, "events")
+    evx.write_partitioned(log_round_trip(spark, sf_dir), path)
+    return ex.count_by(spark.read.parquet(path).where(in_range("date", RANGE_START, RANGE_END)), "date", "event")
+
+
+@query("plays_table_roundtrip")
+def q_plays_table(spark, sf_dir):
+    path = shared_path(spark, "plays")
+    pop.plays_per_user(src.play_log(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("training_table_roundtrip")
+def q_training_table_file(spark, sf_dir):
+    path = shared_path(spark, "training")
+    tr.write_training_table(tr.training_table(events(spark, sf_dir), W, ACTIVITY), path)
+    return round_doubles(spark.read.parquet(path))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

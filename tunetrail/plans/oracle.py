@@ -2,16 +2,27 @@
 
 Each string runs on views named after the driver's tables.  The SQL is
 written independently of the DataFrame code -- same semantics, different
-engine -- so a match checks both.  Windows and parameters are rendered from
-the same constants the Spark side uses.
+engine -- so a match checks both.  It imports nothing of the library.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from tunetrail.functions.dates import DRIVER_WINDOWS as W
-from tunetrail.functions.dates import Windows
+from typing import NamedTuple
+
+
+class Windows(NamedTuple):
+    label_start: dt.date
+    label_end: dt.date
+    feature_start: dt.date
+    feature_end: dt.date
+    snapshot: dt.date
+    sub_windows: tuple[int, ...]
+
+
+# The windows as literal dates, so that a wrong boundary in the library can't match itself.
+W = Windows(dt.date(2024, 1, 28), dt.date(2024, 1, 30), dt.date(2024, 1, 14), dt.date(2024, 1, 27), dt.date(2024, 1, 27), (1, 3, 7, 14))
 
 EV = """ev AS (
   SELECT user_id AS uid,
@@ -295,3 +306,63 @@ SELECT cm.split, tp, fp, fn, tn,
   round(COALESCE(2 * tp / NULLIF(CAST(2 * tp + fp + fn AS DOUBLE), 0), 0), 6) AS f1,
   round(auc.auc, 6) AS auc
 FROM cm JOIN auc ON auc.split = cm.split""")
+
+# ------------------------------------------------------------ profiling
+register("event_info", f"""WITH {EV}
+SELECT c AS column_name, t AS type, CAST(count(v) AS BIGINT) AS n_non_null, CAST(count(*) - count(v) AS BIGINT) AS n_null FROM (
+  SELECT unnest(['uid', 'event', 'song_id', 'date', 'device', 'play_time', 'song_length']) AS c,
+         unnest(['bigint', 'string', 'bigint', 'date', 'string', 'double', 'double']) AS t,
+         unnest([CAST(uid AS VARCHAR), event, CAST(song_id AS VARCHAR), CAST(date AS VARCHAR), device, CAST(play_time AS VARCHAR), CAST(song_length AS VARCHAR)]) AS v
+  FROM ev) GROUP BY c, t""")
+_STAT = """SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+  round(CAST(min({c}) AS DOUBLE), 6) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, round(CAST(max({c}) AS DOUBLE), 6) AS max FROM ev WHERE event = 'P'"""
+register("describe_plays", f"WITH {EV} " + " UNION ALL ".join(_STAT.format(c=c) for c in ("uid", "song_id", "play_time", "song_length")))
+register("song_value_counts", f"WITH {RATED} SELECT song_id, CAST(count(*) AS BIGINT) AS n FROM rated GROUP BY song_id")
+register("rating_value_counts", f"""WITH {RATED} SELECT "like", CAST(count(*) AS BIGINT) AS n FROM rated GROUP BY "like\"""")
+register("utility_pivot", f"WITH {RATED} SELECT uid, " + ", ".join(f"COALESCE(max(rating) FILTER (song_id = {i}), 0.0) AS song_{i}" for i in range(1, 6)) + " FROM util GROUP BY uid")
+register("top_n_songs_chosen", f"""WITH {RATED},
+unrated AS (SELECT * FROM pred p WHERE uid % 10 = 0 AND NOT EXISTS (SELECT 1 FROM util u WHERE u.uid = p.uid AND u.song_id = p.song_id)),
+ranked AS (SELECT uid, song_id, pred, CAST(row_number() OVER (PARTITION BY uid ORDER BY pred DESC, song_id DESC) AS INTEGER) AS rank FROM unrated)
+SELECT r.uid, r.song_id, r.pred, r.rank, names.song_name FROM ranked r LEFT JOIN names ON names.song_id = r.song_id WHERE r.rank <= 10""")
+
+# ------------------------------------------------------- models, factors
+_SCORE_ROWS = f"""WITH t AS ({training_sql()}) SELECT uid, label, {SPLIT} AS split, true AS is_probability FROM t"""
+for _name in ("logistic_scores", "forest_scores", "gbt_scores", "mlp_scores", "grid_search"):
+    register(_name, _SCORE_ROWS)
+
+
+def _drawn(ids: str, key: str, salt: str, signed: bool) -> str:
+    u = f"('0x' || substr(md5('{salt}:' || CAST({key} AS VARCHAR) || ':' || CAST(k AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0::DOUBLE"
+    return f"SELECT {key}, k, {f'{u} * 2.0 - 1.0' if signed else u} AS v FROM (SELECT DISTINCT {key} FROM {ids}), unnest(range(0, 8)) t(k)"
+
+
+_POSITIVE = f"{RATED}, w AS ({_drawn('util', 'uid', 'u', False)}), h AS ({_drawn('util', 'song_id', 'i', False)})"
+_SIGNED = f"{RATED}, w AS ({_drawn('util', 'uid', 'u', True)}), h AS ({_drawn('util', 'song_id', 'i', True)})"
+register("nmf_factors", f"""WITH {_POSITIVE},
+num AS (SELECT song_id, k, sum(rating * v) AS x FROM util JOIN w USING (uid) GROUP BY song_id, k),
+g AS (SELECT a.k AS k, b.k AS l, sum(a.v * b.v) AS x FROM w a JOIN w b USING (uid) GROUP BY a.k, b.k),
+den AS (SELECT h.song_id, g.k, sum(h.v * g.x) AS x FROM h JOIN g ON g.l = h.k GROUP BY h.song_id, g.k)
+SELECT h.song_id AS id, CAST(h.k AS INTEGER) AS k, round(h.v * num.x / (den.x + 1e-10), 6) AS value
+FROM h JOIN num USING (song_id, k) JOIN den USING (song_id, k)""")
+register("svd_factors", f"WITH {_SIGNED} SELECT uid AS id, CAST(k AS INTEGER) AS k, round(sum(rating * v), 6) AS value FROM util JOIN h USING (song_id) GROUP BY uid, k")
+_PRED = "p AS (SELECT util.uid, util.song_id, rating, sum(w.v * h.v) AS pred FROM util JOIN w USING (uid) JOIN h ON h.song_id = util.song_id AND h.k = w.k GROUP BY 1, 2, 3)"
+register("svd_user_errors", f"WITH {_SIGNED}, {_PRED} SELECT uid, CAST(count(*) AS BIGINT) AS n, round(avg(abs(rating - pred)), 6) AS mae FROM p GROUP BY uid")
+register("svd_roundtrip", f"""WITH {_SIGNED}, {_PRED},
+w2 AS (SELECT uid, k, sum(rating * v) AS v FROM util JOIN h USING (song_id) GROUP BY uid, k),
+q AS (SELECT util.uid, util.song_id, sum(w2.v * h.v) AS pred FROM util JOIN w2 USING (uid) JOIN h ON h.song_id = util.song_id AND h.k = w2.k GROUP BY 1, 2)
+SELECT round(sum(p.pred - q.pred), 4) AS diff_sum, round(max(abs(p.pred - q.pred)), 4) AS max_abs_diff FROM p JOIN q USING (uid, song_id)""")
+_TOP = """, sc AS (SELECT w.uid, h.song_id, round(sum(w.v * h.v), 9) AS pred FROM w JOIN h USING (k) WHERE {cut} GROUP BY 1, 2),
+r AS (SELECT uid, song_id, pred, CAST(row_number() OVER (PARTITION BY uid ORDER BY pred DESC, song_id DESC) AS INTEGER) AS rank
+      FROM sc WHERE NOT EXISTS (SELECT 1 FROM util u WHERE u.uid = sc.uid AND u.song_id = sc.song_id))
+SELECT uid, song_id, round(pred, 6) AS pred, rank FROM r WHERE rank <= 10"""
+register("nmf_top_n", f"WITH {_POSITIVE}" + _TOP.format(cut="true"))
+register("svd_top_n", f"WITH {_SIGNED}" + _TOP.format(cut="w.uid % 10 = 0"))
+
+# ------------------------------------------------------ sources and sinks
+for _name in ("text_log_roundtrip", "gzip_log_roundtrip"):
+    register(_name, f"WITH {EV} SELECT uid, event, song_id, date FROM ev")
+register("archive_roundtrip", f"WITH {EV} SELECT uid, device, 'caf\u00e9' AS song_name, song_id, date, round(play_time, 6) AS play_time, round(song_length, 6) AS song_length FROM ev WHERE event = 'P'")
+register("event_table_roundtrip", f"WITH {EV} SELECT date, event, CAST(count(*) AS BIGINT) AS n FROM ev WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-05' GROUP BY date, event")
+register("plays_table_roundtrip", SQL["plays_per_user"])
+register("training_table_roundtrip", SQL["training_table_fused"])

@@ -78,11 +78,6 @@ def song_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.col("p_name").alias("song_name"))
 
 
-def play_log_named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plays with a song name (left join; unnamed songs keep a null name)."""
-    return play_log(spark, sf_dir).join(song_names(spark, sf_dir), "song_id", "left")
-
-
 def song_touches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small recommender source: every event with its song k (any type), named from ``part``.
 

@@ -179,8 +179,12 @@ def read_archive_lines(spark: SparkSession, path: str, kind: str, first_date: st
     """
     raw = (spark.read.format("binaryFile").option("pathGlobFilter", f"*_{kind}.log.tar.gz").option("recursiveFileLookup", "true").load(path)
                 .where(keep_file(F.col("_metadata.file_name"), kind, first_date)).select("path", "content"))
-    out = raw.mapInPandas(_untar_batches(kind, batch_lines, allow_partial), ARCHIVE_SCHEMA)
-    return out.repartition(partitions or spark.sparkContext.defaultParallelism)
+    return expand_archives(raw, kind, batch_lines, allow_partial).repartition(partitions or spark.sparkContext.defaultParallelism)
+
+
+def expand_archives(raw: DataFrame, kind: str, batch_lines: int = 50_000, allow_partial: bool = False) -> DataFrame:
+    """The rows of :func:`read_archive_lines` from (path, content), one archive a row."""
+    return raw.select("path", "content").mapInPandas(_untar_batches(kind, batch_lines, allow_partial), ARCHIVE_SCHEMA)
 
 
 def archive_rows(lines: DataFrame, kind: str) -> DataFrame:
