@@ -21,6 +21,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def compact(df: DataFrame, rows: int) -> DataFrame:
+    """A checkpointed table in as many partitions as its rows need, ``rows`` each; small tables then make few shuffle files."""
+    return df.coalesce(max(1, -(-df.count() // rows)))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder, and read again."""
     path = shared_path(df.sparkSession, "stored")

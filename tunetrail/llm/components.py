@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunetrail.llm.common import checkpointed
+from tunetrail.llm.common import checkpointed, compact
+
+#: Links of a partition, about.
+ROWS = 200_000
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -14,7 +17,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     The links never leave the executors; each step is checkpointed.  The number of steps grows with the logarithm of
     a component's longest path.  Links from a node to itself and links with a null end count for nothing.
     """
-    edges = checkpointed(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
+    edges = compact(checkpointed(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()), ROWS)
     seen = None
     while True:
         # large star: every greater neighbour of u points to the least of u and its neighbours
@@ -25,7 +28,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # small star: u and its lesser neighbours point to the least of them
         least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         small = large.join(least, F.col("u") == F.col("w")).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = checkpointed(small.union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct())
+        edges = compact(checkpointed(small.union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct()), ROWS)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
         if now == seen:
             break

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunetrail.llm.common import batches, checkpointed
+from tunetrail.llm.common import batches, checkpointed, compact
 from tunetrail.llm.components import connected_components
 
 SHINGLE, SIMILARITY = 4, 80
@@ -40,6 +40,8 @@ SKETCH, CLOSE = 192, 121
 FEW, MANY = 2048, 8192
 #: Open lists with so many classes together at most share blocks, about so many classes a block.
 SHORT, SHARED = 64, 4096
+#: Rows of a partition, about, of the tables of postings and links, and of full sets.
+ROWS, SET_ROWS = 50_000, 2_000
 #: Slots of the filter that tells which documents' full sets are needed: 8 MB, whatever the corpus size.
 FILTER_SLOTS = 1 << 26
 
@@ -230,8 +232,7 @@ def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int
                         continue
                     mine = _values(own, m) if mine is None else mine
                     theirs = _values(sets, i)
-                    common = len(np.intersect1d(mine, theirs, assume_unique=True))
-                    if 100 * common >= similarity * (len(mine) + len(theirs) - common):
+                    if _linked(mine, theirs, similarity):
                         up[x] = y
                         found[0].append(node)
                         found[1].append(nodes[i])
@@ -240,8 +241,18 @@ def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int
     return left.groupBy("g", "a", "b").cogroup(right.groupBy("r_g", "r_a", "r_b")).applyInArrow(compare, "a binary, b binary")
 
 
+def _linked(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
+    """Whether two sets are alike enough; both are sorted as unsigned integers."""
+    if len(a) > len(b):
+        a, b = b, a
+    if 100 * len(a) < similarity * len(b):  # even if one held the other
+        return False
+    common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * common >= similarity * (len(a) + len(b) - common)
+
+
 def _values(lists: pa.ListArray, i: int) -> np.ndarray:
-    return lists.values[lists.offsets[int(i)].as_py():lists.offsets[int(i) + 1].as_py()].to_numpy()
+    return lists.values[lists.offsets[int(i)].as_py():lists.offsets[int(i) + 1].as_py()].to_numpy().view(np.uint64)
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -250,7 +261,7 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     ends = links.join(of, "a", "left").join(roots.toDF("b", "root_b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     merged = connected_components(ends)
     moved = roots.join(merged.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    return checkpointed(moved.union(merged.join(roots, "node", "left_anti")))
+    return compact(checkpointed(moved.union(merged.join(roots, "node", "left_anti"))), ROWS)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, hashes: int = HASHES, matches: int = MATCHES, close: int = CLOSE,
@@ -263,20 +274,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     """
     rows = checkpointed(signatures(docs, shingle, hashes, id_col, text_col).withColumnRenamed(id_col, "doc"))
     nodes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig")))
-    postings = checkpointed(_postings(nodes, matches))
-    sets = checkpointed(_full_sets(docs, postings.select("node").distinct().join(nodes.select("node", "doc"), "node"), shingle, id_col, text_col))
+    postings = compact(checkpointed(_postings(nodes, matches)), ROWS)
+    sets = compact(checkpointed(_full_sets(docs, postings.select("node").distinct().join(nodes.select("node", "doc"), "node"), shingle, id_col, text_col)), SET_ROWS)
     sketches, shingles = sets.select("node", "sketch"), sets.select("node", "shingles")
     common = F.size(F.array_intersect("shingles", "pivot_shingles"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """(a, b) of the pairs (node, pivot) that are linked by their full sets."""
         both = pairs.join(shingles, "node").join(shingles.toDF("pivot", "pivot_shingles"), "pivot")
-        return checkpointed(both.where(100 * common >= similarity * (F.size("shingles") + F.size("pivot_shingles") - common)).select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+        return compact(checkpointed(both.where(100 * common >= similarity * (F.size("shingles") + F.size("pivot_shingles") - common)).select(F.col("node").alias("a"), F.col("pivot").alias("b"))), ROWS)
 
-    star = checkpointed(_star_pairs(postings))
+    star = compact(checkpointed(_star_pairs(postings)), ROWS)
     roots = connected_components(confirmed(_close_pairs(star.select("node", "pivot").distinct(), sketches, close)))
-    lists = checkpointed(_open_lists(postings, star.select("j", "v", F.col("pivot").alias("node")).distinct(), roots))
-    roots = _joined(roots, checkpointed(_listed_links(lists, sets, close, similarity)))
+    lists = compact(checkpointed(_open_lists(postings, star.select("j", "v", F.col("pivot").alias("node")).distinct(), roots)), ROWS)
+    roots = _joined(roots, compact(checkpointed(_listed_links(lists, sets, close, similarity)), ROWS))
 
     named = nodes.select("node", "doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
