@@ -18,6 +18,30 @@ def test_ids_are_those_of_tokenizers():
     assert [encode(t) for t in texts] == [e.ids for e in exact.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def test_ids_of_every_code_point():
+    exact, encode = Tokenizer.from_file(PATH), packing.encoder(packing.vocabulary(PATH))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 64):
+        text = "".join(f"a{c}b {c}{c}1{c} {c}  x\n" for c in points[k:k + 64])
+        assert encode(text) == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_very_long_white_space(spark):
+    exact, encode = Tokenizer.from_file(PATH), packing.encoder(packing.vocabulary(PATH))
+    texts = ["x" + " " * 1_000_000 + "a", "x" + "\n" * 3_000_000 + "a", "<|endoftext|>" + " \n\t" * 700_000, " " * packing.SAFE_RUN + "a", "é" + "\u3000" * (packing.SAFE_RUN + 1) + "b"]
+    for text in texts:
+        assert encode(text) == exact.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, texts[0]), (2, "two words")], "doc_id long, text string")
+    lengths = {r.doc_id: r.n for r in packing.pack_documents(docs, packing.vocabulary(PATH)).groupBy("doc_id").agg({"length": "sum"}).toDF("doc_id", "n").collect()}
+    assert lengths == {1: 1_000_002, 2: 3}
+
+
+def test_what_tiktoken_refuses_goes_to_tokenizers(monkeypatch):
+    monkeypatch.setattr(packing, "SAFE_RUN", 1 << 40)  # the run is not seen beforehand
+    text = "x" + " " * 1_000_000 + "a"
+    assert packing.encoder(packing.vocabulary(PATH))(text) == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
 def naive(lengths, capacity):
     """Best-fit decreasing, one piece after the other."""
     bins = []

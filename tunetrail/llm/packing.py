@@ -17,6 +17,7 @@ hash buckets, so that a length which many pieces share is no single task.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -56,23 +57,39 @@ def encoder(content: str):
 
     The ids are those of ``tokenizers`` (add_special_tokens=False; a special token's string in a text is that token).
     A vocabulary of the plain byte-level kind runs its merges in ``tiktoken``, several times faster with the same ids
-    (a test compares both over all of Unicode); any other kind runs in ``tokenizers`` itself.
+    (a test compares both on every code point); any other kind runs in ``tokenizers`` itself, and so does a text that
+    ``tiktoken`` can't take: its regex engine backtracks over runs of white space and gives up on very long ones.
     """
     key = hash(content)
     if key not in _ENCODERS:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
-        fast = _fast(content)
-        if fast is None:
-            from tokenizers import Tokenizer
+        fast, made = _fast(content), []
+
+        def exact(text: str) -> list[int]:
+            if not made:  # few workers ever need it beside ``tiktoken``
+                from tokenizers import Tokenizer
+
+                made.append(Tokenizer.from_str(content))
+            return made[0].encode(text, add_special_tokens=False).ids
+
+        def encode(text: str) -> list[int]:
+            if len(text) > SAFE_RUN and _LONG_RUN.search(text):
+                return exact(text)
+            try:
+                return fast.encode(text, allowed_special="all")
+            except ValueError:
+                return exact(text)
 
-            exact = Tokenizer.from_str(content)
         _ENCODERS.clear()
-        _ENCODERS[key] = (lambda text: fast.encode(text, allowed_special="all")) if fast else (lambda text: exact.encode(text, add_special_tokens=False).ids)
+        _ENCODERS[key] = encode if fast else exact
     return _ENCODERS[key]
 
 
+#: A longer run of white space is never handed to ``tiktoken``, which fails somewhere between 700,000 and 1,000,000.
+SAFE_RUN = 100_000
+_LONG_RUN = re.compile(rf"\s{{{SAFE_RUN + 1}}}")
 #: The pattern by which this family of vocabularies splits a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
