@@ -134,3 +134,18 @@ def test_licenses(spark):
     assert licenses.scan_licenses(empty_docs(spark), licenses.known_digests(spark)).collect() == []
     other = spark.createDataFrame([(got[5].canon_sha256, "X")], "digest string, license_id string")
     assert {r.doc_id for r in licenses.scan_licenses(docs, other).where("license_id = 'X'").collect()} == {5}
+
+
+def test_whole_licenses(spark):
+    of = {name: (i, t) for name, i, body, t in licenses.whole_texts()}
+    mit, apache, bsd2, bsd3, isc = (of[n][1].strip() for n in ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC"))
+    texts = {1: f"MIT License\n\nCopyright (c) 2020 Someone\n\n{mit}", 2: f"The MIT License (MIT)\n\nCopyright (c) Someone\n\n{mit}", 3: f"Some words.\n\n{mit}\n\nMore words.", 4: mit.rpartition("\n\n")[0],
+             5: f"{of['Apache-2.0.frame'][1]}\n\n{apache}", 6: bsd2, 7: f"BSD 3-Clause License\n\nCopyright (c) 2021, X\nAll rights reserved.\n\n{bsd3}", 8: f"ISC License\n\nCopyright Someone\n{isc}",
+             9: "\n".join(f"# {x}" for x in of["Apache-2.0.header"][1].splitlines()) + "\n\nimport os", 10: of["MPL-2.0.header"][1], 11: "Copyright (c) Someone\n" + " ".join(mit.split("\n\n")), 12: f"{mit}\n\n{isc}",
+             **{100 + k: of[n][1] for k, n in enumerate(sorted(of)) if not n.endswith("frame")}}
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame([*texts.items()], "doc_id long, text string"), licenses.known_digests(spark)).collect()}
+    assert [got[i].license_id for i in range(1, 13)] == ["MIT", "MIT", None, None, "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", None, "MPL-2.0", "MIT", None]
+    assert [got[i].licenses for i in range(1, 13)] == ["MIT", "MIT", "MIT", "", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "MPL-2.0", "MIT", "ISC,MIT"]
+    assert [got[i].n_paragraphs for i in (1, 2, 3, 4, 7, 8)] == [3, 3, 3, 0, 5, 2]
+    assert [got[100 + k].license_id for k, n in enumerate(sorted(of)) if not n.endswith("frame")] == [of[n][0] for n in sorted(of) if not n.endswith("frame")]
+    assert {"GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "CC0-1.0"} <= {r.license_id for r in got.values()}
