@@ -553,8 +553,16 @@ def q_svd_user_errors(spark, sf_dir):
     return round_doubles(ev_.user_errors(fa.reconstruct_observed(u, drawn_factors(u, signed=True))))
 
 
+@query("svd_top_n_all")
+def q_svd_top_n_all(spark, sf_dir):
+    """Signed factors, all users."""
+    u = util_table(spark, sf_dir)
+    return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=True)))
+
+
 @query("svd_top_n")
 def q_svd_top_n(spark, sf_dir):
+    """For a table of chosen users only, as its SQL has it; ``svd_top_n_all`` takes all."""
     u = util_table(spark, sf_dir)
     chosen = u.select("uid").distinct().where(F.col("uid") % 10 == 0)
     return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=True), users=chosen))

@@ -357,6 +357,7 @@ r AS (SELECT uid, song_id, pred, CAST(row_number() OVER (PARTITION BY uid ORDER
       FROM sc WHERE NOT EXISTS (SELECT 1 FROM util u WHERE u.uid = sc.uid AND u.song_id = sc.song_id))
 SELECT uid, song_id, round(pred, 6) AS pred, rank FROM r WHERE rank <= 10"""
 register("nmf_top_n", f"WITH {_POSITIVE}" + _TOP.format(cut="true"))
+register("svd_top_n_all", f"WITH {_SIGNED}" + _TOP.format(cut="true"))
 register("svd_top_n", f"WITH {_SIGNED}" + _TOP.format(cut="w.uid % 10 = 0"))
 
 # ------------------------------------------------------ sources and sinks
