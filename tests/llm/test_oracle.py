@@ -9,14 +9,14 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert set(oracle.SQL) <= set(queries.QUERIES) and set(oracle.SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(oracle.SQL))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.sql(oracle.SQL[name]).df()

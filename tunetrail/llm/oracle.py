@@ -98,10 +98,44 @@ SELECT doc_id, count(*) n_lines, count(*) FILTER (gone) n_removed,
 FROM m GROUP BY doc_id
 """
 
+OP11 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, sha256(length(role)::VARCHAR || ':' || role || text)) own FROM t GROUP BY conv_id),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                    lambda s, b: CASE WHEN xor(s, b) & 1 = 1 THEN xor(xor(s, b) >> 1, 3988292384) ELSE xor(s, b) >> 1 END), 4294967295) % 4 AS h FROM c),
+r AS (SELECT h.conv_id, list_concat(CASE WHEN b.own IS NULL THEN [] ELSE b.own[1:h.h] END, h.own[h.h + 1:]) turns FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20),
+n AS (SELECT turns[1:d] p, d, min(conv_id) conv_id, count(*) n FROM r, unnest(range(0, len(turns) + 1)) u(d) GROUP BY 1, 2),
+k AS (SELECT p[1:d - 1] p, count(*) kids FROM n WHERE d > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(kids, 0) kids, CASE WHEN d > 0 THEN (n - 1) * len(list_filter(regexp_split_to_array(p[d].t, '[\x20\x09-\x0D]+'), lambda w: w <> '')) ELSE 0 END saves FROM n LEFT JOIN k USING (p)),
+s AS (SELECT p[1:e] p, sum(saves)::BIGINT saved_tokens, count(*) FILTER (kids = 0) n_leaves FROM v, unnest(range(0, d + 1)) u(e) GROUP BY 1),
+e AS (SELECT turns p, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) ends FROM r GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, up.conv_id parent_conv_id, v.n n_convs, v.kids n_children, n_leaves, saved_tokens, coalesce(ends, sha256('')) ends_sha256
+FROM v JOIN s USING (p) LEFT JOIN e USING (p) LEFT JOIN v up ON v.d > 0 AND up.p = v.p[1:v.d - 1]
+"""
+
+OP13 = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_ASCII_LOWER.format('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') w FROM pieces),
+o AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) i FROM w, (VALUES (1), (2), (3)) s(k)),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') phrase, count(*) f FROM o GROUP BY ALL),
+total AS (SELECT lang, sum(f) n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') ws FROM g WHERE k > 1 AND f >= 10),
+parts AS (SELECT c.*, x, array_to_string(ws[1:x], ' ') p1, array_to_string(ws[x + 1:], ' ') p2 FROM c, (VALUES (1), (2)) u(x) WHERE x < k),
+cut AS (SELECT c.lang, c.phrase, c.k, c.f a, x, l.f l, r.f r, (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) score
+        FROM parts c JOIN g l ON l.lang = c.lang AND l.phrase = p1 JOIN g r ON r.lang = c.lang AND r.phrase = p2),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, x) = 1),
+longer AS (SELECT lang, array_to_string(p, ' ') phrase, max(f) f FROM (SELECT lang, f, unnest([ws[1:2], ws[2:3]]) p FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN longer o ON k = 2 AND o.lang = best.lang AND o.phrase = best.phrase WHERE o.f IS NULL OR 100 * o.f < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT n, score::BIGINT score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op1_secret_scans": OP1,
     "op3_benchmark_decontamination": OP3,
     "op4_exact_top_k": OP4,
     "op5_license_scans": OP5,
     "op10_line_dedup": OP10,
+    "op11_conversation_prefix_trie": OP11,
+    "op13_phrase_collocation": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunetrail.llm import decontaminate, licenses, linededup, neardup, packing, pii, quality, secrets, topk, toxicity
+from tunetrail.llm import decontaminate, licenses, linededup, lm, neardup, packing, phrases, pii, prefixtrie, quality, secrets, topk, toxicity
 from tunetrail.llm.common import crc_bucket, table
 
 
@@ -76,6 +76,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select("doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars_clean"), F.sha2(F.col("text").cast("binary"), 256).alias("clean_sha256"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_bucket(F.col("doc_id"), 7) == 2, F.lit(False))
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_phrase_collocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -87,4 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_lm_scoring": op12_lm_scoring,
+    "op13_phrase_collocation": op13_phrase_collocation,
 }
