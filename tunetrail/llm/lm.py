@@ -23,19 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetrail.llm.common import checkpointed, stored
-from tunetrail.llm.tokens import bucket_of, byte_classes, hashes, mixed, packed, slices, tokenize, unpacked
+from tunetrail.llm.tokens import bucket_of, byte_classes, hashes, mixed, packed, packed_keys, slices, tokenize, unpacked, unpacked_keys
 
 ORDER = 2
 #: Counts up to K are discounted by Good-Turing's estimate; larger ones by TRUSTED of a count.
 K, TRUSTED = 5, 0.1
 #: Tokens of a partition of the tables of counts, about.
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
 #: Documents of a block at most; a document's number within it takes so many bits.
 DOC_BITS = 20
 
@@ -60,8 +59,7 @@ def _code(docs: DataFrame, id_col: str, text_col: str, train: Column) -> DataFra
                 ids = np.full(len(t.ids) + part.num_rows, len(t.words), dtype=np.uint32)  # ends, where no word is put
                 ids[np.arange(len(t.ids)) + t.text] = t.ids
                 words = np.append(hashes(t.words), _END)
-                coded = zstandard.ZstdCompressor(1).compress(packed(ids))
-                columns = [[number], [part.column(0).to_pylist()], [np.packbits(part.column(1).to_numpy(zero_copy_only=False)).tobytes()], [packed(lengths)], [words.tobytes()], [coded], [int(lengths.sum())]]
+                columns = [[number], [part.column(0).to_pylist()], [np.packbits(part.column(1).to_numpy(zero_copy_only=False)).tobytes()], [packed(lengths)], [words.tobytes()], [packed(ids)], [int(lengths.sum())]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _schema(part.schema.field(0).type))], schema=_schema(part.schema.field(0).type))
                 number += 1
 
@@ -79,7 +77,7 @@ class Block:
         self.lengths = unpacked(row["lengths"])
         n = len(self.lengths)
         self.train = np.unpackbits(np.frombuffer(row["train"], np.uint8), count=n).astype(bool)
-        words, ids = np.frombuffer(row["words"], np.uint64), unpacked(zstandard.ZstdDecompressor().decompress(row["ids"]))
+        words, ids = np.frombuffer(row["words"], np.uint64), unpacked(row["ids"])
         self.doc = np.repeat(np.arange(n), self.lengths)
         self.first = np.append(0, np.cumsum(self.lengths)[:-1])  # each document's first token
         word = words[ids]
@@ -107,7 +105,7 @@ def _counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 for n in range(order):
                     keys, _, counts = block.distinct(n)
                     cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                    rows = [(n, b, row["block"], keys[i:j].tobytes(), packed(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+                    rows = [(n, b, row["block"], packed_keys(keys[i:j]), packed(counts[i:j])) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
                     yield pa.RecordBatch.from_pylist([dict(zip(("n", "bucket", "block", "keys", "counts"), r)) for r in rows], schema=asked)
 
     asked = pa.schema([("n", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -115,7 +113,7 @@ def _counts(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
 
     def total(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block")
-        keys = [np.frombuffer(k.as_py(), np.uint64) for k in rows.column("keys")]
+        keys = [unpacked_keys(k.as_py()) for k in rows.column("keys")]
         counts = np.concatenate([unpacked(c.as_py()) for c in rows.column("counts")])
         _, index, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         totals = np.bincount(inverse, weights=counts).astype(np.int64)
@@ -159,77 +157,110 @@ def kept_counts(totals: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.where(totals <= k, d[np.minimum(totals, k)] * totals, totals - TRUSTED)
 
 
-def _evaluate(blocks: DataFrame, counts: DataFrame, order: int, id_type: str, stats: list[list[int]], train_docs: int) -> DataFrame:
-    """Rows of three kinds: documents with the logarithms of what they hold of seen n-grams, shares of the contexts'
-    sums, and the contexts whose weights a block needs, with documents and times."""
+def _evaluate(blocks: DataFrame, counts: DataFrame, order: int, buckets: int, id_type: str, stats: list[list[int]], train_docs: int) -> DataFrame:
+    """Rows of three kinds, dealt by ``n`` and ``bucket``: 0, a block's shares of its contexts' sums; 1, the contexts whose
+    weights a block needs, with documents and times; 2, documents, with the logarithms of what they hold of seen n-grams."""
     d = [discounts(s[:K + 1]) for s in stats]
     tokens, types = stats[0][K + 2], stats[0][K + 1]
     seen = np.array(stats[0][:K])
     unknown = float(((np.arange(1, K + 1) * (1 - d[0][1:])) * seen).sum() + TRUSTED * (types - seen.sum())) / tokens if tokens else 1.0
 
     def walk(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
+        schema = _out_schema(left.schema.field("docs").type.value_type)
+        rows: list[dict] = []
+        replies = sorted(right.to_pylist(), key=lambda r: (r["n"], r["bucket"]))
         for row in left.to_pylist():
-            block = Block(row, order)
-            n_docs, base = len(block.lengths), row["block"] << DOC_BITS
-            totals, owner = [], []
+            block, base = Block(row, order), row["block"] << DOC_BITS
+            low = score = flat = known = before = None
             for n in range(order):
-                replies = sorted((r for r in right.to_pylist() if r["n"] == n), key=lambda r: r["bucket"])
-                found = [unpacked(r["totals"]) for r in replies]
-                own = [np.unpackbits(np.frombuffer(r["owned"], np.uint8), count=len(f)).astype(bool) for r, f in zip(replies, found)]
-                _, inverse, _ = block.distinct(n)
-                totals.append(np.concatenate(found)[inverse])
-                first = np.zeros(len(inverse), dtype=bool)
-                first[np.unique(inverse, return_index=True)[1]] = True
-                owner.append(np.concatenate(own)[inverse] & first)
-            known = totals[0] > 0
-            low = np.where(known, kept_counts(totals[0], d[0]) / max(1, tokens), unknown)  # probability by the orders so far, of seen n-grams
-            score, flat = np.log10(low), np.log10((totals[0] + 1) / (tokens + types + 1))
-            for n in range(1, order):
-                context = np.roll(totals[n - 1], 1)
-                context[block.first] = train_docs
-                here = totals[n] > 0
-                own = owner[n]
-                keys, place = np.unique(block.contexts[n][own], return_inverse=True)
-                for name, x in (("mass", (totals[n] - kept_counts(totals[n], d[n]))[own] / np.maximum(1, context[own])), ("low", low[own])):
-                    out.append((name, n, keys, np.bincount(place, weights=x, minlength=len(keys))))
-                low = np.where(here, kept_counts(totals[n], d[n]) / np.maximum(1, context), low)
-                score = np.where(here, np.log10(low), score)
-                missed = ~here & (context > 0)
-                pairs, times = np.unique(np.stack([block.contexts[n][missed], block.doc[missed].astype(np.uint64)]), axis=1, return_counts=True)
-                out.append(("miss", n, pairs, times))
-            per_doc = lambda x: np.bincount(block.doc, weights=x, minlength=n_docs)
-            docs = [base + np.arange(n_docs), row["docs"], block.lengths, per_doc(known).astype(np.int64), per_doc(flat), per_doc(score)]
-            return _rows(docs, out, base, left.schema.field("docs").type.value_type)
-        return _rows([[]] * 6, [], 0, left.schema.field("docs").type.value_type)
-
-    schema = f"rid long, doc {id_type}, n_tokens long, n_known long, base double, score double, n int, context long, mass double, low double, docs array<long>, times array<int>"
-    return blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(walk, schema)
-
-
-def _rows(docs: list, parts: list, base: int, id_type: pa.DataType) -> pa.Table:
-    """One table of document rows, context rows (mass, low) and rows of asked contexts (docs, times)."""
-    names = ("rid", "doc", "n_tokens", "n_known", "base", "score", "n", "context", "mass", "low", "docs", "times")
-    types = (pa.int64(), id_type, pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-    schema = pa.schema(list(zip(names, types)))
-
-    def table(**columns) -> pa.Table:
-        size = len(next(iter(columns.values())))
-        return pa.table([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema], schema=schema)
-
-    out = [table(**dict(zip(names, docs)))]
-    sums = {}
-    for name, n, keys, x in parts:
-        if name == "miss":
-            cuts = np.flatnonzero(np.append(True, keys[0][1:] != keys[0][:-1])) if keys.shape[1] else np.empty(0, np.int64)
-            ends = pa.array(np.append(cuts, keys.shape[1]), pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(v, t)) for v, t in ((keys[1].astype(np.int64) + base, pa.int64()), (x.astype(np.int32), pa.int32()))]
-            out.append(table(n=np.full(len(cuts), n), context=keys[0][cuts].view(np.int64), docs=lists[0], times=lists[1]))
-        elif name == "mass":
-            sums[n] = x
-        else:
-            out.append(table(n=np.full(len(keys), n), context=keys.view(np.int64), mass=sums[n], low=x))
-    return pa.concat_tables(out)
+                mine = [r for r in replies if r["n"] == n]
+                found = [unpacked(r["totals"]) for r in mine]
+                own = np.concatenate([np.unpackbits(np.frombuffer(r["owned"], np.uint8), count=len(f)).astype(bool) for r, f in zip(mine, found)])
+                keys, first, inverse = np.unique(block.grams[n], return_index=True, return_inverse=True)
+                totals = np.concatenate(found)[inverse]
+                if n == 0:
+                    known = totals > 0
+                    low = np.where(known, kept_counts(totals, d[0]) / max(1, tokens), unknown)  # of a seen n-gram, by the orders so far
+                    score, flat = np.log10(low), np.log10((totals + 1) / (tokens + types + 1))
+                else:
+                    context = np.roll(before, 1)
+                    context[block.first] = train_docs
+                    own = first[own]  # a token of each n-gram that this block owns
+                    left_over = (totals[own] - kept_counts(totals[own], d[n])) / np.maximum(1, context[own])
+                    rows += _dealt(0, n, buckets, block.contexts[n][own], {"mass": left_over, "low": low[own]})
+                    here = totals > 0
+                    low = np.where(here, kept_counts(totals, d[n]) / np.maximum(1, context), low)
+                    score = np.where(here, np.log10(low), score)
+                    missed = ~here & (context > 0)
+                    rows += _dealt(1, n, buckets, block.contexts[n][missed], {}, block.doc[missed], base)
+                before = totals
+            per_doc = [np.bincount(block.doc, weights=x, minlength=len(block.lengths)) for x in (known, flat, score)]
+            for i, (doc, length, *x) in enumerate(zip(row["docs"], block.lengths.tolist(), *(p.tolist() for p in per_doc))):
+                rows.append({"bucket": row["block"] % buckets, "kind": 2, "n": 0, "rid": base + i, "doc": doc, "n_tokens": length, "n_known": int(x[0]), "base": x[1], "score": x[2]})
+        return pa.Table.from_pylist(rows, schema=schema)
+
+    return blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(walk, _OUT.format(id_type))
+
+
+_OUT = "bucket int, kind int, n int, keys binary, mass binary, low binary, at binary, docs binary, times binary, base_rid long, rid long, doc {}, n_tokens long, n_known long, base double, score double"
+
+
+def _out_schema(id_type: pa.DataType) -> pa.Schema:
+    kinds = {"int": pa.int32(), "binary": pa.binary(), "long": pa.int64(), "double": pa.float64(), "{}": id_type}
+    return pa.schema([(name, kinds[kind]) for name, kind in (field.split(" ") for field in _OUT.split(", "))])
+
+
+def _dealt(kind: int, n: int, buckets: int, contexts: np.ndarray, sums: dict[str, np.ndarray], docs: np.ndarray | None = None, base: int = 0) -> list[dict]:
+    """Rows for the buckets of the contexts: with the sums by context, or with the documents that need them."""
+    keys, place = np.unique(contexts, return_inverse=True)
+    cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+    totals = {name: np.bincount(place, weights=x, minlength=len(keys)) for name, x in sums.items()}
+    if docs is not None:
+        pairs, times = np.unique(place << DOC_BITS | docs, return_counts=True)
+        ends = np.searchsorted(pairs >> DOC_BITS, np.arange(len(keys) + 1))
+    out = []
+    for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        if j > i:
+            row = {"bucket": b, "kind": kind, "n": n, "keys": packed_keys(keys[i:j]), **{name: x[i:j].tobytes() for name, x in totals.items()}}
+            if docs is not None:
+                part = slice(ends[i], ends[j])
+                row |= {"at": packed(np.diff(ends[i:j + 1])), "docs": packed(pairs[part] & (1 << DOC_BITS) - 1), "times": packed(times[part]), "base_rid": base}
+            out.append(row)
+    return out
+
+
+def _backed(rows: DataFrame, id_type: str) -> DataFrame:
+    """(rid, backed, doc, ...): documents, and what the weights of the contexts that they lack add to them.
+
+    In each partition of contexts the sums come first and become weights, then the blocks that need some pass by."""
+    columns = ["rid", "backed", "doc", "n_tokens", "n_known", "base", "score"]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, sums, keys, weights = None, [], None, None
+        for batch in it:
+            schema = pa.schema([("rid", pa.int64()), ("backed", pa.float64()), *[batch.schema.field(c) for c in columns[2:]]])
+            kinds = batch.column("kind").to_numpy()
+            docs = batch.filter(pa.array(kinds == 2)).select([c for c in columns if c != "backed"])
+            if docs.num_rows:
+                yield pa.RecordBatch.from_arrays([docs.column(0), pa.nulls(docs.num_rows, pa.float64()), *docs.columns[1:]], schema=schema)
+            for row in batch.filter(pa.array(kinds < 2)).select(["n", "bucket", "kind", "keys", "mass", "low", "at", "docs", "times", "base_rid"]).to_pylist():
+                if (row["n"], row["bucket"]) != group:
+                    group, sums, keys = (row["n"], row["bucket"]), [], None
+                if row["kind"] == 0:
+                    sums.append((unpacked_keys(row["keys"]), np.frombuffer(row["mass"]), np.frombuffer(row["low"])))
+                    continue
+                if keys is None:
+                    every, mass, low = (np.concatenate(x) for x in zip(*sums))
+                    keys, place = np.unique(every, return_inverse=True)
+                    mass, low = (np.bincount(place, weights=x) for x in (mass, low))
+                    weights, sums = np.log10(mass / np.maximum(1 - low, 1e-12)), []
+                each = weights[np.searchsorted(keys, unpacked_keys(row["keys"]))]
+                rids, place = np.unique(unpacked(row["docs"]), return_inverse=True)
+                added = np.bincount(place, weights=np.repeat(each, unpacked(row["at"])) * unpacked(row["times"]))
+                yield pa.RecordBatch.from_arrays([pa.array(rids + row["base_rid"]), pa.array(added), *[pa.nulls(len(rids), f.type) for f in list(schema)[2:]]], schema=schema)
+
+    ordered = rows.repartition("n", "bucket").sortWithinPartitions("n", "bucket", "kind")
+    return ordered.mapInArrow(run, f"rid long, backed double, doc {id_type}, n_tokens long, n_known long, base double, score double")
 
 
 def score_texts(docs: DataFrame, train: Column, order: int = ORDER, bucket_tokens: int = BUCKET_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,16 +277,11 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, bucket_token
     n_tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
     buckets = max(1, -(-n_tokens // bucket_tokens))
     counts = checkpointed(_counts(blocks, order, buckets))
-    sums = counts.groupBy("n").agg(*[F.sum(F.col("hist")[i]).alias(f"h{i}") for i in range(K + 3)]).collect()  # a row for each order
     stats = [[0] * (K + 3) for _ in range(order)]
-    for r in sums:
+    for r in counts.groupBy("n").agg(*[F.sum(F.col("hist")[i]) for i in range(K + 3)]).collect():  # a row for each order
         stats[r["n"]] = list(r)[1:]
     train_docs = docs.where(F.coalesce(train, F.lit(False))).count()
-    rows = stored(_evaluate(blocks, counts, order, id_type, stats, train_docs))
-    weights = (rows.where("mass is not null").groupBy("n", "context").agg(F.sum("mass").alias("mass"), F.sum("low").alias("low"))
-               .select("n", "context", F.log10(F.col("mass") / F.greatest(1 - F.col("low"), F.lit(1e-12))).alias("weight")))
-    asked = rows.where("docs is not null").select("n", "context", F.arrays_zip("docs", "times").alias("at")).join(weights, ["n", "context"])
-    added = asked.select(F.explode("at").alias("x"), "weight").groupBy(F.col("x.docs").alias("rid")).agg(F.sum(F.col("x.times") * F.col("weight")).alias("backed"))
-    return (rows.where("rid is not null").join(added, "rid", "left")
-            .select(F.col("doc").alias(id_col), "n_tokens", "n_known", F.lit(stats[0][K + 2]).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
-                    (F.col("score") + F.coalesce("backed", F.lit(0.0))).alias("score")))
+    rows = _backed(_evaluate(blocks, counts, order, buckets, id_type, stats, train_docs), id_type)
+    whole = rows.groupBy("rid").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("doc", "n_tokens", "n_known", "base", "score")], F.coalesce(F.sum("backed"), F.lit(0.0)).alias("backed"))
+    return whole.select(F.col("doc").alias(id_col), "n_tokens", "n_known", F.lit(stats[0][K + 2]).cast("long").alias("train_tokens"), F.col("base").alias("base_score"),
+                        (F.col("score") + F.col("backed")).alias("score"))

@@ -8,9 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 
-#: Bytes of text that are tokenized together, about; a longer text is taken alone.
-SLICE_BYTES = 12 << 20
+#: Bytes of text that are tokenized together, about, and rows at most; a longer text is taken alone.
+SLICE_BYTES, SLICE_ROWS = 12 << 20, 1 << 20
 
 WORD, BLANK, BREAK = 0, 1, 2
 #: A-Z in lower case, other bytes as they are.
@@ -42,7 +43,7 @@ def slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Itera
     begin = 0
     while begin < batch.num_rows:
         done = ends[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(ends, done + size, side="right")))
+        end = min(begin + SLICE_ROWS, max(begin + 1, int(np.searchsorted(ends, done + size, side="right"))))
         yield batch.slice(begin, end - begin)
         begin = end
 
@@ -73,7 +74,8 @@ def tokenize(texts: pa.Array, classes: np.ndarray) -> Tokens:
 
 def hashes(words: pa.Array, prefix: bytes = b"") -> np.ndarray:
     """64-bit hashes of the words, each after ``prefix``."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(prefix + w) for w in words.to_pylist()), dtype=np.uint64, count=len(words))
+    said = words.to_pylist()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, [prefix + w for w in said] if prefix else said), dtype=np.uint64, count=len(said))
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,14 +87,31 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Non-negative integers in the narrowest unsigned type that holds them; its width is the first byte."""
+    """Non-negative integers in the narrowest unsigned type that holds them, byte by byte of all, compressed; the width is the first byte."""
     most = int(values.max(initial=0))
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max)
-    return bytes([np.dtype(kind).itemsize]) + values.astype(kind).tobytes()
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zstandard.ZstdCompressor(1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64) if len(data) > 1 else np.empty(0, np.int64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").ravel().astype(np.int64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """64-bit values in rising order: the steps of their upper 24 bits compressed, the other five bytes as they are."""
+    high = packed(np.diff(keys >> np.uint64(40), prepend=np.uint64(0)).astype(np.int64))
+    low = np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :5]
+    return len(high).to_bytes(8, "little") + high + low.tobytes()
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    high = np.cumsum(unpacked(data[8:8 + size])).astype(np.uint64)
+    low = np.zeros((len(high), 8), dtype=np.uint8)
+    low[:, :5] = np.frombuffer(data, np.uint8, offset=8 + size).reshape(-1, 5) if len(high) else 0
+    return high << np.uint64(40) | low.view(np.uint64).ravel()
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
