@@ -29,8 +29,8 @@ from tunetrail.llm.common import checkpointed, stored
 from tunetrail.llm.tokens import bucket_of, byte_classes, hashes, mixed, packed, slices, tokenize, unpacked
 
 LEAST, TOP, SHARE, SCALE = 10, 2000, 50, 1_000_000
-#: Tokens of a prefix range, about.
-RANGE_TOKENS = 4_000_000
+#: Tokens of a prefix range, and bytes of text of a shard, about.
+RANGE_TOKENS, SHARD_BYTES = 1_000_000, 6 << 20
 NO_LANG = "und"
 
 _CLASSES = byte_classes(b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d")
@@ -40,7 +40,7 @@ def _by_language(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordB
     for batch in it:
         langs = batch.column(0).dictionary_encode()
         for k, lang in enumerate(langs.dictionary.to_pylist()):
-            for part in slices(batch.filter(pc.equal(langs.indices, k)), 1):
+            for part in slices(batch.filter(pc.equal(langs.indices, k)), 1, SHARD_BYTES):
                 yield lang, part
 
 
