@@ -1,6 +1,9 @@
 import random
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from tests.llm.helpers import SCHEMA, edge_docs, edge_rows, empty_docs
 from tunetrail.llm import neardup
 from tunetrail.llm.components import connected_components
@@ -73,14 +76,43 @@ def test_equals_brute_force(spark):
 
 
 def test_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "FEW", 3)
-    monkeypatch.setattr(neardup, "MANY", 5)
-    monkeypatch.setattr(neardup, "SHORT", 4)
-    monkeypatch.setattr(neardup, "SHARED", 2)
+    monkeypatch.setattr(neardup, "CLASSES", (3, 5, 4, 2))
+    monkeypatch.setattr(neardup, "BYTES", (3000, 9000, 2000, 1500))
     docs = spark.createDataFrame([(i, t) for i, t in copies()[:50]], "doc_id long, text string")
     assert found(neardup.near_duplicates(docs)) == brute(copies()[:50])
 
 
+def test_slot_nought(spark):
+    ids = spark.createDataFrame([(194350146,), (194350148,)], "doc long")
+    for slots in (1 << 16, 1 << 26):
+        bits = np.unpackbits(neardup._filter_bits(ids, slots), bitorder="little")
+        want = [r[0] for r in ids.select(neardup._slot(neardup.F.col("doc"), slots)).collect()]
+        assert want[0] == 0 and np.flatnonzero(bits).tolist() == sorted(want)
+    text = " ".join(f"w{i}" for i in range(100))
+    docs = spark.createDataFrame([(194350146, text), (194350160, text + " more")], "doc_id long, text string")
+    assert found(neardup.near_duplicates(docs)) == [("194350146", 97, "194350146", True), ("194350160", 98, "194350146", False)]
+
+
+def test_unlinked_classes_send_no_sets(spark):
+    """One list of unlike classes: sketches tell them apart, so no full set is copied; blocks of sets keep to their bytes."""
+    r = random.Random(8)
+    rows = [(b"m" if k == 0 else b"n%d" % k, np.array(sorted({r.getrandbits(60) for _ in range(2000)}), dtype=np.uint64)) for k in range(120)]
+    sets = spark.createDataFrame([(n, s.view(np.int64).tolist(), neardup.sketch(s)) for n, s in rows], "node binary, shingles array<long>, sketch binary").checkpoint()
+    lists = sets.select(neardup.F.lit(b"m").alias("major"), "node", neardup.F.col("node").alias("label"))
+    assert neardup._with_partners(lists, sets.select("node", "sketch"), neardup.CLOSE).count() == 0
+    bounds = (60_000, 200_000, 1000, 50_000)
+    blocks = neardup._blocks(lists.join(sets, "node"), 8 * neardup.F.size("shingles"), bounds, ["shingles"])
+    size = lambda left, right: pa.table({"l": [8 * 2000 * left.num_rows], "r": [8 * 2000 * right.num_rows]})
+    got = blocks.applyInArrow(size, "l long, r long").collect()
+    assert max(x.l for x in got) < 4 * bounds[0] and max(x.r for x in got) < 3 * bounds[1] and sum(x.l for x in got) >= 119 * 16_000
+
+
+def test_row_key(spark):
+    docs = spark.createDataFrame([(1, "a b c d e"), (5, "a b c d e"), (5, "f g h i"), (None, "a b c d e"), (7, None)], "doc_id long, text string")
+    got = {(r.doc_id, r.row_key): r.kept for r in neardup.near_duplicates(docs, row_key=neardup.F.col("text")).collect()}
+    assert got == {(1, "a b c d e"): True, (5, "a b c d e"): False, (5, "f g h i"): True, (None, "a b c d e"): False, (7, None): True}
+
+
 def test_empty(spark):
     assert neardup.near_duplicates(empty_docs(spark)).collect() == []
 

@@ -9,10 +9,11 @@
 3. In each list the classes are compared with a pivot, the class whose values are the most common (the original of a
    group of copies).  Pairs whose sketches agree in ``close`` bytes are confirmed on their full sets.
 4. Confirmed links give components.  A list whose classes are then all in one component is done.  In any other, the
-   classes outside its largest component are compared with the rest, in blocks of bounded size inside tasks: by
-   sketches, then on full sets.  Lists with the same largest component are taken together, so classes that share many
-   lists meet once.  A block returns links that join components, not all pairs, so no link between components is lost
-   and no group's pairs are written out.
+   classes outside its largest component are compared with the rest, in blocks inside tasks: first by sketches alone,
+   which tells the classes that have a close partner in another component; then these, on full sets, in blocks bounded by
+   the bytes of the sets.  Lists with the same largest component are taken together, so classes that share many lists
+   meet once.  A block returns links that join components, not all pairs, so no link between components is lost and no
+   group's pairs are written out.
 
 Misses: a pair of similarity s is compared unless it agrees in fewer than ``matches`` of ``hashes`` coordinates, or its
 sketches in fewer than ``close`` of SKETCH bytes; for s = 0.8 that is one pair in five million and one in fifty
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunetrail.llm.common import batches, checkpointed, compact
@@ -36,14 +37,14 @@ SHINGLE, SIMILARITY = 4, 80
 HASHES, MATCHES = 32, 13
 #: Bytes of a sketch, each of a further MinHash coordinate, and how many must agree.
 SKETCH, CLOSE = 192, 121
-#: Classes in a block: those outside the largest component, and those that they are compared with.
-FEW, MANY = 2048, 8192
-#: Open lists with so many classes together at most share blocks, about so many classes a block.
-SHORT, SHARED = 64, 4096
+#: What a block holds, about: of the classes outside the largest component, of those that they are compared with, of a
+#: list that shares its block with others, and of such a shared block.  By classes for sketches, by bytes for full sets.
+CLASSES, BYTES = (2048, 8192, 64, 4096), (8 << 20, 24 << 20, 1 << 20, 8 << 20)
 #: Rows of a partition, about, of the tables of postings and links, and of full sets.
 ROWS, SET_ROWS = 50_000, 2_000
-#: Slots of the filter that tells which documents' full sets are needed: 8 MB, whatever the corpus size.
-FILTER_SLOTS = 1 << 26
+#: Slots of the filter that tells which documents' full sets are needed, for each of them, and at most (256 MB).  Beyond
+#: 2**27 needed documents it lets more of the others through, which the join then drops.
+SLOTS_EACH, MOST_SLOTS = 16, 1 << 31
 
 _UPPER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.random.default_rng(20240607).integers(1, 1 << 63, size=(2, 512), dtype=np.uint64) | np.uint64(1)
@@ -91,45 +92,54 @@ def _node(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-def signatures(docs: DataFrame, shingle: int = SHINGLE, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, node (128-bit digest of the shingle set; null if empty), n_shingles, sig."""
+def signatures(docs: DataFrame, shingle: int = SHINGLE, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text", row_key: Column | None = None) -> DataFrame:
+    """id, node (128-bit digest of the shingle set; null if empty), n_shingles, sig, and row_key (null if none is given)."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    src = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("binary"))
+    src = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("binary").alias("_text"), (F.lit(None) if row_key is None else row_key).cast("string").alias("_key"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            schema = pa.schema([batch.schema.field(0), ("node", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.list_(pa.int64()))])
+            schema = pa.schema([batch.schema.field(0).with_name(id_col), ("node", pa.binary()), ("n_shingles", pa.int64()), ("sig", pa.list_(pa.int64())), ("row_key", pa.string())])
 
             def rows(batch=batch):
-                for doc, text in zip(batch.column(0), batch.column(1)):
+                for doc, text, key in zip(batch.column(0), batch.column(1), batch.column(2)):
                     s = shingle_set(text.as_py(), shingle)
-                    yield doc.as_py(), _node(s), len(s), signature(s, hashes) if len(s) else None
+                    yield doc.as_py(), _node(s), len(s), signature(s, hashes) if len(s) else None, key.as_py()
 
             yield from batches(rows(), schema)
 
-    return src.mapInArrow(run, f"{id_col} {id_type}, node binary, n_shingles long, sig array<long>")
+    return src.mapInArrow(run, f"{id_col} {id_type}, node binary, n_shingles long, sig array<long>, row_key string")
+
+
+def _filter_bits(needed: DataFrame, slots: int) -> np.ndarray:
+    """Bit s is set if a needed document's id falls in slot s: ``slots`` / 8 bytes."""
+    # bitmaps of 4096 bytes are numbered from 1, for values from 1
+    bits = (needed.select((_slot(F.col("doc"), slots) + 1).alias("s")).groupBy(F.expr("bitmap_bucket_number(s)").alias("k"))
+            .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s))").alias("bits")))
+    out = np.zeros(slots // 8, dtype=np.uint8)
+    for r in bits.toLocalIterator():
+        part = np.frombuffer(r["bits"], dtype=np.uint8)
+        begin = (r["k"] - 1) * len(part)
+        out[begin:begin + len(part)] = part[:len(out) - begin]
+    return out
+
+
+def _slot(c: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(c), F.lit(slots))
 
 
 def _full_sets(docs: DataFrame, needed: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles, sketch) of the nodes in ``needed`` (node, doc).  A bitmap of the hashed ids, of fixed size,
-    spares most other documents; the texts aren't shuffled."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_SLOTS))
-    bits = needed.select(slot("doc").alias("s")).groupBy(F.expr("bitmap_bucket_number(s)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s))").alias("bits"))
-    size = 32768  # bits of one bitmap; they are numbered from 1, for values from 1
-    wanted = np.zeros(FILTER_SLOTS + size, dtype=bool)
-    for r in bits.collect():  # FILTER_SLOTS / 8 bytes at most
-        begin = (r["k"] - 1) * size + 1
-        flags = np.unpackbits(np.frombuffer(r["bits"], dtype=np.uint8), bitorder="little").astype(bool)
-        lo = max(0, begin)
-        wanted[lo:begin + size] |= flags[lo - begin:]
-    packed = np.packbits(wanted)
-    src = docs.select(slot(F.col(f"`{id_col}`")).alias("slot"), F.col(f"`{text_col}`").cast("binary"))
+    """(node, shingles, sketch) of the nodes in ``needed`` (node, doc).  Bits of the hashed ids spare the other
+    documents; the texts aren't shuffled."""
+    slots = min(MOST_SLOTS, max(1 << 16, 1 << (SLOTS_EACH * needed.count()).bit_length()))
+    bits = _filter_bits(needed, slots)
+    src = docs.select(_slot(F.col(f"`{id_col}`"), slots).alias("slot"), F.col(f"`{text_col}`").cast("binary"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.unpackbits(packed).astype(bool)
         schema = pa.schema([("node", pa.binary()), ("shingles", pa.list_(pa.int64())), ("sketch", pa.binary())])
         for batch in it:
-            batch = batch.filter(pa.array(flags[batch.column(0).to_numpy()]))
+            slot = batch.column(0).to_numpy()
+            batch = batch.filter(pa.array((bits[slot >> 3] >> (slot & 7) & 1).astype(bool)))
 
             def rows(batch=batch):
                 for text in batch.column(1):
@@ -189,26 +199,68 @@ def _close_pairs(pairs: DataFrame, sketches: DataFrame, close: int) -> DataFrame
     return both.mapInArrow(run, "node binary, pivot binary")
 
 
-def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int) -> DataFrame:
-    """(a, b): links between components of the open lists, enough to join all that any of their links joins."""
-    size = lists.groupBy("major").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("label") != F.col("major")).alias("minor"))
-    rows = lists.join(size, "major").join(sets, "node")
-    few, many = (F.greatest(F.lit(1), F.ceil(F.col(n) / of)).cast("int") for n, of in (("minor", FEW), ("all", MANY)))
+def _blocks(rows: DataFrame, weight: Column, bounds: tuple[int, int, int, int], columns: list[str]) -> tuple:
+    """The lists (major, node, label, ...) cut into blocks (g, a, b): in each, classes outside the largest component on the
+    left, and what they are compared with on the right.  ``bounds`` are sums of ``weight``; see CLASSES and BYTES."""
+    few, many, short, shared = bounds
+    weighed = rows.withColumn("w", weight.cast("long"))
+    size = weighed.groupBy("major").agg(F.sum("w").alias("all"), F.coalesce(F.sum(F.when(F.col("label") != F.col("major"), F.col("w"))), F.lit(0)).alias("minor"))
+    together = max(1, (size.where(F.col("all") <= short).agg(F.sum("all")).first()[0] or 0) // shared)
+    parts = lambda n, of: F.greatest(F.lit(1), F.ceil(F.col(n) / of)).cast("int")
+    group = F.when(F.col("all") <= short, F.pmod(F.xxhash64("major"), F.lit(together))).otherwise(F.xxhash64("major"))
+    dealt = weighed.join(size, "major").select("major", "node", "label", *columns, group.alias("g"), parts("minor", few).alias("few"), parts("all", many).alias("many"))
     part = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    shared = max(1, (size.where(F.col("all") <= SHORT).agg(F.sum("all")).first()[0] or 0) // SHARED)
-    group = F.when(F.col("all") <= SHORT, F.pmod(F.xxhash64("major"), F.lit(shared))).otherwise(F.xxhash64("major"))
-    rows = rows.select("major", "node", "label", "sketch", "shingles", group.alias("g"), few.alias("few"), many.alias("many"))
-    names = ["g", "a", "b", "major", "node", "label", "sketch", "shingles"]
-    left = rows.where("label != major").withColumn("a", part(F.col("few"))).withColumn("b", every(F.col("many"))).select(names)
-    right = rows.withColumn("b", part(F.col("many"))).withColumn("a", every(F.col("few"))).select(names).toDF(*[f"r_{n}" for n in names])
+    names = ["g", "a", "b", "major", "node", "label", *columns]
+    left = dealt.where("label != major").withColumn("a", part(F.col("few"))).withColumn("b", every(F.col("many"))).select(names)
+    right = dealt.withColumn("b", part(F.col("many"))).withColumn("a", every(F.col("few"))).select(names).toDF(*[f"r_{n}" for n in names])
+    return left.groupBy("g", "a", "b").cogroup(right.groupBy("r_g", "r_a", "r_b"))
+
+
+def _places(keys: list) -> dict[bytes, np.ndarray]:
+    at: dict[bytes, list[int]] = {}
+    for i, key in enumerate(keys):
+        at.setdefault(key, []).append(i)
+    return {key: np.array(i) for key, i in at.items()}
+
+
+def _with_partners(lists: DataFrame, sketches: DataFrame, close: int) -> DataFrame:
+    """The rows of ``lists`` whose class has one of another component in its list whose sketch agrees."""
+
+    def compare(minor: pa.Table, others: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"major": [], "node": []}
+        if minor.num_rows and others.num_rows:
+            nodes, labels, sketches = others.column("r_node").to_pylist(), np.array(others.column("r_label").to_pylist(), dtype=object), _bytes_matrix(others.column("r_sketch"))
+            places, some = _places(others.column("r_major").to_pylist()), np.zeros(others.num_rows, dtype=bool)
+            for major, node, label, one in zip(minor.column("major").to_pylist(), minor.column("node").to_pylist(), minor.column("label").to_pylist(), _bytes_matrix(minor.column("sketch"))):
+                k = places.get(major)
+                if k is not None:
+                    k = k[(_agreeing(sketches[k], one) >= close) & (labels[k] != label)]
+                    some[k] = True
+                    if len(k):
+                        out["major"].append(major)
+                        out["node"].append(node)
+            majors = others.column("r_major").to_pylist()
+            for i in np.flatnonzero(some):
+                out["major"].append(majors[i])
+                out["node"].append(nodes[i])
+        return pa.table({k: pa.array(v, pa.binary()) for k, v in out.items()})
+
+    found = _blocks(lists.join(sketches, "node"), F.lit(1), CLASSES, ["sketch"]).applyInArrow(compare, "major binary, node binary").distinct()
+    return lists.join(found, ["major", "node"])
+
+
+def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int) -> DataFrame:
+    """(a, b): links between components of the open lists, enough to join all that any of their links joins."""
+    some = compact(checkpointed(_with_partners(lists, sets.select("node", "sketch"), close)), ROWS)
+    rows = some.join(sets, "node")
+    blocks = _blocks(rows, 8 * F.size("shingles") + 512, BYTES, ["sketch", "shingles"])
 
     def compare(minor: pa.Table, others: pa.Table) -> pa.Table:
         found: tuple[list, list] = ([], [])
         if minor.num_rows and others.num_rows:
             nodes, sketches, sets = others.column("r_node").to_pylist(), _bytes_matrix(others.column("r_sketch")), others.column("r_shingles").combine_chunks()
             own = minor.column("shingles").combine_chunks()
-            at: dict[bytes, list[int]] = {}
             up: dict[bytes, bytes] = {}
 
             def top(x: bytes) -> bytes:
@@ -217,9 +269,7 @@ def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int
                 return x
 
             labels = others.column("r_label").to_pylist()
-            for i, key in enumerate(others.column("r_major").to_pylist()):
-                at.setdefault(key, []).append(i)
-            places = {key: np.array(i) for key, i in at.items()}
+            places = _places(others.column("r_major").to_pylist())
             for m, (major, node, label, one) in enumerate(zip(minor.column("major").to_pylist(), minor.column("node").to_pylist(), minor.column("label").to_pylist(), _bytes_matrix(minor.column("sketch")))):
                 k = places.get(major)
                 if k is None:
@@ -238,7 +288,7 @@ def _listed_links(lists: DataFrame, sets: DataFrame, close: int, similarity: int
                         found[1].append(nodes[i])
         return pa.table({"a": pa.array(found[0], pa.binary()), "b": pa.array(found[1], pa.binary())})
 
-    return left.groupBy("g", "a", "b").cogroup(right.groupBy("r_g", "r_a", "r_b")).applyInArrow(compare, "a binary, b binary")
+    return blocks.applyInArrow(compare, "a binary, b binary")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, similarity: int) -> bool:
@@ -265,14 +315,15 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY, hashes: int = HASHES, matches: int = MATCHES, close: int = CLOSE,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: id, n_shingles, component_id (least id reachable by links), kept (id = component_id).
+                    id_col: str = "doc_id", text_col: str = "text", row_key: Column | None = None) -> DataFrame:
+    """Per row of ``docs``: id, n_shingles, component_id (least id reachable by links), kept (id = component_id), and
+    row_key if an expression for one is given.
 
     Documents are linked if their shingle sets' Jaccard similarity is ``similarity`` per cent or more.  A null, empty
     or blank text has no shingles and no links, and is kept.  Rows that repeat an id each give a row; a null id takes
     part but is never a component's id, unless all its ids are null (such rows are kept).  No rows give no rows.
     """
-    rows = checkpointed(signatures(docs, shingle, hashes, id_col, text_col).withColumnRenamed(id_col, "doc"))
+    rows = checkpointed(signatures(docs, shingle, hashes, id_col, text_col, row_key).withColumnRenamed(id_col, "doc"))
     nodes = checkpointed(rows.where("node is not null").groupBy("node").agg(F.min("doc").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("sig").alias("sig")))
     postings = compact(checkpointed(_postings(nodes, matches)), ROWS)
     sets = compact(checkpointed(_full_sets(docs, postings.select("node").distinct().join(nodes.select("node", "doc"), "node"), shingle, id_col, text_col)), SET_ROWS)
@@ -293,5 +344,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similarity: int = S
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     of = named.join(least, "root").select("node", "component_id")
     return (rows.join(of, "node", "left")
-            .select(F.col("doc").alias(id_col), "n_shingles", F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("component_id")).alias("component_id"))
+            .select(F.col("doc").alias(id_col), "n_shingles", F.when(F.col("node").isNull(), F.col("doc")).otherwise(F.col("component_id")).alias("component_id"), *([] if row_key is None else ["row_key"]))
             .withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id"))))
