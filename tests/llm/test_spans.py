@@ -85,6 +85,17 @@ def test_secrets_ownership(spark):
     assert tuple(secrets.ownership(values).first()) == ("h", 5, 4, 3)
 
 
+def test_many_repositories_make_an_example(spark):
+    from pyspark.sql import functions as F
+
+    live, copied = "Zq8Rk2Lw9Xv4Bn7Mt3Hs6Dg1", "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8"
+    rows = [(k, f"x {copied} y", f"o{k % 2}", f"r{k}") for k in range(40)]  # two owners, a repository a document
+    rows += [(100 + k, f"x {live} y", "o1", f"s{k % 6}") for k in range(40)]  # one owner, who uses it in file after file
+    got = {r.doc_id: r for r in secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string, repo string"), F.col("source"), F.col("repo")).collect()}
+    assert got[0].n_token == 0 and got[0].n_live == 0
+    assert (got[100].n_token, got[100].n_live, got[100].n_example, got[100].most_owners, got[100].most_repos, got[100].most_docs) == (1, 1, 0, 1, 6, 40)
+
+
 def test_pii_base_spans(spark):
     from pyspark.sql import functions as F
 

@@ -36,15 +36,18 @@ OP1 = "WITH" + ",".join([
     _SPANS.format(kind="token", k=4, p="'[A-Za-z0-9+/_-]+'", g=0, ok="length(m[i]) >= 24 AND regexp_matches(m[i], '[0-9]') AND regexp_matches(m[i], '[A-Z]') AND regexp_matches(m[i], '[a-z]')"),
 ]) + """,
 found AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex UNION ALL SELECT * FROM token),
-owned AS (SELECT val, count(DISTINCT source) >= 3 example FROM found GROUP BY val),
-judged AS (SELECT f.*, example, NOT example AND len(list_distinct(string_split(val, ''))) >= 8 live FROM found f JOIN owned USING (val)),
+held AS (SELECT val, count(DISTINCT coalesce(source, '')) n_owners, count(DISTINCT (coalesce(source, ''), coalesce(lang, ''))) n_repos, count(DISTINCT doc_id) n_docs FROM found GROUP BY val),
+owned AS (SELECT *, n_owners >= 3 OR (n_repos >= 5 AND n_docs <= 3 * n_repos) example FROM held),
+judged AS (SELECT f.*, n_owners, n_repos, n_docs, example, NOT example AND len(list_distinct(string_split(val, ''))) >= 8 live FROM found f JOIN owned USING (val)),
 per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') n_assign, count(*) FILTER (kind = 'access') n_access, count(*) FILTER (kind = 'hex') n_hex,
                count(*) FILTER (kind = 'token') n_token, count(*) FILTER (live) n_live, count(*) FILTER (example) n_example,
+               max(n_owners) most_owners, max(n_repos) most_repos, max(n_docs) most_docs,
                string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, k) FILTER (kind <> 'token') base,
                string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, k) spans
         FROM judged WHERE kind <> 'token' OR live GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, coalesce(n_hex, 0) n_hex, sha256(coalesce(base, '')) base_sha256,
-       coalesce(spans, '') spans, coalesce(n_token, 0) n_token, coalesce(n_live, 0) n_live, coalesce(n_example, 0) n_example
+       coalesce(spans, '') spans, coalesce(n_token, 0) n_token, coalesce(n_live, 0) n_live, coalesce(n_example, 0) n_example,
+       coalesce(most_owners, 0) most_owners, coalesce(most_repos, 0) most_repos, coalesce(most_docs, 0) most_docs
 FROM documents d LEFT JOIN per USING (doc_id)
 """
 

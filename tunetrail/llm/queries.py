@@ -22,7 +22,7 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source stands for an owner, its documents of one language for a repository."""
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
     base = secrets.span_digest(F.col("base"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base.cast("binary"), 256).alias("base_sha256"), secrets.span_digest(F.col("spans")).alias("spans"), "n_token", "n_live", "n_example")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base.cast("binary"), 256).alias("base_sha256"), secrets.span_digest(F.col("spans")).alias("spans"), "n_token", "n_live", "n_example", "most_owners", "most_repos", "most_docs")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
