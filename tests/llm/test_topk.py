@@ -47,12 +47,38 @@ def test_stops_early():
 
     r = np.random.default_rng(3)
     x = np.round(r.gamma(0.3, 300, size=(5000, 3))).astype(np.int64)  # a few vectors stand out, so the threshold falls fast
-    chunk, read = topk.Chunk(np.arange(5000), x), []
-    best = chunk._best
-    chunk._best = lambda query, own, scores, seen, k: read.append(len(seen)) or best(query, own, scores, seen, k)
-    got = [*chunk.top(np.array([9000]), np.array([[3, 2, 1]]), 5)]
     s = x @ np.array([3, 2, 1])
-    assert got == [(9000, int(j), int(s[j])) for j in np.lexsort((np.arange(5000), -s))[:5]] and read[0] < 2500
+    want = [(0, int(j), int(s[j])) for j in np.lexsort((np.arange(5000), -s))[:5]]
+    chunk = topk.Chunk(np.arange(5000), x)
+    assert [*chunk.top(np.array([9000]), np.array([[3, 2, 1]]), 5)] == want and chunk.scored < 2500
+    bounded = topk.Chunk(np.arange(5000), x)
+    assert [*bounded.top(np.array([9000]), np.array([[3, 2, 1]]), 5, np.array([want[-1][2]]))] == want and bounded.scored <= chunk.scored
+    hopeless = topk.Chunk(np.arange(5000), x)
+    assert [*hopeless.top(np.array([9000]), np.array([[3, 2, 1]]), 5, np.array([10**9]))] in ([], want) and hopeless.scored < 200
+
+
+def test_own_rows_do_not_stand_for_others():
+    import numpy as np
+
+    ids = np.array([7] * 30 + list(range(100, 140)))
+    x = np.concatenate([np.arange(1000, 970, -1), np.arange(40)])[:, None]
+    got = [*topk.Chunk(ids, x).top(np.array([7]), np.array([[2]]), 20)]
+    assert got == [(0, 139 - i, 2 * (39 - i)) for i in range(20)]
+
+
+def test_every_query_row_has_its_rows(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (40, [1.0, 1.0]), (40, [1.0, 1.0])] + [(i, [i / 8, -i / 16]) for i in range(1, 8)]
+    v = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    ints = [(i, [int(64 * c // 1) for c in x]) for i, x in rows]
+    want = []
+    for i, x in ints:
+        if i % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(x, y)), j) for j, y in ints if j != i)[:3]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)]
+    for sizes in ({}, {"chunk_rows": 3, "block_rows": 2}):
+        assert sorted(map(tuple, topk.top_k(v.where("id % 20 = 0"), v, 3, **sizes).collect())) == sorted(want)
+    same = topk.integers(spark.createDataFrame([(1, [1.0])] * 50 + [(20, [1.0])], "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, topk.top_k(same.where("id = 20"), same, 4).collect())) == [(20, r, 1, 4096) for r in (1, 2, 3, 4)]
 
 
 def test_wide_values_stay_integers(spark):

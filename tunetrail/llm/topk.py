@@ -8,6 +8,8 @@ yet met could score at most, can't beat its k-th best score.  Queries are
 walked in blocks, with lists read in growing steps, so scoring is a matrix
 product.  The k best of every chunk meet in a windowed top-k.
 
+A query's k-th score in a first chunk is a bound for all others: there it stops as soon as the threshold is below it.
+
 Every query meets every chunk, in blocks of queries by chunks of candidates: a
 stated query set against all rows.  No chunk or block is beyond its size.
 """
@@ -21,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunetrail.llm.common import checkpointed
+
 K = 20
 QUERY_EVERY = 20
 #: Components are multiplied by this and rounded down.
@@ -46,20 +50,23 @@ class Chunk:
         self.ids, self.x = ids[order], x[order]
         self.lists = np.argsort(self.x, axis=0, kind="stable")  # a column for each dimension, least value first
         self.largest = float(np.abs(self.x).max(initial=0))
+        self.scored = 0  # pairs of query and candidate
 
-    def top(self, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-        """(query id, id, score) of each query's k best in this chunk, ties to smaller ids; a query isn't its own candidate."""
+    def top(self, query_ids: np.ndarray, q: np.ndarray, k: int, least: np.ndarray | None = None) -> Iterator[tuple[int, int, int]]:
+        """(place of the query, id, score) of each query's k best in this chunk, ties to smaller ids; candidates of the query's own
+        id don't count.  Candidates below the query's ``least`` score may be left out."""
         n, dims = self.x.shape
         # doubles are exact below 2**53; beyond, 64-bit integers
         kind = np.float64 if self.largest * float(np.abs(q).max(initial=0)) * max(1, dims) < 2**53 else np.int64
         x, q = self.x.astype(kind), q.astype(kind)
-        scores = np.zeros((len(q), n), dtype=kind)
+        lowest = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+        scores = np.full((len(q), n), lowest, dtype=kind)
         met = np.zeros(n, dtype=bool)
         going = np.arange(len(q))
-        own = np.searchsorted(self.ids, query_ids)
+        own = np.stack([np.searchsorted(self.ids, query_ids, side=side) for side in ("left", "right")], axis=1)
         depth, step = 0, min(FIRST_STEP, n)
-        kth = np.full(len(q), -np.inf)
-        while len(going):
+        kth = np.full(len(q), -np.inf) if least is None else least.astype(np.float64)
+        while len(going) and not met.all():
             depth, step = min(n, depth + step), depth + step
             if dims and depth < n:
                 up, down = (q[going] > 0).any(axis=0), (q[going] < 0).any(axis=0)
@@ -71,59 +78,72 @@ class Chunk:
             new = np.flatnonzero(near & ~met)
             met |= near
             scores[np.ix_(going, new)] = q[going] @ x[new].T
+            self.scored += len(going) * len(new)
+            for i in going[own[going, 0] < own[going, 1]]:
+                scores[i, own[i, 0]:own[i, 1]] = lowest
             if depth >= n:
                 break
-            seen = np.flatnonzero(met)
-            if len(seen) > k:  # one more than k, for the query itself may be among them
-                kth[going] = -np.partition(-scores[np.ix_(going, seen)].astype(np.float64), k, axis=1)[:, k]
+            if k <= met.sum():  # a query's own rows are at the bottom, so they can't stand for others
+                best = -np.partition(-scores[going].astype(np.float64), k - 1, axis=1)[:, k - 1]
+                kth[going] = np.maximum(kth[going], np.where(best > float(lowest), best, -np.inf))
             high, low = x[self.lists[n - depth - 1], np.arange(dims)], x[self.lists[depth], np.arange(dims)]
             bound = np.where(q[going] > 0, q[going] * high, q[going] * low).astype(np.float64).sum(axis=1)
-            stop = bound < kth[going]  # an equal score could still win by its id
-            for i in going[stop]:
-                yield from self._best(query_ids[i], own[i], scores[i], seen, k)
-            going = going[~stop]
-        for i in going:
-            yield from self._best(query_ids[i], own[i], scores[i], np.arange(n), k)
-
-    def _best(self, query: int, own: int, scores: np.ndarray, seen: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-        seen = seen[self.ids[seen] != query] if own < len(self.ids) and self.ids[own] == query else seen
-        s = scores[seen]
-        if len(s) > k:
-            least = np.partition(s, len(s) - k)[len(s) - k]
-            keep = s >= least
-            seen, s = seen[keep], s[keep]
-        best = np.lexsort((self.ids[seen], -s))[:k]
-        for j in best:
-            yield int(query), int(self.ids[seen[j]]), int(s[j])
+            slack = 0 if kind is np.float64 else 1e-9 * np.abs(bound)  # wide integers are rounded here
+            going = going[bound + slack >= kth[going]]  # an equal score could still win by its id
+        for i in range(len(q)):
+            seen = np.flatnonzero(scores[i] > lowest)
+            s = scores[i, seen]
+            if len(s) > k:
+                keep = s >= np.partition(s, len(s) - k)[len(s) - k]
+                seen, s = seen[keep], s[keep]
+            for j in np.lexsort((self.ids[seen], -s))[:k]:
+                yield i, int(self.ids[seen[j]]), int(s[j])
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, chunk_rows: int = CHUNK_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank from 1, id, score): each query's k candidates of the highest integer inner product, ties to the smaller id.
+    """(query_id, rank from 1, id, score): each query row's k candidates of the highest integer inner product, ties to the smaller id.
 
     Both tables are (id long, x array<long>).  Candidates with the query's id aren't its partners; a repeated id is a
-    partner once for each of its rows, and a repeated query id is one query for each distinct vector.  Vectors of
-    different lengths meet on their common components.  Fewer than k candidates give fewer rows; none give none.
-    Products are 64-bit integers and wrap beyond.
+    partner once for each of its rows, and every query row has its own k rows, also if it repeats an id or a whole row.
+    Vectors of different lengths meet on their common components.  Fewer than k candidates give fewer rows; none give
+    none.  Products are 64-bit integers and wrap beyond.
     """
-    n, m = candidates.count(), queries.count()
-    chunks, blocks = max(1, -(-n // chunk_rows)), max(1, -(-m // block_rows))
-    deal = lambda df, parts: F.pmod(F.xxhash64(F.col("id"), F.col("x")), F.lit(parts)).cast("int")
-    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    c = candidates.withColumn("chunk", deal(candidates, chunks)).withColumn("block", every(blocks)).groupBy("chunk", "block")
-    q = queries.distinct().withColumn("block", deal(queries, blocks)).withColumn("chunk", every(chunks)).groupBy("chunk", "block")
+    n = candidates.count()
+    # equal rows are walked once; the key tells apart different vectors of one id
+    asked = checkpointed(queries.groupBy("id", "x").agg(F.count(F.lit(1)).alias("times")).withColumn("key", F.monotonically_increasing_id()))
+    chunks, blocks = max(1, -(-n // chunk_rows)), max(1, -(-asked.count() // block_rows))
+    deal = lambda parts: F.pmod(F.xxhash64(F.col("id"), F.col("x")), F.lit(parts)).cast("int")
+    # of equal rows no more than k can be among the k best, so a row that fills a third of the table fills no chunk
+    c = (candidates.withColumn("chunk", deal(chunks)).groupBy("chunk", "id", "x").agg(F.count(F.lit(1)).alias("times"))
+         .select("chunk", "id", "x", F.explode(F.sequence(F.lit(1).cast("long"), F.least("times", F.lit(k).cast("long"))))).drop("col"))
+    q = asked.select("key", "id", "x", deal(blocks).alias("block"))
 
     def walk(left: pa.Table, right: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, int]] = []
         if left.num_rows and right.num_rows:
             width = max(max(map(len, t.column("x").to_pylist())) for t in (left, right))
-            a, b = _table(left, width), _table(right, width)
-            chunk = Chunk(*a)
-            rows = [r for i in range(0, len(b[0]), TOGETHER) for r in chunk.top(b[0][i:i + TOGETHER], b[1][i:i + TOGETHER], k)]
-        return pa.table({name: pa.array([r[i] for r in rows], pa.int64()) for i, name in enumerate(("query_id", "id", "score"))})
-
-    part = c.cogroup(q).applyInArrow(walk, "query_id long, id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+            a, (ids, x) = _table(left, width), _table(right, width)
+            chunk, keys, least = Chunk(*a), right.column("key").to_numpy(), np.array([-np.inf if v is None else v for v in right.column("least").to_pylist()])
+            for i in range(0, len(ids), TOGETHER):
+                part = slice(i, i + TOGETHER)
+                rows += [(keys[i + j], found, score) for j, found, score in chunk.top(ids[part], x[part], k, least[part])]
+        return pa.table({name: pa.array([r[i] for r in rows], pa.int64()) for i, name in enumerate(("key", "id", "score"))})
+
+    def best(of: DataFrame, queries: DataFrame, begin: int) -> DataFrame:
+        """The k best of each query in each of the chunks ``begin`` and up."""
+        meet = of.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("chunk", "block")
+        walked = queries.withColumn("chunk", F.explode(F.sequence(F.lit(begin), F.lit(chunks - 1 if begin else 0)))).groupBy("chunk", "block")
+        return meet.cogroup(walked).applyInArrow(walk, "key long, id long, score long")
+
+    part = best(c.where("chunk = 0"), q.withColumn("least", F.lit(None).cast("long")), 0)
+    if chunks > 1:
+        part = checkpointed(part)
+        least = part.groupBy("key").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("least"))
+        part = part.union(best(c.where("chunk > 0"), q.join(least, "key", "left"), 1))
+    w = Window.partitionBy("key").orderBy(F.col("score").desc(), "id")
+    ranked = part.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (ranked.join(asked.select("key", F.col("id").alias("query_id"), "times"), "key").withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("times"))))
+            .select("query_id", "rank", "id", "score"))
 
 
 def _table(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
