@@ -114,3 +114,9 @@ def test_pieces_and_places(spark):
         assert at <= 2048
     assert sorted(sum(n for _, n in v) for v in sequences.values()) == naive([p.length for p in packed], 2048)
     assert packing.pack_documents(empty_docs(spark), packing.vocabulary(PATH)).collect() == []
+
+
+def test_bytes_that_are_not_utf8(spark):
+    docs = spark.sql("select 1L doc_id, cast(x'61ff62' as string) text union all select 2L, 'a�b'")
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(docs, packing.vocabulary(PATH)).collect()}
+    assert got[1] == got[2]

@@ -22,7 +22,7 @@ def test_stages_on_a_table_with_everything(spark):
         if name == "line_dedup":
             assert ids(out) == ids(docs) and all(r.n_chars == (None if r.text is None else len(r.text)) for r in out.collect())
         if name == "minhash_near_dedup":
-            assert ids(out) == sorted(i for i, _, _, kept in near(rows) if kept or i == "None")
+            assert ids(out) == sorted(i for i, _, _, kept in near(rows) if kept)
         if name == "benchmark_decontamination":
             bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
             assert ids(out) == sorted(r[0] for r in contaminated(rows, bench) if not r[-1]) and "700" not in ids(out) and "701" in ids(out)
@@ -31,6 +31,14 @@ def test_stages_on_a_table_with_everything(spark):
     assert {str(r.doc_id) for r in packed} == set(ids(docs))
 
 
+def test_near_duplicates_go_by_id_and_text(spark):
+    a, b = prose(1, 60), prose(2, 60)
+    rows = [(1, a), (5, a), (5, b), (None, a), (5, a + " x"), (None, None), (7, None), (None, prose(3, 40))]
+    docs = spark.createDataFrame([(i, t, *[None] * 11) for i, t in rows], SCHEMA)
+    out = dict(corpus_pipeline.STAGES)["minhash_near_dedup"](spark, docs, SF)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(str, [(1, a), (5, b), (None, None), (7, None), (None, rows[-1][1])]))
+
+
 def test_empty_stages(spark):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty_docs(spark), SF).collect() == [], name

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunetrail.llm.common import batches, checkpointed, exclusive
+from tunetrail.llm.common import batches, checkpointed
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -113,9 +113,9 @@ def token_pieces(docs: DataFrame, vocabulary_json: str, capacity: int = CAPACITY
 
     A document is its token ids, then ``separator``.  Up to ``capacity`` ids are one piece.  A longer document is cut
     into full pieces, after a first piece with what is left over.  A null text is empty (one id, the separator); an id
-    may be null or repeated: every row gives its own pieces.
+    may be null or repeated: every row gives its own pieces.  Bytes that aren't UTF-8 are read as U+FFFD.
     """
-    docs = exclusive(docs, [id_col, text_col])
+    docs = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("binary").alias("_text"))
     id_type = docs.schema[id_col].dataType
     schema = f"{id_col} {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long"
     fields = [pa.field("piece", pa.int32()), pa.field("start", pa.int64()), pa.field("length", pa.int64()), pa.field("ids_crc32", pa.int64())]
@@ -128,7 +128,7 @@ def token_pieces(docs: DataFrame, vocabulary_json: str, capacity: int = CAPACITY
         for batch in it:
             def rows(batch=batch):
                 for doc, text in zip(batch.column(0), batch.column(1)):
-                    ids = np.array([*encode(text.as_py() or ""), separator], dtype="<u4")
+                    ids = np.array([*encode((text.as_py() or b"").decode("utf-8", "replace")), separator], dtype="<u4")
                     first = (len(ids) - 1) % capacity + 1
                     edges = [0, *range(first, len(ids) + 1, capacity)]
                     for k, (a, b) in enumerate(zip(edges, edges[1:])):
