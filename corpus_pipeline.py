@@ -31,9 +31,14 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one of the least id.  Rows without an id stay."""
-    gone = checkpointed(neardup.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group of near-duplicates, the one of the least id.  A row goes by its id and text; a row without
+    an id goes if a document with one is like it."""
+    key = F.sha2(F.col("text").cast("binary"), 256)
+    found = neardup.near_duplicates(docs, row_key=key)
+    gone = checkpointed(found.where("not kept and row_key is not null").select(F.col("doc_id").alias("_gone_id"), F.col("row_key").alias("_gone_key")).distinct())
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    same = F.col("_row")["doc_id"].eqNullSafe(F.col("_gone_id")) & (F.sha2(F.col("_row")["text"].cast("binary"), 256) == F.col("_gone_key"))
+    return row.join(gone, same, "left_anti").select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
