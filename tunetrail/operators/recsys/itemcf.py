@@ -10,11 +10,15 @@ aggregated by (i, j) before the exchange.  Nothing runs while the plan is
 built, and how the joins run is left to Spark's size threshold and AQE.
 
 The neighbourhood is a top-k window whose ``row_number() <= k`` filter Spark
-turns into a partial per-task limit before the shuffle.
+turns into a partial per-task limit before the shuffle.  :func:`top_neighbours`
+gets it without the table of all pairs: blocks of items meet the ratings of
+their users, and only what can still be among an item's k best is carried on.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,8 +27,9 @@ from tunetrail.functions.exprs import nan_to_zero
 # Neighbourhood size 75, list length 10.
 NEIGHBOURS = 75
 TOP_N = 10
-# Tunable: items of one user in a chunk, about.
+# Tunables: items of one user in a chunk, about; ratings that a block of items meets, about.
 CHUNK_ITEMS = 256
+BLOCK_RATINGS = 2_000_000
 
 
 def item_norms(util: DataFrame) -> DataFrame:
@@ -75,6 +80,107 @@ def neighbours(sim: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
                .where(F.col("rank") <= k))
 
 
+def _blocks(util: DataFrame, block_ratings: int, chunk_items: int) -> tuple[DataFrame, DataFrame]:
+    """(items' ratings, users' postings), both keyed by (block, part).
+
+    A block of items meets each of its users' postings once, however many of its items the user rated.  An item that
+    alone meets more than ``block_ratings`` ratings is a block of its own, in parts by user.
+    """
+    rated = util.select("uid", "song_id", F.col("rating").cast("double").alias("rating")).join(item_norms(util).withColumn("n2", F.col("n2").cast("double")), "song_id")
+    users = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("rating") / F.sqrt("n2")).alias("top"))
+    rows = rated.join(users, "uid")
+    items = rows.groupBy("song_id").agg(F.sum("n").alias("meets"))
+    blocks = max(1, -(-int(items.agg(F.sum("meets")).first()[0] or 0) // block_ratings))
+    hot = F.col("meets") > block_ratings
+    items = items.select("song_id", F.when(hot, -1 - F.col("song_id")).otherwise(F.pmod(F.xxhash64("song_id"), F.lit(blocks))).alias("block"), F.when(hot, F.ceil(F.col("meets") / block_ratings)).otherwise(F.lit(1)).cast("int").alias("parts"))
+    probes = rows.join(items, "song_id").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")).select("block", "part", "parts", "uid", "song_id", "rating", "n2", "top")
+    postings = (rows.withColumn("chunk", F.pmod(F.xxhash64("song_id"), F.ceil(F.col("n") / chunk_items)))
+                .groupBy("uid", "chunk").agg(F.collect_list(F.struct("song_id", "rating", "n2")).alias("posted")))  # chunk_items, about
+    index = probes.select("block", "part", "uid").distinct().join(postings, "uid").select("block", "part", "uid", "posted")
+    return probes, index.toDF("met_block", "met_part", "rater", "posted")
+
+
+def _accumulate(order: np.ndarray, own: np.ndarray, top: np.ndarray, first: np.ndarray, last: np.ndarray, column: np.ndarray, rating: np.ndarray,
+                norm: np.ndarray, own_norm: float, k: int) -> np.ndarray:
+    """Inner products of one item with all, as far as they can be among its k best.
+
+    The item's users go by falling bound, rating x the greatest normed rating in the user's postings.  Products so far are
+    lower bounds, since ratings are positive.  Once the bounds of the users that are left can't lift an item that hasn't been
+    met above the k-th best, their postings only add to items that have been; items that can't reach it any more are dropped.
+    """
+    dots = np.zeros(len(norm))
+    bound = own[order] * top[order] / own_norm
+    rest = np.append(np.cumsum(bound[::-1])[::-1], 0.0)  # what the users from here on can add to a similarity
+    least, admitted = -1.0, None
+    for begin in range(0, len(order), 16):
+        step = order[begin:begin + 16]
+        at = np.concatenate([np.arange(a, b) for a, b in zip(first[step], last[step])])
+        by = np.repeat(own[step], last[step] - first[step])
+        if admitted is None and rest[begin] * (1 + 1e-9) < least:
+            admitted = dots > 0
+        if admitted is not None:
+            keep = admitted[column[at]]
+            at, by = at[keep], by[keep]
+        dots += np.bincount(column[at], weights=by * rating[at], minlength=len(norm))
+        if begin + 16 < len(order):
+            sims = dots / (norm * own_norm)
+            if np.count_nonzero(sims) >= k:
+                least = np.partition(sims, len(sims) - k)[len(sims) - k]
+            if admitted is not None:
+                admitted &= sims + rest[begin + 16] * (1 + 1e-9) >= least
+                dots[~admitted] = 0
+    return dots
+
+
+def neighbour_pairs(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = BLOCK_RATINGS, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+    """(item_i, item_j, dot, n2_i, n2_j): for each item its k best partners and no others; of an item in parts, every partner."""
+    probes, index = _blocks(util, block_ratings, chunk_items)
+
+    def best(items: pa.Table, users: pa.Table) -> pa.Table:
+        out: dict[str, list] = {c: [] for c in ("item_i", "item_j", "dot", "n2_i", "n2_j")}
+        if items.num_rows:
+            users = users.sort_by("rater")
+            posted = users.column("posted").combine_chunks()
+            flat = posted.flatten()
+            partner, column = np.unique(flat.field("song_id").to_numpy(), return_inverse=True)
+            rating = flat.field("rating").to_numpy()
+            n2 = np.zeros(len(partner))
+            n2[column] = flat.field("n2").to_numpy()
+            lengths = np.append(0, np.cumsum(posted.value_lengths().to_numpy()))
+            uid = users.column("rater").to_numpy()
+            items = items.sort_by([("song_id", "ascending"), ("uid", "ascending")])
+            song, own, top, n2_i = (items.column(c).to_numpy() for c in ("song_id", "rating", "top", "n2"))
+            first = lengths[np.searchsorted(uid, items.column("uid").to_numpy(), side="left")]
+            last = lengths[np.searchsorted(uid, items.column("uid").to_numpy(), side="right")]
+            cuts = np.append(np.flatnonzero(np.append(True, song[1:] != song[:-1])), len(song))
+            whole = items.column("parts")[0].as_py() == 1
+            norm = np.sqrt(n2)
+            for a, b in zip(cuts, cuts[1:]):
+                order = np.argsort(-own[a:b] * top[a:b], kind="stable")
+                dots = _accumulate(order, own[a:b], top[a:b], first[a:b], last[a:b], column, rating, norm, float(np.sqrt(n2_i[a])), k if whole else len(partner) + 1)
+                j = np.flatnonzero(dots)
+                if whole and len(j) > k:
+                    sims = dots[j] / np.sqrt(n2_i[a] * n2[j])
+                    j = j[np.lexsort((-partner[j], -sims))[:k]]
+                out["item_i"].append(np.full(len(j), song[a]))
+                out["item_j"].append(partner[j])
+                out["dot"].append(dots[j])
+                out["n2_i"].append(np.full(len(j), n2_i[a]))
+                out["n2_j"].append(n2[j])
+        return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64() if c.startswith("item") else pa.float64()) for c, v in out.items()})
+
+    return probes.groupBy("block", "part").cogroup(index.groupBy("met_block", "met_part")).applyInArrow(best, "item_i long, item_j long, dot double, n2_i double, n2_j double")
+
+
+def top_neighbours(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = BLOCK_RATINGS, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
+    """(item_i, item_j, sim, rank), the k most similar items of each item (itself included), ties to the larger id;
+    the same rows as ``neighbours(item_similarity(util), k)``, without the table of all pairs.  Ratings are positive."""
+    pairs = neighbour_pairs(util, k, block_ratings, chunk_items)
+    # only items in parts have more than one row of a pair
+    dots = pairs.groupBy("item_i", "item_j").agg(F.sum("dot").alias("dot"), F.max("n2_i").alias("n2_i"), F.max("n2_j").alias("n2_j"))
+    return neighbours(dots.select("item_i", "item_j", (F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))).alias("sim")), k)
+
+
 def _scored(util: DataFrame, neigh: DataFrame, with_marks: bool = True, users: DataFrame | None = None) -> DataFrame:
     """Per (uid, item): sum(r * sim), sum(sim) over the item's neighbours the user
     rated, and whether the user rated the item itself.

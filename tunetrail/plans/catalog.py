@@ -315,7 +315,7 @@ def util_table(spark, sf_dir):
 def neighbour_table(util):
     """Top-75 neighbours, materialised: at most items x 75 rows, read by the
     size check, the prediction join and nothing else recomputes them."""
-    return cut_lineage(cf.neighbours(cf.item_similarity(util)))
+    return cut_lineage(cf.top_neighbours(util))
 
 
 @query("ratings")
@@ -365,7 +365,7 @@ def q_item_similarity(spark, sf_dir):
 
 @query("item_neighbours")
 def q_item_neighbours(spark, sf_dir):
-    return cf.neighbours(cf.item_similarity(util_table(spark, sf_dir)))
+    return cf.top_neighbours(util_table(spark, sf_dir))
 
 
 def predictions(spark, sf_dir):
