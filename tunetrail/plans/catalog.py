@@ -525,10 +525,15 @@ def q_nmf_error(spark, sf_dir):
                                      F.lit(float(f.errors[-1])).alias("reconstruction_err"), "*"))
 
 
+def round_scores(top: DataFrame) -> DataFrame:
+    """Scores to six digits in binary arithmetic, as the SQL's engine rounds; ``round`` goes by the decimal digits and differs at halves."""
+    return top.withColumn("pred", F.signum("pred") * F.floor(F.abs("pred") * 1e6 + 0.5) / 1e6)
+
+
 @query("nmf_top_n")
 def q_nmf_top_n(spark, sf_dir):
     u = util_table(spark, sf_dir)
-    return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=False)))
+    return round_scores(fa.factor_top_n(u, drawn_factors(u, signed=False)))
 
 
 @query("svd_factors")
@@ -557,7 +562,7 @@ def q_svd_user_errors(spark, sf_dir):
 def q_svd_top_n_all(spark, sf_dir):
     """Signed factors, all users."""
     u = util_table(spark, sf_dir)
-    return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=True)))
+    return round_scores(fa.factor_top_n(u, drawn_factors(u, signed=True)))
 
 
 @query("svd_top_n")
@@ -565,7 +570,7 @@ def q_svd_top_n(spark, sf_dir):
     """For a table of chosen users only, as its SQL has it; ``svd_top_n_all`` takes all."""
     u = util_table(spark, sf_dir)
     chosen = u.select("uid").distinct().where(F.col("uid") % 10 == 0)
-    return round_doubles(fa.factor_top_n(u, drawn_factors(u, signed=True), users=chosen))
+    return round_scores(fa.factor_top_n(u, drawn_factors(u, signed=True), users=chosen))
 
 
 @query("svd_roundtrip")
