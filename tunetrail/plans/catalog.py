@@ -498,6 +498,9 @@ def q_model_metrics(spark, sf_dir):
 DRAWN_RANK = 8
 
 
+FITTED_RANK, FITTED_ITERATIONS = 20, 10
+
+
 def drawn_factors(u: DataFrame, signed: bool) -> fa.Factors:
     return fa.Factors(fa.md5_factors(u.select("uid").distinct(), "uid", DRAWN_RANK, "u", signed),
                       fa.md5_factors(u.select("song_id").distinct(), "song_id", DRAWN_RANK, "i", signed), [])
@@ -573,6 +576,20 @@ def q_svd_top_n(spark, sf_dir):
     return round_scores(fa.factor_top_n(u, drawn_factors(u, signed=True), users=chosen))
 
 
+@query("svd_top_n_fitted")
+def q_svd_top_n_fitted(spark, sf_dir):
+    """Recommendations for all users from a whole fit, as the reference's notebook makes them for one."""
+    u = util_table(spark, sf_dir)
+    return round_scores(fa.factor_top_n(u, fa.svd(u, fa.RANK)))
+
+
+@query("nmf_top_n_fitted")
+def q_nmf_top_n_fitted(spark, sf_dir):
+    """The same from an NMF fit, of a smaller rank and fewer iterations than ``nmf_error``'s, which is the whole of it."""
+    u = util_table(spark, sf_dir)
+    return round_scores(fa.factor_top_n(u, fa.nmf(u, FITTED_RANK, max_iter=FITTED_ITERATIONS)))
+
+
 @query("svd_roundtrip")
 def q_svd_roundtrip(spark, sf_dir):
     """The factor product against that of users projected again, over the observed cells."""
