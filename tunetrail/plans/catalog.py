@@ -618,8 +618,14 @@ def q_gzip_round_trip(spark, sf_dir):
 
 @query("archive_roundtrip")
 def q_archive_round_trip(spark, sf_dir):
-    """Archives of the play log's days, expanded and parsed."""
-    return round_doubles(logs.archive_rows(logs.expand_archives(landing.archives(spark, sf_dir, "play"), "play"), "play"))
+    """Archives of the play log's days, written as files, found by name, streamed and parsed."""
+    return round_doubles(logs.read_archives(spark, landing.land_archives(spark, sf_dir, "play"), "play"))
+
+
+@query("archive_event_log")
+def q_archive_event_log(spark, sf_dir):
+    """The three kinds' archives (Latin-1 in two of them), read and united."""
+    return evx.unify(*[logs.read_archives(spark, landing.land_archives(spark, sf_dir, kind), kind) for kind in ("play", "down", "search")])
 
 
 @query("event_table_roundtrip")

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunetrail.session import shared_path
 from tunetrail.sources import driver_tables as src
+from tunetrail.sources.archive_sink import LINES_PER_ARCHIVE, write_archives
 
 
 def daily_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -41,16 +38,8 @@ def land_logs(spark: SparkSession, sf_dir: str, kind: str, codec: str = "none")
     return f"{path}/logs"
 
 
-def archives(spark: SparkSession, sf_dir: str, kind: str, shards: int = 4) -> DataFrame:
-    """(path, content): tar.gz archives of each day's lines, in ``shards`` by hash, as the binary file reader returns them."""
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        text = "".join(f"{x}\n" for x in pdf["line"]).encode("utf-8" if kind == "play" else "latin-1")
-        buf = io.BytesIO()
-        with tarfile.open(fileobj=buf, mode="w:gz") as tar:
-            info = tarfile.TarInfo("x.log")
-            info.size = len(text)
-            tar.addfile(info, io.BytesIO(text))
-        return pd.DataFrame({"path": [f"/in/{pdf['day'].iloc[0]}_{pdf['shard'].iloc[0]}_{kind}.log.tar.gz"], "content": [buf.getvalue()]})
-
-    lines = daily_lines(spark, sf_dir, kind).withColumn("shard", F.pmod(F.xxhash64("line"), F.lit(shards)))
-    return lines.groupBy("day", "shard").applyInPandas(pack, "path string, content binary")
+def land_archives(spark: SparkSession, sf_dir: str, kind: str, lines_per_archive: int = LINES_PER_ARCHIVE) -> str:
+    """Write each day's lines as tar.gz archives, in the kind's encoding, into a fresh shared folder; its path."""
+    path = shared_path(spark, f"archives-{kind}")
+    write_archives(daily_lines(spark, sf_dir, kind), path, kind, lines_per_archive)
+    return path

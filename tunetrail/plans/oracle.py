@@ -361,7 +361,7 @@ register("svd_top_n_all", f"WITH {_SIGNED}" + _TOP.format(cut="true"))
 register("svd_top_n", f"WITH {_SIGNED}" + _TOP.format(cut="w.uid % 10 = 0"))
 
 # ------------------------------------------------------ sources and sinks
-for _name in ("text_log_roundtrip", "gzip_log_roundtrip"):
+for _name in ("text_log_roundtrip", "gzip_log_roundtrip", "archive_event_log"):
     register(_name, f"WITH {EV} SELECT uid, event, song_id, date FROM ev")
 register("archive_roundtrip", f"WITH {EV} SELECT uid, device, 'caf\u00e9' AS song_name, song_id, date, round(play_time, 6) AS play_time, round(song_length, 6) AS song_length FROM ev WHERE event = 'P'")
 register("event_table_roundtrip", f"WITH {EV} SELECT date, event, CAST(count(*) AS BIGINT) AS n FROM ev WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-05' GROUP BY date, event")

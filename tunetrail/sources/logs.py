@@ -10,9 +10,10 @@ rule, whatever the reader:
 
 * :func:`read_text_logs` -- plain or gzip text files (splittable when plain),
   read as bytes and decoded as UTF-8 (bad bytes dropped) or Latin-1;
-* :func:`read_archives` -- ``tar.gz`` shards: ``binaryFile`` rows expanded
-  by ``mapInPandas`` (tar is no Spark codec), one task per archive, lines
-  streamed out in bounded batches.
+* :func:`read_archives` -- ``tar.gz`` shards (tar is no Spark codec): Spark
+  lists and prunes the files by name and deals them to tasks, which open
+  them by path and stream their lines out in bounded batches, so no archive
+  is ever one value in memory.  The same expansion serves batch and stream.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ import io
 import tarfile
 import zlib
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,6 +133,20 @@ def read_text_logs(spark: SparkSession, paths: str | Sequence[str], kind: str,
 ARCHIVE_SCHEMA = "file_name string, line string, file_lines long, damaged boolean"
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path as Spark names it (``file:/...``, ``hdfs://...``, ``s3://...``, or plain), and the path in it."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(quote(path, safe=":/@%"))
+
+
+def _opened(path: str):
+    system, name = file_system(path)
+    return system.open_input_stream(name, compression=None, buffer_size=1 << 20)
+
+
 def _untar_batches(kind: str, batch_lines: int, allow_partial: bool):
     encoding = ENCODING[kind]
     errors = "ignore" if encoding == "utf-8" else "strict"
@@ -137,54 +154,71 @@ def _untar_batches(kind: str, batch_lines: int, allow_partial: bool):
     def frame(name: str, lines: list) -> pd.DataFrame:
         return pd.DataFrame({"file_name": [name] * len(lines), "line": lines, "file_lines": None, "damaged": None})
 
+    def expand(path: str, stream) -> Iterator[pd.DataFrame]:
+        name, n, damaged, buf = path.rsplit("/", 1)[-1], 0, False, []
+        try:
+            with gzip.GzipFile(fileobj=stream) as gz:
+                with tarfile.open(fileobj=gz, mode="r|") as tar:
+                    for member in tar:
+                        if not member.isfile():
+                            continue
+                        for raw in tar.extractfile(member):
+                            buf.append(raw.rstrip(b"\r\n").decode(encoding, errors=errors))
+                            n += 1
+                            if len(buf) >= batch_lines:
+                                yield frame(name, buf)
+                                buf = []
+                while gz.read(1 << 20):  # to the end, where the checksum is
+                    pass
+        except (tarfile.TarError, EOFError, gzip.BadGzipFile, zlib.error) as e:
+            if not allow_partial:
+                raise ValueError(f"damaged archive {name} after {n} lines: {e}") from e
+            damaged = True
+        if buf:
+            yield frame(name, buf)
+        yield pd.DataFrame({"file_name": [name], "line": [None], "file_lines": [n], "damaged": [damaged]})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                name, n, damaged, buf = str(path).rsplit("/", 1)[-1], 0, False, []
-                try:
-                    with gzip.GzipFile(fileobj=io.BytesIO(content)) as gz:
-                        with tarfile.open(fileobj=gz, mode="r|") as tar:
-                            for member in tar:
-                                if not member.isfile():
-                                    continue
-                                for raw in tar.extractfile(member):
-                                    buf.append(raw.rstrip(b"\r\n").decode(encoding, errors=errors))
-                                    n += 1
-                                    if len(buf) >= batch_lines:
-                                        yield frame(name, buf)
-                                        buf = []
-                        while gz.read(1 << 20):  # to the end, where the checksum is
-                            pass
-                except (tarfile.TarError, EOFError, OSError, zlib.error) as e:
-                    if not allow_partial:
-                        raise ValueError(f"damaged archive {name} after {n} lines: {e}") from e
-                    damaged = True
-                if buf:
-                    yield frame(name, buf)
-                yield pd.DataFrame({"file_name": [name], "line": [None], "file_lines": [n], "damaged": [damaged]})
+            held = pdf["content"] if "content" in pdf else [None] * len(pdf)
+            for path, content in zip(pdf["path"], held):
+                with _opened(path) if content is None else io.BytesIO(content) as stream:
+                    yield from expand(str(path), stream)
     return run
 
 
-def read_archive_lines(spark: SparkSession, path: str, kind: str, first_date: str = FIRST_DATE,
-                       batch_lines: int = 50_000, partitions: int | None = None, allow_partial: bool = False) -> DataFrame:
+# Spark's own schema of the binary file source; only ``path`` is ever selected unless the content is asked for.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def archive_files(reader, path: str, kind: str, first_date: str = FIRST_DATE) -> DataFrame:
+    """(path, content): the archives of one kind, chosen by name and date; ``reader`` is ``spark.read`` or ``spark.readStream``."""
+    return (reader.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", f"*_{kind}.log.tar.gz").option("recursiveFileLookup", "true").load(path)
+                  .where(keep_file(F.col("_metadata.file_name"), kind, first_date)).select("path", "content"))
+
+
+def read_archive_lines(spark: SparkSession, path: str, kind: str, first_date: str = FIRST_DATE, batch_lines: int = 50_000,
+                       partitions: int | None = None, allow_partial: bool = False, through_spark: bool = False) -> DataFrame:
     """Lines of the ``tar.gz`` shards of one kind, and one row for each archive with its number of lines.
 
     Files are chosen by a predicate on ``_metadata.file_name``, so others are
-    never opened and no list of paths passes the driver.  Each archive is one
-    task; lines leave the Python worker in batches of ``batch_lines`` and are
+    never opened and no list of paths passes the driver.  An archive is never split: it is
+    streamed by one task, whose lines leave in batches of ``batch_lines`` and are
     dealt out anew, so later stages don't inherit one task for each archive.
+    Tasks open archives by path with Arrow's file systems; ``through_spark`` reads
+    them as whole values with Spark's reader, for storage that Arrow can't open.
     A damaged archive (cut short, flipped bytes: the checksum is always read)
     fails the job.  With ``allow_partial`` what decoded before the damage is
-    returned, and the archive's row, in the same pass, has ``damaged`` true.
+    returned, and the archive's row, in the same pass, has ``damaged`` true; a file that can't be
+    opened or read at all is an error in either case.
     """
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", f"*_{kind}.log.tar.gz").option("recursiveFileLookup", "true").load(path)
-                .where(keep_file(F.col("_metadata.file_name"), kind, first_date)).select("path", "content"))
-    return expand_archives(raw, kind, batch_lines, allow_partial).repartition(partitions or spark.sparkContext.defaultParallelism)
+    files = archive_files(spark.read, path, kind, first_date)
+    return expand_archives(files if through_spark else files.select("path"), kind, batch_lines, allow_partial).repartition(partitions or spark.sparkContext.defaultParallelism)
 
 
-def expand_archives(raw: DataFrame, kind: str, batch_lines: int = 50_000, allow_partial: bool = False) -> DataFrame:
-    """The rows of :func:`read_archive_lines` from (path, content), one archive a row."""
-    return raw.select("path", "content").mapInPandas(_untar_batches(kind, batch_lines, allow_partial), ARCHIVE_SCHEMA)
+def expand_archives(files: DataFrame, kind: str, batch_lines: int = 50_000, allow_partial: bool = False) -> DataFrame:
+    """The rows of :func:`read_archive_lines` from (path), opened by the tasks, or from (path, content)."""
+    return files.mapInPandas(_untar_batches(kind, batch_lines, allow_partial), ARCHIVE_SCHEMA)
 
 
 def archive_rows(lines: DataFrame, kind: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tunetrail.operators.events import unify
-from tunetrail.sources.logs import FIRST_DATE, decoded, file_date, keep_file, parse_lines
+from tunetrail.sources.logs import FIRST_DATE, archive_files, archive_rows, decoded, expand_archives, file_date, keep_file, parse_lines
 
 
 def log_stream(spark: SparkSession, landing_dir: str, kind: str, first_date: str = FIRST_DATE,
@@ -30,10 +30,19 @@ def log_stream(spark: SparkSession, landing_dir: str, kind: str, first_date: str
     return parse_lines(raw, kind, date_text=file_date(F.col("_file")))
 
 
+def archive_stream(spark: SparkSession, landing_dir: str, kind: str, first_date: str = FIRST_DATE,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same from ``tar.gz`` archives: Spark notes which have been read, tasks open new ones by path and stream them.  A damaged archive fails its batch."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return archive_rows(expand_archives(archive_files(reader, landing_dir, kind, first_date).select("path"), kind), kind)
+
+
 def ingest(spark: SparkSession, landing_dir: str, kind: str, table_dir: str, checkpoint_dir: str,
-           first_date: str = FIRST_DATE, available_now: bool = True) -> StreamingQuery:
-    """Append new files of ``kind`` to a date-partitioned parquet table (exactly once per file)."""
-    stream = log_stream(spark, landing_dir, kind, first_date)
+           first_date: str = FIRST_DATE, available_now: bool = True, archives: bool = False) -> StreamingQuery:
+    """Append new files of ``kind`` (text logs, or ``archives``) to a date-partitioned parquet table (exactly once per file)."""
+    stream = (archive_stream if archives else log_stream)(spark, landing_dir, kind, first_date)
     writer = (stream.writeStream.format("parquet").outputMode("append")
                     .option("checkpointLocation", checkpoint_dir).partitionBy("date"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
