@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tunetrail.operators.quantiles import exact_quantiles
+
+QUARTILES = (0.25, 0.5, 0.75)
+
 
 def row_count(df: DataFrame) -> DataFrame:
     """A6 as a one-row DataFrame."""
@@ -55,18 +59,20 @@ def value_counts(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """A3 for every numeric column: one row each, exact quantiles, one pass."""
+    """A3 for every numeric column: one row each.  Quantiles are exact in bounded memory (:mod:`quantiles`); their passes over
+    ``df`` run at the call.  NaN counts in the moments but in no quantile."""
     cols = numeric_columns(df)
-    aggs = [f.alias(f"{name}_{i}") for i, c in enumerate(cols) for name, f in _summary(F.col(c)).items()]
-    wide = df.agg(*aggs)
-    names = list(_summary(F.lit(0)))
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}_{i}").alias(n) for n in names]) for i, c in enumerate(cols)])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
+    quantile = exact_quantiles(df, cols, QUARTILES)
+    wide = df.agg(*[f.alias(f"{name}_{i}") for i, c in enumerate(cols) for name, f in _moments(F.col(c)).items()])
+    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{m}_{i}").alias(m) for m in ("count", "mean", "std", "min")],
+                     *[F.lit(quantile[c, p]).cast("double").alias(f"q{round(100 * p)}") for p in QUARTILES], F.col(f"max_{i}").alias("max")) for i, c in enumerate(cols)]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def _summary(c) -> dict:
-    return {"count": F.count(c), "mean": F.avg(c).cast("double"), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "q25": F.percentile(c, 0.25),
-            "q50": F.percentile(c, 0.5), "q75": F.percentile(c, 0.75), "max": F.max(c).cast("double")}
+def _moments(c) -> dict:
+    return {"count": F.count(c), "mean": F.avg(c).cast("double"), "std": F.stddev_samp(c), "min": F.min(c).cast("double"), "max": F.max(c).cast("double")}
 
 
 def summary_stats(df: DataFrame, col: str) -> DataFrame:
