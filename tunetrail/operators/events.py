@@ -34,3 +34,15 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite",
     """
     (df.hint("rebalance", "date").sortWithinPartitions("date").write.mode(mode)
        .option("maxRecordsPerFile", max_records_per_file).partitionBy("date").parquet(path))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """K2: the events as an external table at ``path``, hashed by uid into ``buckets`` sorted buckets; the table, read back.
+
+    Whatever is then grouped by uid (label, features, training table) reads a user's rows in one task and needs no
+    exchange.  The exchange is paid once, here; a bucket holds all of a user's rows, so a user with a large share of
+    the log makes a large bucket, which is streamed through a partial aggregate.
+    """
+    (df.repartition(buckets, "uid").write.mode("overwrite").bucketBy(buckets, "uid").sortBy("uid")
+       .option("path", path).format("parquet").saveAsTable(table))
+    return df.sparkSession.table(table)

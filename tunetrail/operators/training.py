@@ -14,7 +14,7 @@ from tunetrail.operators import features as fx
 from tunetrail.operators.label import churn_label_by_join
 
 
-def _order(w: Windows) -> list[str]:
+def table_columns(w: Windows) -> list[str]:
     return ["uid", "label", *fx.feature_columns(w)]
 
 
@@ -40,10 +40,10 @@ def training_table(events: DataFrame, w: Windows, activity_events: Sequence[str]
                   *fx.play_ratio_aggs(w), fx.device_agg(w))
              .where(F.col("_in_feature") == 1)
              .withColumn("label", (F.lit(1) - F.col("_in_label")).cast("int")))
-    return _fill(agg.select(*_order(w)), w, recency_fill)
+    return fill_features(agg.select(*table_columns(w)), w, recency_fill)
 
 
-def _fill(df: DataFrame, w: Windows, recency_fill: int | None) -> DataFrame:
+def fill_features(df: DataFrame, w: Windows, recency_fill: int | None) -> DataFrame:
     fill = {c: 0 for c in fx.feature_columns(w)}
     if recency_fill is not None:
         fill.update({fx.rec_name(e): recency_fill for e in fx.RECENCY_ORDER})
@@ -72,7 +72,7 @@ def training_table_chained(events: DataFrame, w: Windows, activity_events: Seque
     pp = [fx.play_ratio(plays, n, w.snapshot) for n in w.sub_windows]
     table = left_join_features(label, freq, rec, tt, pp)
     table = table.join(fx.device_profile(plays, w), "uid", "left")
-    return _fill(table.select(*_order(w)), w, recency_fill)
+    return fill_features(table.select(*table_columns(w)), w, recency_fill)
 
 
 def device_dummies(table: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ comparable with the oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from tunetrail.functions.dates import DRIVER_WINDOWS as W
 from tunetrail.functions.dates import in_range
+from tunetrail.operators import daystates as ds
 from tunetrail.operators import events as evx
 from tunetrail.operators import explore as ex
 from tunetrail.operators import features as fx
@@ -39,6 +41,7 @@ QUERIES: dict[str, Query] = {}
 # Fixed value: on the driver's events every user is active in both windows,
 # so activity for the label is purchases (plays) only.
 ACTIVITY = ("P",)
+BUCKETS = 16  # of the event table by uid; on a cluster, table size / 200 MB
 
 
 def query(name: str):
@@ -650,6 +653,22 @@ def q_training_table_file(spark, sf_dir):
     return round_doubles(spark.read.parquet(path))
 
 
+@query("training_table_day_states")
+def q_training_day_states(spark, sf_dir):
+    """The training table merged from written day states."""
+    path = shared_path(spark, "day-states")
+    ds.write_day_states(events(spark, sf_dir), path)
+    return round_doubles(ds.training_table_from_states(spark.read.parquet(path), W, ACTIVITY))
+
+
+@query("training_table_bucketed")
+def q_training_bucketed(spark, sf_dir):
+    """The training table from an event table bucketed by uid: no exchange after the table is written."""
+    path = shared_path(spark, "events-by-uid")
+    table = evx.write_bucketed(events(spark, sf_dir), "tunetrail_events_" + uuid.uuid4().hex, path, BUCKETS)
+    return round_doubles(tr.training_table(table, W, ACTIVITY))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The churn training table (label + all behaviour features), fused form."""
     return q_training_fused(spark, sf_dir)

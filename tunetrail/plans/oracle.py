@@ -366,4 +366,5 @@ for _name in ("text_log_roundtrip", "gzip_log_roundtrip", "archive_event_log"):
 register("archive_roundtrip", f"WITH {EV} SELECT uid, device, 'caf\u00e9' AS song_name, song_id, date, round(play_time, 6) AS play_time, round(song_length, 6) AS song_length FROM ev WHERE event = 'P'")
 register("event_table_roundtrip", f"WITH {EV} SELECT date, event, CAST(count(*) AS BIGINT) AS n FROM ev WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-05' GROUP BY date, event")
 register("plays_table_roundtrip", SQL["plays_per_user"])
-register("training_table_roundtrip", SQL["training_table_fused"])
+for _name in ("training_table_roundtrip", "training_table_day_states", "training_table_bucketed"):
+    register(_name, SQL["training_table_fused"])
