@@ -67,8 +67,7 @@ def sample_by_users(log: DataFrame, users: DataFrame, ratio: float = SAMPLE_RATI
 
     The hash draw is applied row-wise first (no join needed for it, and it
     drops ~90 % of rows before any exchange); the semi join against the kept
-    users then enforces the bot cut.  The user table is broadcast only when
-    its row count is checked to be small, else the join shuffles (with AQE
-    skew splitting).
+    users then enforces the bot cut.  Spark chooses the join by its byte
+    threshold and at run time (AQE, with skew splitting); there is no hint.
     """
     return log.where(in_hash_sample("uid", ratio, salt)).join(users, "uid", "left_semi")
