@@ -36,7 +36,7 @@ def brute(rows, items, window=13):
 def test_equals_brute_force(spark):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = brute([(i, t) for i, t, *_ in edge_rows()], ITEMS)
-    for size in (D.BLOCK_BYTES, 150):  # one block of patterns, and many
+    for size in (D.BLOCK_BYTES, 150):  # searched in the tasks, and joined with the patterns
         found = D.find_contamination(edge_docs(spark), bench, block_bytes=size, keep=("node", "n_chars"))
         got = found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
         assert sorted((str(r[0]), *r[1:]) for r in got) == want
@@ -58,3 +58,19 @@ def test_search_skips():
     assert (s.least, s.block, s.default) == (13, 3, 11)
     text = [b"z"] * 1000 + [f"w{i}".encode() for i in range(3, 17)]
     assert [(a, b) for a, b, _ in s.occurrences(text)] == [(1000, 1013), (1001, 1014)]
+
+
+def test_joined_patterns_of_a_large_benchmark(spark):
+    """Patterns on Spark: many items share a window, copies of a text are a third of all rows, few shift slots let false positions through."""
+    rows = [(i, prose(1, 120)) for i in range(40)] + [(100 + i, prose(i, 90) + " a b c " * (i % 3)) for i in range(80)] + [(None, "a"), (500, None), (501, "")]
+    items = [(1000 + i, prose(1, 120)) for i in range(60)] + [(i, " ".join(prose(i, 90).split()[i % 40:][:30])) for i in range(0, 80, 7)] + [(7, "A b"), (8, "c")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = D.find_contamination(docs, bench, block_bytes=1000, slots=1 << 9).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == brute(rows, items)
+
+
+def test_hashed_shifts_skip_no_pattern(spark):
+    text = " ".join(f"w{i}" for i in range(20)).encode()
+    tables = D.hashed_shifts(D.benchmark_patterns(spark.createDataFrame([("1", bytearray(text)), ("2", bytearray(b"a b"))], "item string, text binary")))
+    assert sorted(tables) == [2, 13] and all(len(t) == D.SLOTS for t in tables.values())
+    assert sorted(set(tables[13].tolist())) == list(range(12)) and sorted(set(tables[2].tolist())) == [0, 1]
