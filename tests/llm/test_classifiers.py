@@ -72,3 +72,62 @@ def test_samples_are_bounded(spark):
 def test_isotonic():
     x, y = quality.isotonic([0, 1, 2, 3, 4], [0, 1, 0, 1, 1], [1, 1, 1, 1, 1])
     assert (np.diff(y) >= 0).all() and y[0] < y[-1] and x[0] == 0 and x[-1] == 4
+
+
+def test_isotonic_equals_plain_pooling():
+    """Against the least-squares monotone fit by the min-max formula, drawn towards the mean by one weight."""
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 9, 60):
+        x, y, w = np.arange(n, dtype=float), rng.random(n) + np.arange(n) / n, rng.integers(1, 9, n)
+        mean = lambda a, b: (y[a:b] @ w[a:b]) / w[a:b].sum()
+        want = np.array([max(min(mean(a, b) for b in range(i + 1, n + 1)) for a in range(i + 1)) for i in range(n)])
+        pool = np.array([w[np.isclose(want, v)].sum() for v in want])
+        xs, ys = quality.isotonic(x.tolist(), y.tolist(), w.tolist())
+        assert np.allclose(np.interp(x, xs, ys), np.maximum.accumulate((want * pool + mean(0, n)) / (pool + 1)))
+
+
+def stat_rows(spark, n=400):
+    rng = np.random.default_rng(3)
+    x = rng.random((n, len(quality.STATISTICS)))
+    y = (x[:, 0] + x[:, 1] ** 2 > 0.9).astype(float)
+    return spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], ", ".join(f"{c} double" for c in quality.STATISTICS) + ", label double")
+
+
+def test_ridge_equals_numpy(spark):
+    """The weights from partition sums against one dense ridge solve on the same features."""
+    rows = stat_rows(spark)
+    model = quality.Quality.fit(rows)
+    table = np.array(rows.where(F.pmod(F.xxhash64(F.lit("calibrate"), *quality.STATISTICS), F.lit(5)) != 0).collect(), dtype=float)
+    x, y = table[:, :-1], table[:, -1]
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, x.std(0))
+    w, b = model.projection()
+    z = np.hstack([np.sqrt(2 / quality.FEATURES) * np.cos(np.clip((x - x.mean(0)) / x.std(0), -8, 8) @ w + b), np.ones((len(x), 1))])
+    ridge = np.sqrt(np.r_[np.full(quality.FEATURES, quality.PENALTY * len(x)), 0.0] + 1e-9)
+    want = np.linalg.lstsq(np.vstack([z, np.diag(ridge)]), np.r_[y, np.zeros(z.shape[1])], rcond=None)[0]
+    assert np.allclose(model.raw(x), z @ want, atol=1e-6)
+
+
+def test_stems_equal_a_plain_count(spark):
+    tail = ["common", "ordinary", "thing"]
+    texts = [(i, f"{'Grumblers grumbling grumbled' if i % 3 == 0 else 'pleasant'} {tail[i % 3 if i % 2 else 0]} {'GRUMBLY' if i % 6 == 0 else 'day'}", int(i % 3 == 0)) for i in range(90)]
+    docs = spark.createDataFrame([t[:2] for t in texts] + [(7000, None), (None, "grumbling")], "doc_id long, text string")
+    labels = spark.createDataFrame([(t[0], t[2]) for t in texts], "doc_id long, toxic int")
+    seen = [(word, toxic) for _, text, toxic in texts for word in set(text.lower().split())]
+    total = [sum(toxic == k for _, toxic in seen) for k in (0, 1)]
+    want = set()
+    for stem in {word[:k] for word, _ in seen for k in toxicity.STEM_LENGTHS if len(word) >= min(toxicity.STEM_LENGTHS)}:
+        of = [(word, toxic) for word, toxic in seen if word.startswith(stem)]
+        t, c = sum(toxic for _, toxic in of), sum(not toxic for _, toxic in of)
+        if len({word for word, toxic in of if toxic}) >= toxicity.STEM_WORDS and t >= toxicity.STEM_TEXTS and t / total[1] >= toxicity.STEM_LIFT * (c + 1) / total[0]:
+            want.add(stem)
+    assert want and set(toxicity.learn_stems(docs, labels, "toxic", F.lit(True))) == want
+
+
+def test_fits_repeat(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    for score in (toxicity.score_toxicity, quality.score_quality):
+        first, second = ({r[0]: r[1] for r in score(docs.repartition(n), labels).select("row.doc_id", "score").collect()} for n in (3, 11))
+        if score is toxicity.score_toxicity:
+            assert first == second
+        else:
+            assert np.allclose([first[k] for k in first], [second[k] for k in first], atol=1e-6)

@@ -151,7 +151,9 @@ class Toxicity:
     def fit(cls, rows: DataFrame) -> Toxicity:
         """From FEATURES and ``label``.  Without rows of both labels, the score is the one label there is, or 0."""
         vector = VectorAssembler(inputCols=list(FEATURES), outputCol="_x")
-        rows = checkpointed(vector.transform(rows).select("_x", "label", (F.pmod(F.xxhash64(F.lit("calibrate"), *FEATURES), F.lit(5)) == 0).alias("held")).repartition(8))
+        held = (F.pmod(F.xxhash64(F.lit("calibrate"), *FEATURES), F.lit(5)) == 0).alias("held")
+        # A bounded number of short rows, in one part and in order: sums then have one order, so the same rows give the same trees.
+        rows = checkpointed(vector.transform(rows.select(*FEATURES, "label", held).repartition(1).sortWithinPartitions(*FEATURES, "label")).select("_x", "label", "held"))
         seen = {(r["held"], r["label"]) for r in rows.groupBy("held", "label").count().collect()}
         if not {(False, 0.0), (False, 1.0)} <= seen:
             return cls(None, None, max((label for _, label in seen), default=0.0))
