@@ -8,6 +8,7 @@ comparable with the oracle.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -17,6 +18,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from tunetrail.functions.dates import DRIVER_WINDOWS as W
 from tunetrail.functions.dates import in_range
+from tunetrail.operators import daysketches as sk
 from tunetrail.operators import daystates as ds
 from tunetrail.operators import events as evx
 from tunetrail.operators import explore as ex
@@ -41,6 +43,7 @@ QUERIES: dict[str, Query] = {}
 # Fixed value: on the driver's events every user is active in both windows,
 # so activity for the label is purchases (plays) only.
 ACTIVITY = ("P",)
+HEAVY_SHARE = 0.01
 BUCKETS = 16  # of the event table by uid; on a cluster, table size / 200 MB
 
 
@@ -639,6 +642,57 @@ def q_event_table(spark, sf_dir):
     return ex.count_by(spark.read.parquet(path).where(in_range("date", RANGE_START, RANGE_END)), "date", "event")
 
 
+@query("download_song_names")
+def q_download_names(spark, sf_dir):
+    """Names out of the Latin-1 download logs, a field that the cleaned table leaves out."""
+    lines_ = logs.read_text_lines(spark, landing.land_logs(spark, sf_dir, "down"), "down")
+    return lines_.groupBy(logs.parse_yyyymmdd(logs.file_date(F.col("_file"))).alias("date"), logs.raw_field("down", "song_name").alias("song_name")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("cleaned_tables_roundtrip")
+def q_cleaned_tables(spark, sf_dir):
+    """K1: from raw files to a cleaned table for each kind, by date on disk, and back; rows, users and devices of each kind and day."""
+    parts = []
+    for kind in ("play", "down", "search"):
+        path = shared_path(spark, f"clean-{kind}")
+        evx.write_partitioned(logs.read_text_logs(spark, landing.land_logs(spark, sf_dir, kind), kind), path)
+        parts.append(spark.read.parquet(path).groupBy(F.lit(kind).alias("kind"), "date").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("uid").alias("users"), F.count_if(F.col("device") == "ip").alias("ip")))
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+CSV_SCHEMA = "uid long, device string, song_name string, song_id long, date date, play_time double, song_length double"
+
+
+def csv_plays(spark, sf_dir):
+    """The cleaned play table as CSV, with names that hold quotes, commas and line breaks; its path."""
+    name = F.concat(F.lit('say "'), F.coalesce(F.col("song_id").cast("string"), F.lit("")), F.lit('", caf\u00e9\nagain'))
+    path = shared_path(spark, "plays-csv")
+    logs.write_clean_csv(src.play_log(spark, sf_dir).withColumn("song_name", name).select("uid", "device", "song_name", "song_id", "date", "play_time", "song_length"), path)
+    return path
+
+
+@query("csv_roundtrip")
+def q_csv(spark, sf_dir):
+    """The CSV under a schema."""
+    return round_doubles(logs.read_clean_csv(spark, csv_plays(spark, sf_dir), CSV_SCHEMA, multi_line=True))
+
+
+@query("csv_as_strings")
+def q_csv_strings(spark, sf_dir):
+    """Every column a string."""
+    return logs.read_clean_csv(spark, csv_plays(spark, sf_dir), multi_line=True).select("uid", "device", "song_name", "song_id", "date")
+
+
+@query("csv_inferred")
+def q_csv_inferred(spark, sf_dir):
+    """Sums by day over inferred types, with the type that each column got."""
+    plays = logs.read_clean_csv(spark, csv_plays(spark, sf_dir), infer=True, multi_line=True)
+    kinds = dict(plays.dtypes)
+    sums = plays.groupBy("date").agg(F.sum("uid").alias("uid"), F.sum("song_id").alias("song_id"), F.sum("play_time").alias("play_time"))
+    return round_doubles(sums.withColumn("types", F.lit(",".join(kinds[c] for c in ("uid", "song_name", "date", "play_time")))), 4)
+
+
 @query("plays_table_roundtrip")
 def q_plays_table(spark, sf_dir):
     path = shared_path(spark, "plays")
@@ -661,6 +715,34 @@ def q_training_day_states(spark, sf_dir):
     return round_doubles(ds.training_table_from_states(spark.read.parquet(path), W, ACTIVITY))
 
 
+def day_sketches(spark, sf_dir):
+    path = shared_path(spark, "day-sketches")
+    sk.write_day_sketches(events(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query("distinct_users_by_range")
+def q_distinct_by_range(spark, sf_dir):
+    """Users of each trailing window and of the label window, from day sketches alone; up to 2**16 users the numbers are exact."""
+    ranges = [(f"last_{n}", W.snapshot - dt.timedelta(n - 1), W.snapshot) for n in W.sub_windows] + [("label", W.label_start, W.label_end)]
+    return sk.distinct_users(day_sketches(spark, sf_dir), ranges)
+
+
+@query("retention_by_event")
+def q_retention(spark, sf_dir):
+    """Of each event kind: users of the feature window, those who came back in the label window, and those who didn't."""
+    return sk.retention(day_sketches(spark, sf_dir), (W.feature_start, W.feature_end), (W.label_start, W.label_end), "event")
+
+
+@query("heavy_songs")
+def q_heavy_songs(spark, sf_dir):
+    """Songs with more than 1 % of the song events of the feature window: candidates from day summaries, counted exactly."""
+    songs = events(spark, sf_dir).where("song_id is not null").select("date", "song_id")
+    path = shared_path(spark, "day-heavy")
+    sk.write_heavy_summaries(songs, "song_id", path, HEAVY_SHARE)
+    return sk.heavy_hitters(songs, spark.read.parquet(path), "song_id", W.feature_start, W.feature_end, HEAVY_SHARE)
+
+
 @query("training_table_bucketed")
 def q_training_bucketed(spark, sf_dir):
     """The training table from an event table bucketed by uid: no exchange after the table is written."""

@@ -368,3 +368,21 @@ register("event_table_roundtrip", f"WITH {EV} SELECT date, event, CAST(count(*)
 register("plays_table_roundtrip", SQL["plays_per_user"])
 for _name in ("training_table_roundtrip", "training_table_day_states", "training_table_bucketed"):
     register(_name, SQL["training_table_fused"])
+
+register("download_song_names", f"""WITH {EV} SELECT date, CASE COALESCE(song_id, 0) % 3 WHEN 0 THEN 'caf\u00e9' WHEN 1 THEN 'se\u00f1or \u00bd' ELSE 'na\u00efve \u00a35' END AS song_name,
+  CAST(count(*) AS BIGINT) AS n FROM ev WHERE event = 'D' GROUP BY 1, 2""")
+register("cleaned_tables_roundtrip", f"""WITH {EV} SELECT CASE event WHEN 'P' THEN 'play' WHEN 'D' THEN 'down' ELSE 'search' END AS kind, date, CAST(count(*) AS BIGINT) AS n,
+  CAST(count(DISTINCT uid) AS BIGINT) AS users, CAST(count(*) FILTER (WHERE device = 'ip') AS BIGINT) AS ip FROM ev GROUP BY 1, 2""")
+_CSV_NAME = "'say \"' || COALESCE(CAST(song_id AS VARCHAR), '') || '\", caf\u00e9' || chr(10) || 'again' AS song_name"
+register("csv_roundtrip", f"WITH {EV} SELECT uid, device, {_CSV_NAME}, song_id, date, round(play_time, 6) AS play_time, round(song_length, 6) AS song_length FROM ev WHERE event = 'P'")
+register("csv_as_strings", f"WITH {EV} SELECT CAST(uid AS VARCHAR) AS uid, device, {_CSV_NAME}, CAST(song_id AS VARCHAR) AS song_id, CAST(date AS VARCHAR) AS date FROM ev WHERE event = 'P'")
+register("csv_inferred", f"""WITH {EV} SELECT date, CAST(sum(uid) AS BIGINT) AS uid, CAST(sum(song_id) AS BIGINT) AS song_id, round(sum(play_time), 4) AS play_time, 'int,string,date,double' AS types
+  FROM ev WHERE event = 'P' GROUP BY date""")
+
+_RANGES = [(f"last_{n}", W.snapshot - dt.timedelta(days=n - 1), W.snapshot) for n in W.sub_windows] + [("label", W.label_start, W.label_end)]
+register("distinct_users_by_range", f"WITH {EV} " + " UNION ALL ".join(
+    f"SELECT '{n}' AS name, CAST(count(*) AS BIGINT) AS n_events, CAST(count(DISTINCT uid) AS BIGINT) AS n_users FROM ev WHERE date BETWEEN {d(a)} AND {d(b)}" for n, a, b in _RANGES))
+register("retention_by_event", f"""WITH {EV}, u AS (SELECT event, uid, bool_or(date BETWEEN {d(W.feature_start)} AND {d(W.feature_end)}) AS a, bool_or(date BETWEEN {d(W.label_start)} AND {d(W.label_end)}) AS b FROM ev GROUP BY 1, 2)
+SELECT event, CAST(count(*) FILTER (WHERE a) AS BIGINT) AS n_users, CAST(count(*) FILTER (WHERE a AND b) AS BIGINT) AS n_back, CAST(count(*) FILTER (WHERE a AND NOT b) AS BIGINT) AS n_left FROM u GROUP BY event HAVING bool_or(a OR b)""")
+register("heavy_songs", f"""WITH {EV}, s AS (SELECT song_id FROM ev WHERE song_id IS NOT NULL AND date BETWEEN {d(W.feature_start)} AND {d(W.feature_end)})
+SELECT song_id, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY song_id HAVING count(*) > 0.01::DOUBLE * (SELECT count(*) FROM s)""")

@@ -114,22 +114,31 @@ def parse_lines(lines: DataFrame, kind: str, line_col: str = "line",
     return out.where(F.col("uid").isNotNull() & F.col("date").isNotNull())
 
 
+def read_text_lines(spark: SparkSession, paths: str | Sequence[str], kind: str) -> DataFrame:
+    """(line, _file) of text (or .gz) files, read as bytes and decoded in the plan, so no character can part a line."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.text(paths).select(decoded(F.col("value"), kind).alias("line"), F.col("_metadata.file_name").alias("_file"))
+
+
 def read_text_logs(spark: SparkSession, paths: str | Sequence[str], kind: str,
                    date_from_file_name: bool = True, first_date: str = FIRST_DATE) -> DataFrame:
     """One multi-path scan of text (or .gz) logs of one kind.
 
     File pruning (S2) is a predicate on ``_metadata.file_name`` so skipped
-    files are never opened.  Lines are read as bytes and decoded in the plan,
-    so no character can part a line.
+    files are never opened.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.text(paths).select(decoded(F.col("value"), kind).alias("line"), F.col("_metadata.file_name").alias("_file"))
+    df = read_text_lines(spark, paths, kind)
     if date_from_file_name:
         df = df.where(keep_file(F.col("_file"), kind, first_date))
         return parse_lines(df, kind, date_text=file_date(F.col("_file")))
     return parse_lines(df, kind)
 
 
+def raw_field(kind: str, name: str, line_col: str = "line") -> Column:
+    """A field of a raw line by its place, stripped; also one that the cleaned table leaves out.  Null where the line is too short."""
+    return strip_blanks(F.get(F.split(F.col(line_col), "\t", -1), FIELDS[kind].index(name)))
+
+
 ARCHIVE_SCHEMA = "file_name string, line string, file_lines long, damaged boolean"
 
 
@@ -243,7 +252,17 @@ def archive_coverage(report: DataFrame) -> DataFrame:
     return report.groupBy(day).agg(F.count(F.lit(1)).alias("archives"), F.count_if("damaged").alias("damaged"), F.sum("lines").alias("lines"))
 
 
-def read_clean_csv(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
-    """CSV with a header, given schema; quotes escaped by doubling."""
-    return (spark.read.option("header", "true").option("escape", '"')
-                 .schema(schema).csv(path))
+def read_clean_csv(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, infer: bool = False, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; quotes escaped by doubling (X5).  With ``multi_line`` a quoted field may hold line breaks, at a
+    price: a file is then one task, where it is split otherwise.
+
+    With ``schema`` its types; without, all columns are strings, or with ``infer`` of the types that Spark finds in one
+    more pass over the files (S6).  An empty field is null.
+    """
+    reader = spark.read.option("header", "true").option("escape", '"').option("multiLine", str(multi_line).lower())
+    return (reader.schema(schema) if schema else reader.option("inferSchema", str(infer).lower())).csv(path)
+
+
+def write_clean_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K1 as CSV: a header in each file, the columns in their order, quotes doubled; written by the tasks."""
+    df.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
