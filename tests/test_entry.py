@@ -12,7 +12,7 @@ from tunetrail.plans.oracle import SQL
 from tunetrail.sources.driver_tables import TABLES
 
 # Queries whose DataFrames are large or slow to build; covered at sf0.01 by tools/oracle_check.py.
-SLOW = {"item_similarity", "predicted_ratings", "logistic_scores", "forest_scores", "gbt_scores", "mlp_scores", "grid_search"}
+SLOW = {"item_similarity", "predicted_ratings", "logistic_scores", "forest_scores", "gbt_scores", "mlp_scores", "relu_net_scores", "grid_search"}
 
 
 def test_entry_runs(spark):

@@ -27,6 +27,7 @@ from tunetrail.operators import label as lb
 from tunetrail.operators import metrics as mt
 from tunetrail.operators import models as md
 from tunetrail.operators import population as pop
+from tunetrail.operators import relu_net as rn
 from tunetrail.operators import training as tr
 from tunetrail.operators.recsys import evaluate as ev_
 from tunetrail.operators.recsys import factors as fa
@@ -484,6 +485,13 @@ def q_mlp(spark, sf_dir):
     return score_rows(md.fit_and_score(md.mlp(len(names)), data)[1])
 
 
+@query("relu_net_scores")
+def q_relu_net(spark, sf_dir):
+    """The reference's own network: ReLU, Adam, L2 1e-5."""
+    data, _ = model_data(spark, sf_dir)
+    return score_rows(rn.score(rn.fit(data.where(F.col("split") == "train")), data))
+
+
 @query("grid_search")
 def q_grid_search(spark, sf_dir):
     data, _ = model_data(spark, sf_dir)

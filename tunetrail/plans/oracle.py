@@ -328,7 +328,7 @@ SELECT r.uid, r.song_id, r.pred, r.rank, names.song_name FROM ranked r LEFT JOIN
 
 # ------------------------------------------------------- models, factors
 _SCORE_ROWS = f"""WITH t AS ({training_sql()}) SELECT uid, label, {SPLIT} AS split, true AS is_probability FROM t"""
-for _name in ("logistic_scores", "forest_scores", "gbt_scores", "mlp_scores", "grid_search"):
+for _name in ("logistic_scores", "forest_scores", "gbt_scores", "mlp_scores", "relu_net_scores", "grid_search"):
     register(_name, _SCORE_ROWS)
 
 
