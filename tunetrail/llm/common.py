@@ -26,13 +26,19 @@ def compact(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, -(-df.count() // rows)))
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared checkpoint folder, and read again."""
-    path = shared_path(df.sparkSession, "stored")
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written as Parquet at ``path`` (a new folder in the shared checkpoint folder, if None), and read again."""
+    path = path or shared_path(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_stored(spark: SparkSession, path: str) -> None:
+    """Delete what :func:`stored` wrote at ``path``, once nothing that is still to be computed reads it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def exclusive(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Only the named columns, so that other columns of the caller's table can't clash with ours."""
     return df.select(*[F.col(f"`{n}`") for n in names])
