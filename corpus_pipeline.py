@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunetrail.llm import decontaminate, linededup, neardup, packing, queries, toxicity
-from tunetrail.llm.common import checkpointed, stored, table
+from tunetrail.llm.common import checkpointed, delete_stored, stored, table
+from tunetrail.session import shared_path
 
 #: Documents with this toxicity score or more are rejected.
 TOXIC = 0.5
@@ -66,10 +67,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, one after the other; what each keeps is written once."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
+    """The stages applied to ``documents``, one after the other; what each keeps is written once, and deleted when the next
+    stage's rows are written.  The last one, which the result reads, stays in the checkpoint folder."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs)
+            path = shared_path(spark, f"pipeline-{name}")
+            docs = stored(docs, path)
+            if before:
+                delete_stored(spark, before)
+            before = path
     return docs
