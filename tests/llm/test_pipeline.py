@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline
 from tests.llm.helpers import SCHEMA, edge_docs, edge_rows, empty_docs, prose
 from tests.llm.test_decontaminate import brute as contaminated
@@ -45,6 +47,9 @@ def test_empty_stages(spark):
 
 
 def test_run(spark):
+    left = lambda: {f for _, folders, _ in os.walk(spark.conf.get("spark.checkpoint.dir")) for f in folders if f.startswith("pipeline-")}
+    before = left()
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {"doc_id", "sequence_id", "offset", "length"} <= set(rows[0].__fields__) and corpus_pipeline.ORACLE_SQL is None
     assert len(edge_rows()) > 20
+    assert [f.startswith("pipeline-benchmark_decontamination") for f in left() - before] == [True]  # of the written tables only the last
