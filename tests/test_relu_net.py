@@ -68,3 +68,18 @@ def test_odd_rows(spark):
     assert [r.p for r in rn.score(net, odd).where("uid is null").collect()] == [None] and rn.score(net, odd).count() == 41
     with pytest.raises(ValueError):
         rn.fit(data.limit(0))
+
+
+def test_chunks_take_the_same_steps(spark, monkeypatch):
+    data, *_ = table(spark, 400)
+    taken = []
+    inner = rn.chunk_steps
+    monkeypatch.setattr(rn, "chunk_steps", lambda rows, net, adam, l2, order: taken.append(order) or inner(rows, net, adam, l2, order))
+    nets = []
+    for rows in (10_000, 130, 0):  # an epoch in a task; some batches; each batch by the tasks' summed gradients
+        monkeypatch.setattr(rn, "CHUNK_ROWS", rows)
+        nets.append(rn.fit(data, hidden=5, epochs=2, batch_rows=50))
+    assert [len(c) for c in taken[:2]] == [8, 8] and 4 < len(taken) < 18
+    for net in nets[1:]:
+        for a, b in zip(nets[0].parts(), net.parts()):
+            assert np.allclose(a, b, rtol=1e-9, atol=1e-12)
