@@ -17,12 +17,16 @@ their users, and only what can still be among an item's k best is carried on.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunetrail.functions.exprs import nan_to_zero
+from tunetrail.session import spread
 
 # Neighbourhood size 75, list length 10.
 NEIGHBOURS = 75
@@ -30,6 +34,9 @@ TOP_N = 10
 # Tunables: items of one user in a chunk, about; ratings that a block of items meets, about.
 CHUNK_ITEMS = 256
 BLOCK_RATINGS = 2_000_000
+# Products of two blocks of items; contributions that a task sums to predictions; entries of a list of them; contributions
+# of a user that is summed by many tasks; about.
+PAIR_PRODUCTS, TASK_CONTRIBUTIONS, LIST_ITEMS, USER_CONTRIBUTIONS = 4_000_000, 2_000_000, 256, 1_000_000
 
 
 def item_norms(util: DataFrame) -> DataFrame:
@@ -58,14 +65,109 @@ def cooccurrence(util: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     return pairs.select("item_i", "item_j", (F.col("r_i") * F.col("r_j")).alias("p")).groupBy("item_i", "item_j").agg(F.sum("p").alias("dot"))
 
 
-def item_similarity(util: DataFrame, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
-    """Cosine similarity of every co-rated item pair, both orders (self pair = 1)."""
-    norms = item_norms(util)
-    gram = cooccurrence(util, chunk_items)
-    ni = norms.select(F.col("song_id").alias("item_i"), F.col("n2").alias("n2_i"))
-    nj = norms.select(F.col("song_id").alias("item_j"), F.col("n2").alias("n2_j"))
+def similarity_blocks(util: DataFrame) -> int:
+    """Blocks of items for :func:`item_similarity`: so many that two of them make about PAIR_PRODUCTS products; one for a small table."""
+    n = util.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    products = n.agg(F.sum(F.col("n").cast("double") * (F.col("n") + 1) / 2)).first()[0] or 0.0
+    return max(1, math.ceil(math.sqrt(2 * products / PAIR_PRODUCTS)))
+
+
+def _sums(a: pa.Table, b: pa.Table, most: int) -> pa.Table:
+    """Summed products of each item of ``a`` with each of ``b`` over their users; ``most`` products are held at once, about.
+
+    The items of ``a`` go in slices, each with all its products; those of an item with more than ``most`` are added up part by
+    part.  A null rating adds nothing, and a pair without any product but null ones has a null sum."""
+    a, b = a.sort_by([("a", "ascending"), ("a_uid", "ascending")]), b.sort_by("b_uid")
+    a_uid, a_item, a_r, a_n2 = (a.column(c).to_numpy() for c in ("a_uid", "a", "r_a", "n2_a"))
+    b_uid, b_item, b_r, b_n2 = (b.column(c).to_numpy() for c in ("b_uid", "b", "r_b", "n2_b"))
+    partner, column = np.unique(b_item, return_inverse=True)
+    n2 = np.zeros(len(partner))
+    n2[column] = b_n2
+    begin = np.searchsorted(b_uid, a_uid, side="left")
+    count = np.searchsorted(b_uid, a_uid, side="right") - begin
+    at = np.append(0, np.cumsum(count))  # products before each row of a
+    cuts = np.append(np.flatnonzero(np.append(True, a_item[1:] != a_item[:-1])), len(a_item))
+    within = len(a) > 0 and a.column("pair_a")[0].as_py() < 0  # a block with itself
+    out: dict[str, list] = {c: [] for c in ("item_i", "item_j", "dot", "n2_i", "n2_j", "known")}
+
+    def products(x: int, y: int) -> tuple:
+        rows = np.repeat(np.arange(x, y), count[x:y])
+        k = np.repeat(begin[x:y] - (at[x:y] - at[x]), count[x:y]) + np.arange(at[y] - at[x])
+        p = a_r[rows] * b_r[k]
+        return rows, column[k], np.nan_to_num(p), ~np.isnan(p)
+
+    def keep(i: np.ndarray, j: np.ndarray, i_n2: np.ndarray, dot: np.ndarray, known: np.ndarray) -> None:
+        if within:
+            some = i <= partner[j]
+            i, j, i_n2, dot, known = i[some], j[some], i_n2[some], dot[some], known[some]
+        first = i <= partner[j]
+        for c, v in (("item_i", np.where(first, i, partner[j])), ("item_j", np.where(first, partner[j], i)), ("dot", dot), ("known", known),
+                     ("n2_i", np.where(first, i_n2, n2[j])), ("n2_j", np.where(first, n2[j], i_n2))):
+            out[c].append(v)
+
+    s = 0
+    while s < len(cuts) - 1:
+        e = max(s + 1, int(np.searchsorted(at[cuts], at[cuts[s]] + most, side="right")) - 1)
+        x, y = cuts[s], cuts[e]
+        if at[y] - at[x] > most:  # one item
+            dot, known, met = (np.zeros(len(partner)) for _ in range(3))
+            while x < y:
+                z = min(y, max(x + 1, int(np.searchsorted(at, at[x] + most, side="right")) - 1))
+                _, j, p, ok = products(x, z)
+                dot += np.bincount(j, weights=p, minlength=len(partner))
+                known += np.bincount(j, weights=ok, minlength=len(partner))
+                met += np.bincount(j, minlength=len(partner))
+                x = z
+            j = np.flatnonzero(met)
+            keep(np.full(len(j), a_item[cuts[s]]), j, np.full(len(j), a_n2[cuts[s]]), dot[j], known[j] > 0)
+        elif at[y] > at[x]:
+            rows, j, p, ok = products(x, y)
+            own = np.repeat(np.arange(e - s), np.diff(cuts[s:e + 1]))[rows - x]
+            key = own * len(partner) + j
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            i = cuts[s:e][key[new] // len(partner)]
+            keep(a_item[i], key[new] % len(partner), a_n2[i], np.add.reduceat(p[order], new), np.add.reduceat(ok[order].astype(np.int64), new) > 0)
+        s = e
+    whole = {c: np.concatenate(v) if v else np.empty(0) for c, v in out.items()}
+    return pa.table({c: pa.array(whole[c], pa.int64() if c.startswith("item") else pa.float64(), mask=~whole["known"].astype(bool) if c == "dot" else None) for c in ("item_i", "item_j", "dot", "n2_i", "n2_j")})
+
+
+def _products_by_blocks(util: DataFrame, blocks: int) -> DataFrame:
+    """(item_i <= item_j, dot, n2_i, n2_j).  Items are dealt to blocks by hash, and a rating goes once to each pair of blocks
+    that its item's block is in.  A pair's products are made and summed where its ratings are, with the norms beside
+    them, so what is exchanged is ratings x (blocks + 1), not one row for each product."""
+    rated = (util.where("uid is not null").select("uid", "song_id", F.col("rating").cast("double").alias("rating")).join(item_norms(util).withColumn("n2", F.col("n2").cast("double")), "song_id")
+             .withColumn("c", F.pmod(F.xxhash64("song_id"), F.lit(blocks)).cast("int")))
+
+    def side(name: str, first: F.Column, last: F.Column, lo: F.Column, hi: F.Column) -> DataFrame:
+        # a block with itself has a pair below zero
+        pair = F.when(lo == hi, -1 - lo).otherwise(lo * blocks + hi).alias(f"pair_{name}")
+        return rated.withColumn("k", F.explode(F.sequence(first, last))).select(pair, F.col("uid").alias(f"{name}_uid"), F.col("song_id").alias(name), F.col("rating").alias(f"r_{name}"), F.col("n2").alias(f"n2_{name}"))
+
+    c, k = F.col("c"), F.col("k")
+    parts = blocks * (blocks + 1) // 2
+    a = side("a", c, F.lit(blocks - 1), c, k).repartition(parts, "pair_a")
+    b = side("b", F.lit(0), c, k, c).repartition(parts, "pair_b")
+    most = PAIR_PRODUCTS
+    return (a.groupBy("pair_a").cogroup(b.groupBy("pair_b"))
+            .applyInArrow(lambda left, right: _sums(left, right, most), "item_i long, item_j long, dot double, n2_i double, n2_j double"))
+
+
+def item_similarity(util: DataFrame, chunk_items: int = CHUNK_ITEMS, blocks: int = 1) -> DataFrame:
+    """Cosine similarity of every co-rated item pair, both orders (self pair = 1).
+
+    ``blocks`` (:func:`similarity_blocks`) above 1 sums the products by pairs of item blocks, for tables whose products don't fit the disk."""
+    if blocks > 1:
+        gram = _products_by_blocks(util, blocks)
+    else:
+        norms = item_norms(util)
+        ni = norms.select(F.col("song_id").alias("item_i"), F.col("n2").alias("n2_i"))
+        nj = norms.select(F.col("song_id").alias("item_j"), F.col("n2").alias("n2_j"))
+        gram = cooccurrence(util, chunk_items).join(ni, "item_i").join(nj, "item_j")
     sim = F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))
-    upper = gram.join(ni, "item_i").join(nj, "item_j").select("item_i", "item_j", sim.alias("sim"))
+    upper = gram.select("item_i", "item_j", sim.alias("sim"))
     fwd = F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b"), F.col("sim").alias("s"))
     rev = F.struct(F.col("item_j").alias("a"), F.col("item_i").alias("b"), F.col("sim").alias("s"))
     both = F.when(F.col("item_i") < F.col("item_j"), F.array(fwd, rev)).otherwise(F.array(fwd))
@@ -90,14 +192,18 @@ def _blocks(util: DataFrame, block_ratings: int, chunk_items: int) -> tuple[Data
     users = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("rating") / F.sqrt("n2")).alias("top"))
     rows = rated.join(users, "uid")
     items = rows.groupBy("song_id").agg(F.sum("n").alias("meets"))
-    blocks = max(1, -(-int(items.agg(F.sum("meets")).first()[0] or 0) // block_ratings))
+    met = int(items.agg(F.sum("meets")).first()[0] or 0)
+    blocks = max(1, -(-met // block_ratings))
     hot = F.col("meets") > block_ratings
     items = items.select("song_id", F.when(hot, -1 - F.col("song_id")).otherwise(F.pmod(F.xxhash64("song_id"), F.lit(blocks))).alias("block"), F.when(hot, F.ceil(F.col("meets") / block_ratings)).otherwise(F.lit(1)).cast("int").alias("parts"))
     probes = rows.join(items, "song_id").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")).select("block", "part", "parts", "uid", "song_id", "rating", "n2", "top")
     postings = (rows.withColumn("chunk", F.pmod(F.xxhash64("song_id"), F.ceil(F.col("n") / chunk_items)))
                 .groupBy("uid", "chunk").agg(F.collect_list(F.struct("song_id", "rating", "n2")).alias("posted")))  # chunk_items, about
-    index = probes.select("block", "part", "uid").distinct().join(postings, "uid").select("block", "part", "uid", "posted")
-    return probes, index.toDF("met_block", "met_part", "rater", "posted")
+    postings = postings.select("uid", F.col("posted.song_id").alias("songs"), F.col("posted.rating").alias("ratings"), F.col("posted.n2").alias("n2s"))  # 24 bytes a posting, not 40
+    index = probes.select("block", "part", "uid").distinct().join(postings, "uid").select("block", "part", "uid", "songs", "ratings", "n2s")
+    index = index.toDF("met_block", "met_part", "rater", "songs", "ratings", "n2s")
+    # a block, about, is a partition: the sort before the blocks meet then holds one of them
+    return spread(probes, met, "block", "part", each=block_ratings), spread(index, met, "met_block", "met_part", each=block_ratings)
 
 
 def _accumulate(order: np.ndarray, own: np.ndarray, top: np.ndarray, first: np.ndarray, last: np.ndarray, column: np.ndarray, rating: np.ndarray,
@@ -140,12 +246,11 @@ def neighbour_pairs(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = B
         out: dict[str, list] = {c: [] for c in ("item_i", "item_j", "dot", "n2_i", "n2_j")}
         if items.num_rows:
             users = users.sort_by("rater")
-            posted = users.column("posted").combine_chunks()
-            flat = posted.flatten()
-            partner, column = np.unique(flat.field("song_id").to_numpy(), return_inverse=True)
-            rating = flat.field("rating").to_numpy()
+            posted = users.column("songs").combine_chunks()
+            partner, column = np.unique(posted.flatten().to_numpy(), return_inverse=True)
+            rating = users.column("ratings").combine_chunks().flatten().to_numpy()
             n2 = np.zeros(len(partner))
-            n2[column] = flat.field("n2").to_numpy()
+            n2[column] = users.column("n2s").combine_chunks().flatten().to_numpy()
             lengths = np.append(0, np.cumsum(posted.value_lengths().to_numpy()))
             uid = users.column("rater").to_numpy()
             items = items.sort_by([("song_id", "ascending"), ("uid", "ascending")])
@@ -157,14 +262,21 @@ def neighbour_pairs(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = B
             norm = np.sqrt(n2)
             for a, b in zip(cuts, cuts[1:]):
                 order = np.argsort(-own[a:b] * top[a:b], kind="stable")
-                dots = _accumulate(order, own[a:b], top[a:b], first[a:b], last[a:b], column, rating, norm, float(np.sqrt(n2_i[a])), k if whole else len(partner) + 1)
-                j = np.flatnonzero(dots)
+                # only the partners of this item: the arrays of a step are as long as its users' postings, not as the block
+                count = last[a:b] - first[a:b]
+                ends = np.cumsum(count)
+                at = np.repeat(first[a:b] - (ends - count), count) + np.arange(ends[-1])
+                met, own_column = np.unique(column[at], return_inverse=True)
+                dots = _accumulate(order, own[a:b], top[a:b], ends - count, ends, own_column, rating[at], norm[met], float(np.sqrt(n2_i[a])), k if whole else len(partner) + 1)
+                j = met[dots != 0]
+                dots = dots[dots != 0]
                 if whole and len(j) > k:
-                    sims = dots[j] / np.sqrt(n2_i[a] * n2[j])
-                    j = j[np.lexsort((-partner[j], -sims))[:k]]
+                    sims = dots / np.sqrt(n2_i[a] * n2[j])
+                    best_k = np.lexsort((-partner[j], -sims))[:k]
+                    j, dots = j[best_k], dots[best_k]
                 out["item_i"].append(np.full(len(j), song[a]))
                 out["item_j"].append(partner[j])
-                out["dot"].append(dots[j])
+                out["dot"].append(dots)
                 out["n2_i"].append(np.full(len(j), n2_i[a]))
                 out["n2_j"].append(n2[j])
         return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64() if c.startswith("item") else pa.float64()) for c, v in out.items()})
@@ -181,28 +293,48 @@ def top_neighbours(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = BL
     return neighbours(dots.select("item_i", "item_j", (F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))).alias("sim")), k)
 
 
-def _scored(util: DataFrame, neigh: DataFrame, with_marks: bool = True, users: DataFrame | None = None) -> DataFrame:
+def prediction_parts(util: DataFrame, k: int = NEIGHBOURS) -> int:
+    """Parts for :func:`predict` and :func:`recommend`, by the ratings x neighbours that they sum."""
+    return max(1, -(-util.count() * k // TASK_CONTRIBUTIONS))
+
+
+def _by_user(rated: DataFrame, nb: DataFrame, parts: int) -> DataFrame:
+    """(uid, song_id, rating, item_i, sim) as rated x nb on the song, in ``parts`` partitions by uid.  A song's neighbours
+    travel as one list (of LIST_ITEMS, about), and the single contributions are only made where they are summed."""
+    pieces = nb.groupBy("item_j").agg(F.ceil(F.count(F.lit(1)) / LIST_ITEMS).alias("pieces"))
+    lists = (nb.join(pieces, "item_j").groupBy(F.col("item_j"), F.pmod(F.xxhash64("item_i"), F.col("pieces")).alias("piece"))
+             .agg(F.collect_list(F.struct("item_i", "sim")).alias("near")).select("item_j", F.col("near.item_i").alias("items"), F.col("near.sim").alias("sims")))
+    sent = rated.join(lists, rated.song_id == lists.item_j).select("uid", "song_id", "rating", "items", "sims").repartition(parts, "uid")
+    return sent.select("uid", "song_id", "rating", F.inline(F.arrays_zip(F.col("items").alias("item_i"), F.col("sims").alias("sim"))))
+
+
+def _scored(util: DataFrame, neigh: DataFrame, with_marks: bool = True, users: DataFrame | None = None, parts: int | None = None) -> list[DataFrame]:
     """Per (uid, item): sum(r * sim), sum(sim) over the item's neighbours the user
-    rated, and whether the user rated the item itself.
+    rated, and whether the user rated the item itself; in tables of different users.
 
     The neighbour table (at most items x k rows) gets one marker row (i, i,
     sim 0) per item, so the "already rated" test (J8) falls out of the same
     aggregate instead of an anti join that would reshuffle by (uid, item).
     Contributions are summed in the tasks before the exchange by (uid, item),
-    so neither a user nor a song with very many ratings is one task.
+    so neither a user nor a song with very many ratings is one task.  With ``parts`` (:func:`prediction_parts`)
+    only users of very many ratings go that way: the others' contributions are summed
+    in ``parts`` partitions by user, and no contribution is exchanged.
     """
-    nb = neigh.select("item_i", "item_j", "sim", F.lit(0).alias("mark"))
+    nb = neigh.select("item_i", "item_j", "sim")
     if with_marks:
-        marks = neigh.select("item_i").distinct().select("item_i", F.col("item_i").alias("item_j"),
-                                                          F.lit(0.0).alias("sim"), F.lit(1).alias("mark"))
+        marks = neigh.select("item_i").distinct().select("item_i", F.col("item_i").alias("item_j"), F.lit(0.0).alias("sim"))
         nb = nb.unionByName(marks)
     rated = util.select("uid", "song_id", "rating")
     if users is not None:
         rated = rated.join(users.select("uid").distinct(), "uid", "left_semi")
-    return (rated.join(nb, rated.song_id == nb.item_j)
-                 .groupBy("uid", F.col("item_i").alias("song_id"))
-                 .agg(F.sum(F.col("rating") * F.col("sim")).alias("num"), F.sum("sim").alias("den"),
-                      F.max("mark").alias("rated")))
+    plain = lambda some: some.join(nb, some.song_id == nb.item_j)
+    met = [plain(rated)]
+    if parts is not None and parts > 1:
+        heavy = rated.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > USER_CONTRIBUTIONS // NEIGHBOURS).select("uid")
+        met = [_by_user(rated.join(heavy, "uid", "left_anti"), nb, parts), plain(rated.join(heavy, "uid", "left_semi"))]
+    return [m.groupBy("uid", F.col("item_i"))
+             .agg(F.sum(F.col("rating") * F.col("sim")).alias("num"), F.sum("sim").alias("den"),
+                  F.max((F.col("item_i") == F.col("song_id")).cast("int")).alias("rated")).withColumnRenamed("item_i", "song_id") for m in met]
 
 
 def _pred(digits: int | None) -> F.Column:
@@ -210,26 +342,28 @@ def _pred(digits: int | None) -> F.Column:
     return F.round(pred, digits) if digits is not None else pred
 
 
-def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6) -> DataFrame:
+def predict(util: DataFrame, neigh: DataFrame, digits: int | None = 6, parts: int | None = None) -> DataFrame:
     """G5/J10/A21 for all users at once: similarity-weighted mean of the user's ratings
     over the neighbours of each item that the user rated; 0/0 -> 0 (X31).
 
     (user, item) pairs where no neighbour was rated carry no row: their
     prediction is 0 and they are never recommended.
     """
-    scored = _scored(util, neigh, with_marks=False)
-    return scored.where(F.col("den") > 0).select("uid", "song_id", _pred(digits).alias("pred"))
+    return reduce(DataFrame.unionByName, [s.where(F.col("den") > 0).select("uid", "song_id", _pred(digits).alias("pred")) for s in _scored(util, neigh, with_marks=False, parts=parts)])
 
 
 def recommend(util: DataFrame, neigh: DataFrame, names: DataFrame | None = None, n: int = TOP_N,
-              digits: int | None = 6, users: DataFrame | None = None) -> DataFrame:
+              digits: int | None = 6, users: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """The n best unrated songs per user (ties to the larger song id), with a name.
 
     ``users`` (uid) restricts the work to chosen users (J13); all users if None."""
-    cand = (_scored(util, neigh, users=users).where((F.col("den") > 0) & (F.col("rated") == 0))
-            .select("uid", "song_id", _pred(digits).alias("pred")))
     w = Window.partitionBy("uid").orderBy(F.desc("pred"), F.desc("song_id"))
-    out = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+    def best(scored: DataFrame) -> DataFrame:
+        cand = scored.where((F.col("den") > 0) & (F.col("rated") == 0)).select("uid", "song_id", _pred(digits).alias("pred"))
+        return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+    out = reduce(DataFrame.unionByName, [best(s) for s in _scored(util, neigh, users=users, parts=parts)])
     if names is not None:
         out = out.join(names, "song_id", "left")
     return out
