@@ -49,3 +49,22 @@ def test_names_change_no_mean(spark, tmpdir_path):
 
     _write(spark, tmpdir_path)
     assert _rows(catalog.utility_of(spark, tmpdir_path)) == _rows(ia.utility(ia.ratings(src.purchase_counts(spark, tmpdir_path))))
+
+
+def test_partitions_stay_when_the_session_has_more(spark):
+    """Adaptive execution joins the session's partitions, whatever rows they hold; those of a spread table it leaves."""
+    df = session.spread(spark.range(2000).withColumn("k", F.col("id") % 500), 2000, "k", each=300)
+    assert df.rdd.getNumPartitions() == 7
+    assert df.groupBy("k").count().rdd.getNumPartitions() == 7
+
+
+def test_spread_product_sums_popular_ids_in_parts(spark, monkeypatch):
+    x = spark.range(600).select((F.col("id") % 40).alias("uid"), (F.col("id") * F.col("id") % 7).alias("song_id"), (F.col("id") % 5).cast("double").alias("rating"))
+    w = fa.md5_factors(x.select("uid").distinct(), "uid", 3, "u")
+    got = lambda: sorted((r.song_id, *(round(v, 9) for v in r.f)) for r in fa.spread_product(x, w, "uid", "song_id").collect())
+    whole = got()
+    plain = x.join(w, "uid").groupBy("song_id").agg(*[F.sum(F.col("rating") * F.col("f")[i]).alias(f"f{i}") for i in range(3)])
+    assert whole == sorted((r[0], *(round(v, 9) for v in r[1:])) for r in plain.collect())
+    monkeypatch.setattr(fa, "PART_ROWS", 50)
+    monkeypatch.setattr(session.spread, "__kwdefaults__", {"each": 50})
+    assert got() == whole
