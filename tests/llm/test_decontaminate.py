@@ -74,3 +74,10 @@ def test_hashed_shifts_skip_no_pattern(spark):
     tables = D.hashed_shifts(D.benchmark_patterns(spark.createDataFrame([("1", bytearray(text)), ("2", bytearray(b"a b"))], "item string, text binary")))
     assert sorted(tables) == [2, 13] and all(len(t) == D.SLOTS for t in tables.values())
     assert sorted(set(tables[13].tolist())) == list(range(12)) and sorted(set(tables[2].tolist())) == [0, 1]
+
+
+def test_search_and_count_are_one_python_pass(spark):
+    """Each Python step of a stage has a worker of its own beside each task, which stays for the steps that follow."""
+    docs = spark.createDataFrame([(1, "a b c d")], "doc_id long, text string")
+    small = D.find_contamination(docs, spark.createDataFrame(ITEMS, "item_id long, text string"))
+    assert small._jdf.queryExecution().executedPlan().toString().count("MapInArrow ") == 1

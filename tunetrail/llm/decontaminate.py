@@ -227,43 +227,36 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     state = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)], F.col(f"`{text_col}`").cast("binary").alias("_text"),
                         F.lit(None).cast("array<int>").alias("_spans"), F.lit(None).cast("array<string>").alias("_items"))
 
+    out_schema = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry)) + ", n_words long, n_hit long, hit_spans array<int>, item_ids array<string>"
+
     def search(block: list[tuple[str, bytes]]):
+        """Adds what the items in ``block`` hit, and counts: one pass, so a task has one Python worker."""
         key = uuid.uuid4().hex
 
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tables = _tables(key, block, window)
+            tables = _tables(key, block, window) if block else []
             for batch in it:
-                spans, items = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-                for i, text in enumerate(batch.column(batch.num_columns - 3).to_pylist()):
+                k, n_words = batch.num_columns - 3, []
+                spans, items = batch.column(k + 1).to_pylist(), batch.column(k + 2).to_pylist()
+                for i, text in enumerate(batch.column(k).to_pylist()):
                     w = words(text)
+                    n_words.append(len(w))
                     found = [x for t in tables for x in t.occurrences(w)]
                     if found:
                         old = spans[i] or []
                         spans[i] = [x for s in _merged([*zip(old[::2], old[1::2]), *((a, b) for a, b, _ in found)]) for x in s]
                         items[i] = sorted({*(items[i] or ())}.union(*(x for _, _, x in found)))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(spans, batch.schema.field(batch.num_columns - 2).type), pa.array(items, batch.schema.field(batch.num_columns - 1).type)], schema=batch.schema)
+                n_hit = [sum(s[1::2]) - sum(s[::2]) if s else 0 for s in spans]
+                arrays = [*batch.columns[:k], pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(spans, batch.schema.field(k + 1).type), pa.array(items, batch.schema.field(k + 2).type)]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:k], "n_words", "n_hit", "hit_spans", "item_ids"])
 
         return run
 
     items = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").cast("binary").alias("text")).where("item is not null and text is not null")
     total = items.agg(F.sum(F.length("text") + F.length("item"))).first()[0] or 0
-    if 0 < total <= block_bytes:
-        state = state.mapInArrow(search([(r[0], bytes(r[1])) for r in items.collect()]), state.schema)
-    elif total:
+    if total > block_bytes:
         state = _joined_search(state, items, window, slots)
-
-    out_schema = ", ".join(f"_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry)) + ", n_words long, n_hit long, hit_spans array<int>, item_ids array<string>"
-
-    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            k = batch.num_columns - 3
-            spans = batch.column(k + 1)
-            n_words = [len(words(t)) for t in batch.column(k).to_pylist()]
-            n_hit = [sum(s[1::2]) - sum(s[::2]) if s else 0 for s in spans.to_pylist()]
-            arrays = [*batch.columns[:k], pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), spans, batch.column(k + 2)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:k], "n_words", "n_hit", "hit_spans", "item_ids"])
-
-    out = state.mapInArrow(count, out_schema)
+    out = state.mapInArrow(search([(r[0], bytes(r[1])) for r in items.collect()] if 0 < total <= block_bytes else []), out_schema)
     named = F.coalesce("item_ids", F.array().cast("array<string>"))
     return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(carry)], "n_words", "n_hit",
                       F.coalesce("hit_spans", F.array().cast("array<int>")).alias("hit_spans"),
