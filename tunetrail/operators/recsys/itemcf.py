@@ -13,6 +13,8 @@ The neighbourhood is a top-k window whose ``row_number() <= k`` filter Spark
 turns into a partial per-task limit before the shuffle.  :func:`top_neighbours`
 gets it without the table of all pairs: blocks of items meet the ratings of
 their users, and only what can still be among an item's k best is carried on.
+
+Large tables go through :mod:`posted`: there no block is sent its users' ratings.
 """
 
 from __future__ import annotations
@@ -166,6 +168,11 @@ def item_similarity(util: DataFrame, chunk_items: int = CHUNK_ITEMS, blocks: int
         ni = norms.select(F.col("song_id").alias("item_i"), F.col("n2").alias("n2_i"))
         nj = norms.select(F.col("song_id").alias("item_j"), F.col("n2").alias("n2_j"))
         gram = cooccurrence(util, chunk_items).join(ni, "item_i").join(nj, "item_j")
+    return both_orders(gram)
+
+
+def both_orders(gram: DataFrame) -> DataFrame:
+    """(item_i, item_j, sim) for both orders of the pairs (item_i <= item_j, dot, n2_i, n2_j)."""
     sim = F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))
     upper = gram.select("item_i", "item_j", sim.alias("sim"))
     fwd = F.struct(F.col("item_i").alias("a"), F.col("item_j").alias("b"), F.col("sim").alias("s"))
@@ -238,48 +245,49 @@ def _accumulate(order: np.ndarray, own: np.ndarray, top: np.ndarray, first: np.n
     return dots
 
 
+PAIRS = pa.schema([("item_i", pa.int64()), ("item_j", pa.int64()), ("dot", pa.float64()), ("n2_i", pa.float64()), ("n2_j", pa.float64())])
+
+
+def best_pairs(song: np.ndarray, own: np.ndarray, top: np.ndarray, n2_i: np.ndarray, first: np.ndarray, last: np.ndarray, posted: np.ndarray, rating: np.ndarray,
+               n2: np.ndarray, k: int, whole: bool) -> pa.Table:
+    """PAIRS of each item of ``song`` (sorted) with its ``k`` best partners, or with all if the item isn't ``whole`` here.  The
+    postings of a row's user are ``first`` to ``last`` of ``posted``, ``rating`` and ``n2``."""
+    out: dict[str, list] = {c: [] for c in PAIRS.names}
+    cuts = np.append(np.flatnonzero(np.append(True, song[1:] != song[:-1])), len(song)) if len(song) else []
+    for a, b in zip(cuts, cuts[1:]):
+        order = np.argsort(-own[a:b] * top[a:b], kind="stable")
+        # only the partners of this item: the arrays of a step are as long as its users' postings, not as the block
+        count = last[a:b] - first[a:b]
+        ends = np.cumsum(count)
+        at = np.repeat(first[a:b] - (ends - count), count) + np.arange(ends[-1])
+        partner, at_first, column = np.unique(posted[at], return_index=True, return_inverse=True)
+        n2_j = n2[at[at_first]]
+        dots = _accumulate(order, own[a:b], top[a:b], ends - count, ends, column, rating[at], np.sqrt(n2_j), float(np.sqrt(n2_i[a])), k if whole else len(partner) + 1)
+        j = np.flatnonzero(dots)
+        if whole and len(j) > k:
+            j = j[np.lexsort((~partner[j], -(dots[j] / np.sqrt(n2_i[a] * n2_j[j]))))[:k]]
+        for c, v in zip(PAIRS.names, (np.full(len(j), song[a]), partner[j], dots[j], np.full(len(j), n2_i[a]), n2_j[j])):
+            out[c].append(v)
+    return pa.table({f.name: pa.array(np.concatenate(out[f.name]) if out[f.name] else [], f.type) for f in PAIRS})
+
+
 def neighbour_pairs(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = BLOCK_RATINGS, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     """(item_i, item_j, dot, n2_i, n2_j): for each item its k best partners and no others; of an item in parts, every partner."""
     probes, index = _blocks(util, block_ratings, chunk_items)
 
     def best(items: pa.Table, users: pa.Table) -> pa.Table:
-        out: dict[str, list] = {c: [] for c in ("item_i", "item_j", "dot", "n2_i", "n2_j")}
-        if items.num_rows:
-            users = users.sort_by("rater")
-            posted = users.column("songs").combine_chunks()
-            partner, column = np.unique(posted.flatten().to_numpy(), return_inverse=True)
-            rating = users.column("ratings").combine_chunks().flatten().to_numpy()
-            n2 = np.zeros(len(partner))
-            n2[column] = users.column("n2s").combine_chunks().flatten().to_numpy()
-            lengths = np.append(0, np.cumsum(posted.value_lengths().to_numpy()))
-            uid = users.column("rater").to_numpy()
-            items = items.sort_by([("song_id", "ascending"), ("uid", "ascending")])
-            song, own, top, n2_i = (items.column(c).to_numpy() for c in ("song_id", "rating", "top", "n2"))
-            first = lengths[np.searchsorted(uid, items.column("uid").to_numpy(), side="left")]
-            last = lengths[np.searchsorted(uid, items.column("uid").to_numpy(), side="right")]
-            cuts = np.append(np.flatnonzero(np.append(True, song[1:] != song[:-1])), len(song))
-            whole = items.column("parts")[0].as_py() == 1
-            norm = np.sqrt(n2)
-            for a, b in zip(cuts, cuts[1:]):
-                order = np.argsort(-own[a:b] * top[a:b], kind="stable")
-                # only the partners of this item: the arrays of a step are as long as its users' postings, not as the block
-                count = last[a:b] - first[a:b]
-                ends = np.cumsum(count)
-                at = np.repeat(first[a:b] - (ends - count), count) + np.arange(ends[-1])
-                met, own_column = np.unique(column[at], return_inverse=True)
-                dots = _accumulate(order, own[a:b], top[a:b], ends - count, ends, own_column, rating[at], norm[met], float(np.sqrt(n2_i[a])), k if whole else len(partner) + 1)
-                j = met[dots != 0]
-                dots = dots[dots != 0]
-                if whole and len(j) > k:
-                    sims = dots / np.sqrt(n2_i[a] * n2[j])
-                    best_k = np.lexsort((-partner[j], -sims))[:k]
-                    j, dots = j[best_k], dots[best_k]
-                out["item_i"].append(np.full(len(j), song[a]))
-                out["item_j"].append(partner[j])
-                out["dot"].append(dots)
-                out["n2_i"].append(np.full(len(j), n2_i[a]))
-                out["n2_j"].append(n2[j])
-        return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64() if c.startswith("item") else pa.float64()) for c, v in out.items()})
+        if not items.num_rows:
+            return pa.Table.from_batches([], PAIRS)
+        users = users.sort_by("rater")
+        posted = users.column("songs").combine_chunks()
+        lengths = np.append(0, np.cumsum(posted.value_lengths().to_numpy()))
+        uid = users.column("rater").to_numpy()
+        items = items.sort_by([("song_id", "ascending"), ("uid", "ascending")])
+        song, own, top, n2_i = (items.column(c).to_numpy() for c in ("song_id", "rating", "top", "n2"))
+        first = lengths[np.searchsorted(uid, items.column("uid").to_numpy(), side="left")]
+        last = lengths[np.searchsorted(uid, items.column("uid").to_numpy(), side="right")]
+        return best_pairs(song, own, top, n2_i, first, last, posted.flatten().to_numpy(), *(users.column(c).combine_chunks().flatten().to_numpy() for c in ("ratings", "n2s")),
+                          k, items.column("parts")[0].as_py() == 1)
 
     return probes.groupBy("block", "part").cogroup(index.groupBy("met_block", "met_part")).applyInArrow(best, "item_i long, item_j long, dot double, n2_i double, n2_j double")
 
@@ -287,10 +295,14 @@ def neighbour_pairs(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = B
 def top_neighbours(util: DataFrame, k: int = NEIGHBOURS, block_ratings: int = BLOCK_RATINGS, chunk_items: int = CHUNK_ITEMS) -> DataFrame:
     """(item_i, item_j, sim, rank), the k most similar items of each item (itself included), ties to the larger id;
     the same rows as ``neighbours(item_similarity(util), k)``, without the table of all pairs.  Ratings are positive."""
-    pairs = neighbour_pairs(util, k, block_ratings, chunk_items)
     # only items in parts have more than one row of a pair
+    return neighbours(similarity_of_pairs(neighbour_pairs(util, k, block_ratings, chunk_items)), k)
+
+
+def similarity_of_pairs(pairs: DataFrame) -> DataFrame:
+    """(item_i, item_j, sim) of PAIRS, of which some are in parts."""
     dots = pairs.groupBy("item_i", "item_j").agg(F.sum("dot").alias("dot"), F.max("n2_i").alias("n2_i"), F.max("n2_j").alias("n2_j"))
-    return neighbours(dots.select("item_i", "item_j", (F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))).alias("sim")), k)
+    return dots.select("item_i", "item_j", (F.col("dot") / F.sqrt(F.col("n2_i") * F.col("n2_j"))).alias("sim"))
 
 
 def prediction_parts(util: DataFrame, k: int = NEIGHBOURS) -> int:
