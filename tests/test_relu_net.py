@@ -83,3 +83,20 @@ def test_chunks_take_the_same_steps(spark, monkeypatch):
     for net in nets[1:]:
         for a, b in zip(nets[0].parts(), net.parts()):
             assert np.allclose(a, b, rtol=1e-9, atol=1e-12)
+
+
+def test_epochs_in_a_task_take_the_same_steps(spark, monkeypatch):
+    data, *_ = table(spark, 400)
+    jobs, inner = [], rn.epoch_steps
+    monkeypatch.setattr(rn, "epoch_steps", lambda *args: jobs.append(len(args[-2])) or inner(*args))
+    nets = [rn.fit(data, hidden=5, epochs=5, batch_rows=50), rn.fit(data, hidden=5, batch_rows=50, tolerance=9.0, patience=3)]
+    assert jobs == []
+    monkeypatch.setattr(rn, "EPOCH_ROWS", 0)
+    monkeypatch.setattr(rn, "TASK_EPOCHS", 2)
+    monkeypatch.setattr(rn, "KEPT_BYTES", 3000)  # some batches are read again in each epoch
+    monkeypatch.setattr(rn, "chunk_steps", None)  # no job for a part of an epoch
+    nets += [rn.fit(data, hidden=5, epochs=5, batch_rows=50), rn.fit(data, hidden=5, batch_rows=50, tolerance=9.0, patience=3)]
+    assert jobs == [2, 2, 1, 2, 2]  # the second fit ends after its fourth epoch
+    for a, b in zip(nets[:2], nets[2:]):
+        for x, y in zip(a.parts(), b.parts()):
+            assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
